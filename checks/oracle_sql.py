@@ -125,7 +125,7 @@ SIZE = f"""size_analytics AS (
       avg(annual_revenue_abs) AS avg_revenue,
       min(annual_revenue_abs) AS min_revenue,
       max(annual_revenue_abs) AS max_revenue,
-      stddev_samp(annual_revenue_abs) AS revenue_stddev,
+      round(stddev_samp(annual_revenue_abs), 2) AS revenue_stddev,
       count(*) FILTER (WHERE revenue_tier = 'Tier 1 - $100M+') AS tier1_accounts,
       count(*) FILTER (WHERE revenue_tier = 'Tier 2 - $10M-$100M') AS tier2_accounts,
       count(*) FILTER (WHERE revenue_tier = 'Tier 3 - $1M-$10M') AS tier3_accounts,

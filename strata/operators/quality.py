@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -89,6 +89,27 @@ class QualitySplit:
             "processing_rate_pct", F.when(n > 0, tenths / 10)
         )
 
+    def observed(self, name: str = "quality") -> tuple[QualitySplit, Observation]:
+        """The same split over a source that records input / valid /
+        quarantined counts as a side effect of whatever action reads it
+        next (e.g. the quarantine write), instead of a separate pass."""
+        ok = all_pass(self.rules)
+        obs = Observation(name)
+        source = self.source.observe(
+            obs,
+            F.count(F.lit(1)).alias("bronze_records"),
+            F.count_if(ok).alias("valid_records"),
+            F.count_if(~ok).alias("quarantined_records"),
+        )
+        return QualitySplit(source, self.rules), obs
+
+
+def rate_pct(part: int, whole: int) -> float | None:
+    """``part / whole`` in percent, half-up to 0.1 (exact integer maths)."""
+    if not whole:
+        return None
+    return ((part * 2000 + whole) // (2 * whole)) / 10
+
 
 def split(df: DataFrame, rules: Sequence[Rule]) -> QualitySplit:
     return QualitySplit(df, tuple(rules))

@@ -8,7 +8,9 @@ as a DataFrame plan: ``target LEFT ANTI JOIN source-keys UNION ALL source``.
 * A non-NULL key occurring twice in the source fails the job (MERGE refuses
   to update one target row from two source rows).  The check rides inside
   the plan: the anti join needs the distinct source keys anyway, and the
-  guard sits on that aggregate, so no extra pass or action is needed.
+  guard sits on that aggregate, so no extra pass or action is needed.  When
+  the target is empty Spark prunes the anti join and its guard; duplicates
+  are then inserted, which is also what MERGE does when nothing matches.
 * Scale: the source keys are aggregated with map-side partial aggregation
   (a hot key costs one row per task), then target and keys are shuffled on
   the key for the anti join (AQE splits skewed target partitions, e.g. many
@@ -23,32 +25,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def source_keys(
-    source: DataFrame, keys: Sequence[str], reject_null_keys: bool = False
-) -> DataFrame:
+def _all_present(keys: Sequence[str]):
+    present = F.lit(True)
+    for k in keys:
+        present = present & F.col(k).isNotNull()
+    return present
+
+
+def source_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct source keys, guarded: evaluating them raises if a non-NULL
-    key repeats (or, with ``reject_null_keys``, if any key is NULL)."""
+    key repeats.  (The anti join lets Spark drop NULL keys before this
+    aggregate, which is fine: they never match and are never duplicates.)"""
     keys = list(keys)
     counted = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    all_present = F.lit(True)
-    for k in keys:
-        all_present = all_present & F.col(k).isNotNull()
-    label = ", ".join(keys)
     guard = F.when(
-        all_present & (F.col("_n") > 1),
+        _all_present(keys) & (F.col("_n") > 1),
         F.raise_error(
             F.concat(
-                F.lit(f"upsert: duplicate source key ({label}) = "),
+                F.lit(f"upsert: duplicate source key ({', '.join(keys)}) = "),
                 F.to_json(F.struct(*keys)),
             )
         ),
-    )
-    if reject_null_keys:
-        guard = guard.when(
-            ~all_present,
-            F.raise_error(F.lit(f"upsert: NULL source key ({label})")),
-        )
-    return counted.filter(guard.otherwise(F.lit(True))).select(*keys)
+    ).otherwise(F.lit(True))
+    return counted.filter(guard).select(*keys)
 
 
 def upsert(
@@ -57,12 +56,37 @@ def upsert(
     keys: Sequence[str],
     reject_null_keys: bool = False,
 ) -> DataFrame:
-    """The target after upserting ``source`` on ``keys``."""
+    """The target after upserting ``source`` on ``keys``.
+
+    With ``reject_null_keys`` a source row with a NULL key fails the job
+    (checked on the rows being inserted, where no join constraint can
+    remove it first)."""
+    keys = list(keys)
     missing = [c for c in target.columns if c not in source.columns]
     extra = [c for c in source.columns if c not in target.columns]
     if missing or extra:
         raise ValueError(
             f"upsert: source columns differ from target (missing {missing}, extra {extra})"
         )
-    kept = target.join(source_keys(source, keys, reject_null_keys), list(keys), "left_anti")
-    return kept.unionByName(source.select(*target.columns))
+    rows = source.select(*target.columns)
+    if reject_null_keys:
+        rows = rows.filter(
+            F.when(
+                ~_all_present(keys),
+                F.raise_error(F.lit(f"upsert: NULL source key ({', '.join(keys)})")),
+            ).otherwise(F.lit(True))
+        )
+    kept = target.join(source_keys(source, keys), keys, "left_anti")
+    return kept.unionByName(rows)
+
+
+def keep_last(df: DataFrame, keys: Sequence[str], order_by: str) -> DataFrame:
+    """One row per key: the row with the greatest ``order_by`` (use before
+    ``upsert`` when a batch may carry several versions of a key).
+
+    ``max_by`` is an ordinary aggregate, so a hot key is reduced map-side
+    instead of being gathered into one task."""
+    keys = list(keys)
+    rest = [c for c in df.columns if c not in keys]
+    latest = F.max_by(F.struct(*rest), F.col(order_by)).alias("_latest")
+    return df.groupBy(*keys).agg(latest).select(*keys, "_latest.*").select(*df.columns)

@@ -24,7 +24,6 @@ from strata.functions import (
     non_empty,
     ordinal,
     share_of_total,
-    stamp,
     trimmed_or,
 )
 from strata.operators.quality import QualitySplit, Rule, split
@@ -82,15 +81,15 @@ GOLD_COLUMNS = [
 
 
 def bronze_accounts(raw: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """Raw accounts stamped with ingestion time, source system and an empty
-    rescue column (filled only by file intake, see ``sources.intake``)."""
-    return stamp(
-        raw,
-        {
-            "ingestion_timestamp": as_of_literal(as_of),
-            "source_system": schemas.ACCOUNTS_SOURCE_SYSTEM,
-            "_rescued_data": F.lit(None).cast("string"),
-        },
+    """Raw accounts stamped with ingestion time, source system and a rescue
+    column: kept when the reader filled it (``sources.intake``), else NULL."""
+    rescue = "_rescued_data"
+    rescued = F.col(rescue) if rescue in raw.columns else F.lit(None).cast("string")
+    return raw.select(
+        *[c for c in raw.columns if c != rescue],
+        as_of_literal(as_of).alias("ingestion_timestamp"),
+        F.lit(schemas.ACCOUNTS_SOURCE_SYSTEM).alias("source_system"),
+        rescued.alias(rescue),
     )
 
 
@@ -230,7 +229,9 @@ def gold_size_analytics(silver: DataFrame, as_of: AsOf = None) -> DataFrame:
         F.avg("annual_revenue_abs").alias("avg_revenue"),
         F.min("annual_revenue_abs").alias("min_revenue"),
         F.max("annual_revenue_abs").alias("max_revenue"),
-        F.stddev("annual_revenue_abs").alias("revenue_stddev"),
+        # Sample stddev in USD to the cent: the unrounded last digits depend
+        # on the order partial results are merged in, i.e. on partitioning.
+        F.round(F.stddev("annual_revenue_abs"), 2).alias("revenue_stddev"),
         *count_each("revenue_tier", tiers),
     )
     return per_size.withColumns(
