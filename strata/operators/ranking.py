@@ -20,9 +20,14 @@ numbers with bounded per-task work:
    planner broadcasts the ranked values when they are measured small, and
    AQE splits the partition of a hot value otherwise.
 
-The input is checkpointed first (``materialize=True``) because it is read by
-the subquery, the value aggregation and the join-back; the checkpoint lives
-in the session's shared ``spark.checkpoint.dir`` and also cuts lineage.
+The input is read three times (subquery, value aggregation, join-back), so
+by default it is checkpointed first (``materialize="checkpoint"``): written
+once to the session's shared ``spark.checkpoint.dir``, which also cuts
+lineage so a lost executor does not recompute the upstream plan.
+``"cache"`` keeps it in executor memory/disk instead (caller unpersists);
+``None`` recomputes it per branch.  Correctness never depends on the choice:
+range ids are a pure function of the value and the bounds are computed once
+per query execution.
 """
 
 from __future__ import annotations
@@ -52,24 +57,37 @@ def global_rank(
     output: str = "rank",
     num_ranges: int | None = None,
     accuracy: int = 10000,
-    materialize: bool = True,
+    materialize: str | None = "checkpoint",
+    single_task_max_rows: int = 1_000_000,
 ) -> DataFrame:
     """Append ``output`` = ``rank()`` (or ``dense_rank()``) of ``value`` over
     all rows, ordered descending (NULLs last) or ascending (NULLs first),
     exactly as the unpartitioned window would, as a ``bigint``.
 
     ``num_ranges`` defaults to ``spark.sql.shuffle.partitions``; the result
-    does not depend on it.
+    does not depend on it.  When the input is materialised its row count is
+    checked (one cheap pass over the materialised copy): at most
+    ``single_task_max_rows`` rows are ranked by the plain window in one
+    task, anything larger by ranges.
     """
     spark = df.sparkSession
     if num_ranges is None:
         num_ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     num_ranges = max(1, num_ranges)
     n_bounds = num_ranges - 1
-    if materialize:
+    if materialize == "checkpoint":
         df = df.checkpoint(eager=True)
+    elif materialize == "cache":
+        df = df.persist()
+    elif materialize is not None:
+        raise ValueError(f"global_rank: unknown materialize={materialize!r}")
 
     v = F.col(value)
+    order = v.asc_nulls_first() if ascending else v.desc_nulls_last()
+    if materialize is not None and df.count() <= single_task_max_rows:
+        fn = F.dense_rank() if dense else F.rank()
+        return df.withColumn(output, fn.over(Window.orderBy(order)).cast("bigint"))
+
     values = df.groupBy(value).agg(F.count(F.lit(1)).alias("_rows"))
 
     if n_bounds > 0:
@@ -83,10 +101,8 @@ def global_rank(
     # (descending) or first (ascending) as in Spark's default orderings.
     if ascending:
         position = F.when(v.isNull(), F.lit(-1)).otherwise(below)
-        order = v.asc_nulls_first()
     else:
         position = F.when(v.isNull(), F.lit(n_bounds + 1)).otherwise(n_bounds - below)
-        order = v.desc_nulls_last()
     values = values.select(value, "_rows", position.alias("_range"))
 
     local = Window.partitionBy("_range").orderBy(order)

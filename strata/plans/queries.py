@@ -68,14 +68,23 @@ def product_performance_window(spark: SparkSession, base: str) -> DataFrame:
 
 
 def product_rank_global(spark: SparkSession, base: str) -> DataFrame:
-    """Both ranks of every product by completed revenue (ties included)."""
+    """Both ranks of every product by completed revenue (ties included),
+    always through the range-partitioned method (no single-task window,
+    whatever the input size)."""
     from strata.operators.ranking import global_rank
 
     totals = sales.product_totals(fact_orders(spark, base)).select(
         "product_id", "total_revenue"
     )
-    ranked = global_rank(totals, "total_revenue", output="revenue_rank")
-    return global_rank(ranked, "total_revenue", dense=True, output="revenue_dense_rank")
+    ranked = global_rank(totals, "total_revenue", output="revenue_rank", single_task_max_rows=-1)
+    return global_rank(
+        ranked,
+        "total_revenue",
+        dense=True,
+        output="revenue_dense_rank",
+        materialize=None,
+        single_task_max_rows=-1,
+    )
 
 
 # --- accounts -------------------------------------------------------------------
@@ -139,11 +148,11 @@ def accounts_sample(spark: SparkSession, base: str) -> DataFrame:
 
 
 def accounts_upsert(spark: SparkSession, base: str) -> DataFrame:
-    """Keyed upsert of this run's silver accounts into a target holding the
-    previous state: every account with its raw revenue halved (an older
-    version of each row), plus the accounts quarantined in this run (rows
-    the target has and the source lacks).  Matched keys take the source
-    row; unmatched target rows are kept; new keys are inserted."""
+    """Keyed upsert of this run's silver accounts into the previous silver
+    state (see ``accounts.previous_silver_state``: built a day earlier under
+    an id-only rule from the accounts that had an industry, at half today's
+    revenue).  Keys in both take this run's row; accounts quarantined today
+    keep their previous row; accounts without an industry then are new."""
     from strata.operators.upsert import upsert
 
     bronze = bronze_accounts(spark, base)

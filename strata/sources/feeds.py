@@ -23,11 +23,28 @@ from pyspark.sql.types import StructType
 
 from strata import schemas
 
-STAR_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+# The star-schema tables as stored (DDL strings).  Reading with
+# a declared schema skips footer inference (one job per read otherwise).
+STAR_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+STAR_TABLES = tuple(STAR_SCHEMAS)
 
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+    path = f"{base.rstrip('/')}/{name}.parquet"
+    schema = STAR_SCHEMAS.get(name)
+    return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
 
 
 def read_feed(

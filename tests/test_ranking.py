@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 from strata.operators.ranking import global_rank
 
 
-def _compare(spark, values, dense, ascending, ranges, dtype="double"):
+def _compare(spark, values, dense, ascending, ranges, dtype="double", single_task_max_rows=-1):
     df = spark.createDataFrame(list(enumerate(values)), f"id long, v {dtype}")
-    got = global_rank(df, "v", dense=dense, ascending=ascending, output="r", num_ranges=ranges)
+    got = global_rank(
+        df, "v", dense=dense, ascending=ascending, output="r", num_ranges=ranges,
+        single_task_max_rows=single_task_max_rows,
+    )
     order = F.col("v").asc_nulls_first() if ascending else F.col("v").desc_nulls_last()
     fn = F.dense_rank() if dense else F.rank()
     want = df.withColumn("w", fn.over(Window.orderBy(order)))
@@ -31,6 +34,13 @@ def test_matches_window_with_hot_value_and_nulls(spark, dense, ascending, ranges
     _compare(spark, values, dense, ascending, ranges)
 
 
+@pytest.mark.parametrize("dense", [False, True])
+def test_small_input_takes_single_task_path(spark, dense):
+    rnd = random.Random(5)
+    values = [rnd.choice([None, 1.0, float(rnd.randint(0, 9))]) for _ in range(400)]
+    _compare(spark, values, dense, False, 8, single_task_max_rows=1000)
+
+
 def test_integer_values(spark):
     rnd = random.Random(3)
     _compare(spark, [rnd.randint(0, 20) for _ in range(500)], True, False, 6, "long")
@@ -57,7 +67,7 @@ def test_values_are_ranked_per_range(spark):
     import io
 
     df = spark.range(1000).select((F.col("id") % 37).cast("double").alias("v"), "id")
-    ranked = global_rank(df, "v", dense=True, output="r")
+    ranked = global_rank(df, "v", dense=True, output="r", single_task_max_rows=-1)
     ranked.collect()
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
