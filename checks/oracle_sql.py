@@ -229,6 +229,15 @@ ORACLE: dict[str, str] = {
         [RAW_ACCOUNTS, BRONZE_ACCOUNTS, VALID_ACCOUNTS],
         "SELECT * FROM bronze_accounts EXCEPT SELECT * FROM valid_accounts",
     ),
+    "accounts_quarantine_detail": with_(
+        [RAW_ACCOUNTS, BRONZE_ACCOUNTS],
+        "SELECT *, list_filter(["
+        + ", ".join(
+            f"CASE WHEN NOT coalesce(({pred}), false) THEN '{name}' END"
+            for name, pred in RULES.items()
+        )
+        + f"], lambda x: x IS NOT NULL) AS failed_rules FROM bronze_accounts WHERE NOT ({VALID})",
+    ),
     "accounts_quarantine_reasons": with_(
         [RAW_ACCOUNTS, BRONZE_ACCOUNTS],
         "\nUNION ALL\n".join(

@@ -113,3 +113,26 @@ def rate_pct(part: int, whole: int) -> float | None:
 
 def split(df: DataFrame, rules: Sequence[Rule]) -> QualitySplit:
     return QualitySplit(df, tuple(rules))
+
+
+def guard_unique(df: DataFrame, keys: Sequence[str], label: str = "") -> DataFrame:
+    """``df`` unchanged, but evaluating it fails if a non-NULL key repeats.
+
+    The check is a count over a window partitioned by the keys, so when the
+    result is joined on the same keys the join reuses that partitioning (no
+    extra shuffle).  Meant for dimension tables, whose key groups hold one
+    row; a repeated key is an error and stops the job."""
+    from pyspark.sql import Window
+
+    keys = list(keys)
+    present = F.lit(True)
+    for k in keys:
+        present = present & F.col(k).isNotNull()
+    counted = df.withColumn("_key_rows", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    message = F.concat(
+        F.lit(f"{label or 'table'}: duplicate key ({', '.join(keys)}) = "),
+        F.to_json(F.struct(*keys)),
+    )
+    repeated = present & (F.col("_key_rows") > 1)
+    guard = F.when(repeated, F.raise_error(message)).otherwise(F.lit(True))
+    return counted.filter(guard).drop("_key_rows")

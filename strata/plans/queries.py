@@ -106,6 +106,11 @@ def accounts_quarantine(spark: SparkSession, base: str) -> DataFrame:
     return acc.split_accounts(bronze_accounts(spark, base)).quarantine_distinct()
 
 
+def accounts_quarantine_detail(spark: SparkSession, base: str) -> DataFrame:
+    """Every failing bronze row (duplicates kept) with its failed rules."""
+    return acc.split_accounts(bronze_accounts(spark, base)).quarantine_with_reasons()
+
+
 def accounts_quarantine_reasons(spark: SparkSession, base: str) -> DataFrame:
     return acc.quarantine_reason_counts(bronze_accounts(spark, base))
 
@@ -168,6 +173,7 @@ QUERIES: dict[str, Query] = {
     "bronze_orders": bronze_orders,
     "accounts_valid": accounts_valid,
     "accounts_quarantine": accounts_quarantine,
+    "accounts_quarantine_detail": accounts_quarantine_detail,
     "accounts_quarantine_reasons": accounts_quarantine_reasons,
     "accounts_run_summary": accounts_run_summary,
     "silver_accounts": silver_accounts,

@@ -33,6 +33,7 @@ from strata.functions import (
     money_sum,
     stamp,
 )
+from strata.operators.quality import guard_unique
 from strata.operators.ranking import global_rank
 
 AsOf = dt.datetime | str | None
@@ -157,11 +158,14 @@ def fact_orders(
     dim_customers_df: DataFrame,
     dim_products_df: DataFrame,
     as_of: AsOf = None,
+    unique_dims: bool = False,
 ) -> DataFrame:
     """Order lines left-joined to their customer and product attributes.
 
     Unmatched lines keep NULL attributes.  Only the looked-up columns of
     each dimension are read (column pruning reaches the dimension scans).
+    A repeated dimension key would repeat its order lines; with
+    ``unique_dims`` the job fails instead (checked inside the plan).
     """
     customers = dim_customers_df.select(
         "customer_id",
@@ -175,6 +179,9 @@ def fact_orders(
         F.col("category").alias("product_category"),
         "price_tier",
     )
+    if unique_dims:
+        customers = guard_unique(customers, ["customer_id"], "dim_customers")
+        products = guard_unique(products, ["product_id"], "dim_products")
     return (
         order_lines(raw_orders)
         .join(customers, "customer_id", "left")

@@ -103,13 +103,18 @@ def save_upsert(
 
     Returns the number of rows in the table afterwards."""
     spark = source.sparkSession
+    staging = f"{table}__upsert_next"
+    if not table_exists(spark, table) and table_exists(spark, staging):
+        # A previous run stopped between dropping the table and renaming the
+        # staging copy; the staging table is only registered once its write
+        # committed, so it is complete: finish the swap first.
+        spark.sql(f"ALTER TABLE {_ident(staging)} RENAME TO {_ident(table)}")
     if not table_exists(spark, table):
         checked = upsert(source.limit(0), source, keys, reject_null_keys)
         return save_overwrite(checked, table, doc, fmt)
     spark.catalog.refreshTable(table)
     target = spark.table(table)
     merged = upsert(target, source, keys, reject_null_keys)
-    staging = f"{table}__upsert_next"
     spark.sql(f"DROP TABLE IF EXISTS {_ident(staging)}")
     rows = save_overwrite(merged, staging, None, fmt)
     spark.sql(f"DROP TABLE {_ident(table)}")

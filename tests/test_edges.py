@@ -198,3 +198,22 @@ def test_product_rank_ties_and_missing_revenue(spark):
         out = by_key(fn(fact, AS_OF), "product_id")
         assert {k: v["revenue_rank"] for k, v in out.items()} == {101: 1, 102: 1, 103: 2, 104: 3}
         assert out[104]["total_revenue"] is None
+
+
+def test_unique_dims_guard(spark):
+    from py4j.protocol import Py4JJavaError
+    from pyspark.errors import PySparkException
+
+    from strata.plans import sales
+    from tests.fixtures import CUSTOMERS, customers_df, orders_df, products_df
+
+    dup = CUSTOMERS + [CUSTOMERS[0]]
+    c = sales.dim_customers(sales.bronze_sales(customers_df(spark, dup), "customers", AS_OF), AS_OF)
+    p = sales.dim_products(sales.bronze_sales(products_df(spark), "products", AS_OF), AS_OF)
+    o = sales.bronze_sales(orders_df(spark), "orders", AS_OF)
+    # without the guard a repeated key repeats its lines (as a plain left join does)
+    assert sales.fact_orders(o, c, p, AS_OF).count() == 8
+    with pytest.raises((PySparkException, Py4JJavaError), match="duplicate key"):
+        sales.fact_orders(o, c, p, AS_OF, unique_dims=True).collect()
+    clean = sales.dim_customers(sales.bronze_sales(customers_df(spark), "customers", AS_OF), AS_OF)
+    assert sales.fact_orders(o, clean, p, AS_OF, unique_dims=True).count() == 6

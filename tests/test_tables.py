@@ -55,3 +55,14 @@ def test_partitioned_overwrite(spark, fresh_schema):
     assert spark.table(t).filter("month = '2024-02'").count() == 1
     parts = [r[0] for r in spark.sql(f"SHOW PARTITIONS {t}").collect()]
     assert sorted(parts) == ["month=2024-01", "month=2024-02"]
+
+
+def test_upsert_finishes_interrupted_swap(spark, fresh_schema):
+    t = f"{fresh_schema}.acc"
+    save_upsert(spark.createDataFrame([("a", 1)], "k string, v int"), t, ["k"])
+    save_upsert(spark.createDataFrame([("b", 1)], "k string, v int"), t, ["k"])
+    # simulate a stop right after the drop: only the complete staging copy exists
+    spark.sql(f"ALTER TABLE {t} RENAME TO {t}__upsert_next")
+    assert not spark.catalog.tableExists(t)
+    save_upsert(spark.createDataFrame([("c", 3)], "k string, v int"), t, ["k"])
+    assert sorted(tuple(r) for r in spark.table(t).collect()) == [("a", 1), ("b", 1), ("c", 3)]
