@@ -16,7 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.plans import accounts as acc
 from strata.plans import sales
 from strata.operators.quality import rate_pct
-from strata.sources.tables import TableDoc, ensure_schema, save_overwrite, save_upsert
+from strata.sources.tables import (
+    KEY_BUCKET,
+    TableDoc,
+    ensure_schema,
+    save_overwrite,
+    save_upsert,
+)
 
 AsOf = dt.datetime | str | None
 
@@ -94,20 +100,32 @@ class RunReport:
 
 
 def run_accounts_job(
-    spark: SparkSession, raw_accounts: DataFrame, schema: str, as_of: AsOf = None
+    spark: SparkSession,
+    raw_accounts: DataFrame,
+    schema: str,
+    as_of: AsOf = None,
+    key_buckets: int | None = None,
 ) -> RunReport:
     """bronze (upsert) -> quarantine (overwrite) + silver (upsert) ->
-    gold accounts (upsert), country and size analytics (overwrite)."""
+    gold accounts (upsert), country and size analytics (overwrite).
+
+    ``key_buckets`` stores the three upserted tables by key bucket so each
+    run rewrites only the buckets its accounts fall in (see ``save_upsert``).
+    """
     ensure_schema(spark, schema)
     t = lambda name: f"{schema}.{name}"
     report = RunReport()
 
     bronze_in = acc.bronze_accounts(raw_accounts, as_of)
     report.rows["bronze_accounts"] = save_upsert(
-        bronze_in, t("bronze_accounts"), ["AccountId"], ACCOUNT_DOCS["bronze_accounts"]
+        bronze_in,
+        t("bronze_accounts"),
+        ["AccountId"],
+        ACCOUNT_DOCS["bronze_accounts"],
+        key_buckets=key_buckets,
     )
 
-    bronze = spark.table(t("bronze_accounts"))
+    bronze = spark.table(t("bronze_accounts")).drop(KEY_BUCKET)
     # The quarantine write is the pass that also counts input/valid/bad rows.
     observed, quality = acc.split_accounts(bronze).observed("accounts_quality")
     report.rows["accounts_quarantine"] = save_overwrite(
@@ -124,15 +142,17 @@ def run_accounts_job(
         ["account_id"],
         ACCOUNT_DOCS["silver_accounts"],
         reject_null_keys=True,
+        key_buckets=key_buckets,
     )
 
-    silver = spark.table(t("silver_accounts"))
+    silver = spark.table(t("silver_accounts")).drop(KEY_BUCKET)
     report.rows["gold_accounts"] = save_upsert(
         acc.gold_accounts(silver),
         t("gold_accounts"),
         ["account_id"],
         ACCOUNT_DOCS["gold_accounts"],
         reject_null_keys=True,
+        key_buckets=key_buckets,
     )
     report.rows["gold_country_analytics"] = save_overwrite(
         acc.gold_country_analytics(silver, as_of),

@@ -138,19 +138,15 @@ def order_lines(raw_orders: DataFrame) -> DataFrame:
     """Positive-quantity order lines with parsed dates, line totals and
     status category (the fact before its dimension lookups)."""
     ts = F.try_to_timestamp(F.col("order_date"))
-    return (
-        raw_orders.filter(F.col("quantity") > 0)
-        .withColumn("order_date", ts)
-        .withColumns(
-            {
-                "order_date_only": F.to_date("order_date"),
-                "line_total": F.round(F.col("quantity") * F.col("unit_price"), 2),
-                "status_category": F.when(
-                    F.col("status") == DELIVERED_STATUS, F.lit(STATUS_COMPLETED)
-                ).otherwise(F.lit(STATUS_IN_PROGRESS)),
-            }
-        )
-    )
+    derived = {
+        "order_date": ts,
+        "order_date_only": F.to_date(ts),
+        "line_total": F.round(F.col("quantity") * F.col("unit_price"), 2),
+        "status_category": F.when(
+            F.col("status") == DELIVERED_STATUS, F.lit(STATUS_COMPLETED)
+        ).otherwise(F.lit(STATUS_IN_PROGRESS)),
+    }
+    return raw_orders.filter(F.col("quantity") > 0).withColumns(derived)
 
 
 def fact_orders(
@@ -182,12 +178,12 @@ def fact_orders(
     if unique_dims:
         customers = guard_unique(customers, ["customer_id"], "dim_customers")
         products = guard_unique(products, ["product_id"], "dim_products")
+    stamped = [as_of_literal(as_of).alias(c) if c == "_transformed_at" else c for c in FACT_COLUMNS]
     return (
         order_lines(raw_orders)
         .join(customers, "customer_id", "left")
         .join(products, "product_id", "left")
-        .withColumn("_transformed_at", as_of_literal(as_of))
-        .select(*FACT_COLUMNS)
+        .select(*stamped)
     )
 
 

@@ -41,6 +41,13 @@ def ensure_schema(spark: SparkSession, schema: str) -> None:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_ident(schema)}")
 
 
+def use_schema(spark: SparkSession, schema: str, catalog: str | None = None) -> None:
+    """Make ``[catalog.]schema`` current for unqualified names."""
+    if catalog:
+        spark.catalog.setCurrentCatalog(catalog)
+    spark.catalog.setCurrentDatabase(schema)
+
+
 def table_exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
 
@@ -98,10 +105,18 @@ def save_upsert(
     doc: TableDoc | None = None,
     fmt: str = "parquet",
     reject_null_keys: bool = False,
+    key_buckets: int | None = None,
 ) -> int:
     """Upsert ``source`` into ``table`` on ``keys`` (created when absent).
 
-    Returns the number of rows in the table afterwards."""
+    By default the whole table is rewritten (to a sibling table, then
+    swapped in).  With ``key_buckets`` the table is stored partitioned by
+    ``KEY_BUCKET = pmod(xxhash64(keys), key_buckets)`` and only the buckets
+    the source touches are read, merged and replaced (dynamic partition
+    overwrite), so a small batch into a huge table rewrites a small part of
+    it.  Returns the number of rows written."""
+    if key_buckets:
+        return _upsert_buckets(source, table, keys, doc, fmt, reject_null_keys, key_buckets)
     spark = source.sparkSession
     staging = f"{table}__upsert_next"
     if not table_exists(spark, table) and table_exists(spark, staging):
@@ -122,3 +137,51 @@ def save_upsert(
     spark.catalog.refreshTable(table)
     document_table(spark, table, doc)
     return rows
+
+
+KEY_BUCKET = "_key_bucket"
+
+
+def key_bucket(keys: Sequence[str], buckets: int):
+    """Stable bucket of a key in ``[0, buckets)`` (NULL keys share one)."""
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+
+
+def _upsert_buckets(
+    source: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    doc: TableDoc | None,
+    fmt: str,
+    reject_null_keys: bool,
+    buckets: int,
+) -> int:
+    spark = source.sparkSession
+    src = source.drop(KEY_BUCKET).withColumn(KEY_BUCKET, key_bucket(keys, buckets))
+    if not table_exists(spark, table):
+        checked = upsert(src.limit(0), src, keys, reject_null_keys)
+        return save_overwrite(checked, table, doc, fmt, partition_by=[KEY_BUCKET])
+    spark.catalog.refreshTable(table)
+    target = spark.table(table)
+    if KEY_BUCKET not in target.columns:
+        raise ValueError(f"save_upsert: {table} is not stored by key bucket")
+    # At most ``buckets`` small ints reach the driver: a proven bound.
+    touched = sorted(r[0] for r in src.select(KEY_BUCKET).distinct().collect())
+    if not touched:
+        return 0
+    staging = f"{table}__upsert_buckets"
+    spark.sql(f"DROP TABLE IF EXISTS {_ident(staging)}")
+    affected = target.filter(F.col(KEY_BUCKET).isin(touched))  # partition pruning
+    merged = upsert(affected, src.select(*target.columns), keys, reject_null_keys)
+    rows = save_overwrite(merged, staging, None, fmt, partition_by=[KEY_BUCKET])
+    mode_key = "spark.sql.sources.partitionOverwriteMode"
+    previous = spark.conf.get(mode_key)
+    spark.conf.set(mode_key, "dynamic")  # replace only the partitions written
+    try:
+        spark.table(staging).select(*target.columns).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(mode_key, previous)
+    spark.sql(f"DROP TABLE {_ident(staging)}")
+    spark.catalog.refreshTable(table)
+    document_table(spark, table, doc)
+    return rows

@@ -37,9 +37,11 @@ def start_incremental_upsert(
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
     reject_null_keys: bool = False,
+    key_buckets: int | None = None,
 ) -> StreamingQuery:
     """Start the intake query.  With ``available_now`` it processes every
-    file present at start (in bounded batches) and stops."""
+    file present at start (in bounded batches) and stops.  ``key_buckets``
+    makes each batch rewrite only the key buckets it touches."""
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
         reader = reader.option("header", "true")
@@ -50,7 +52,14 @@ def start_incremental_upsert(
         stream = transform(stream)
 
     def upsert_batch(batch: DataFrame, _epoch: int) -> None:
-        save_upsert(batch, table, keys, doc=doc, reject_null_keys=reject_null_keys)
+        save_upsert(
+            batch,
+            table,
+            keys,
+            doc=doc,
+            reject_null_keys=reject_null_keys,
+            key_buckets=key_buckets,
+        )
 
     writer = (
         stream.writeStream.foreachBatch(upsert_batch)

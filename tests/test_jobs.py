@@ -42,3 +42,25 @@ def test_sales_job(spark, fresh_schema):
     }
     top = spark.table(f"{fresh_schema}.product_performance").filter("revenue_rank = 1").first()
     assert top.product_id == 101
+
+
+def test_accounts_job_with_key_buckets(spark, fresh_schema):
+    rep = run_accounts_job(spark, accounts_df(spark), fresh_schema, AS_OF, key_buckets=8)
+    assert rep.rows["bronze_accounts"] == 12 and rep.rows["silver_accounts"] == 11
+    broken = [("ACC001", None, "Technology", "Enterprise", "USA", "USA", 5000, 1.0)]
+    rep2 = run_accounts_job(spark, accounts_df(spark, broken), fresh_schema, AS_OF, key_buckets=8)
+    assert rep2.rows["bronze_accounts"] < 12  # only ACC001's bucket rewritten
+    assert spark.table(f"{fresh_schema}.bronze_accounts").count() == 12
+    silver = {r.account_id: r for r in spark.table(f"{fresh_schema}.silver_accounts").collect()}
+    assert len(silver) == 11 and silver["ACC001"].annual_revenue == 50000000.0
+    assert rep2.rows["gold_country_analytics"] == 7
+
+
+def test_use_schema(spark, fresh_schema):
+    from strata.sources.tables import use_schema
+
+    use_schema(spark, fresh_schema)
+    try:
+        assert spark.catalog.currentDatabase() == fresh_schema
+    finally:
+        use_schema(spark, "default")
