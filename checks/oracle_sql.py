@@ -75,7 +75,8 @@ GOLD = """gold AS (SELECT account_id, account_name, account_type, industry, coun
     hq_country, employee_count, company_size, annual_revenue_abs, revenue_tier,
     processed_timestamp FROM silver)"""
 
-ACCOUNTS_BASE = [RAW_ACCOUNTS, BRONZE_ACCOUNTS, VALID_ACCOUNTS, SILVER]
+ACCOUNTS_FROM_RAW = [BRONZE_ACCOUNTS, VALID_ACCOUNTS, SILVER]
+ACCOUNTS_BASE = [RAW_ACCOUNTS] + ACCOUNTS_FROM_RAW
 
 COUNTRY = f"""country_analytics AS (
   SELECT *,
@@ -199,7 +200,8 @@ fact AS (
   LEFT JOIN dim_customers c ON l.customer_id = c.customer_id
   LEFT JOIN dim_products p ON l.product_id = p.product_id)"""
 
-SALES_BASE = [BRONZE_CUSTOMERS, BRONZE_PRODUCTS, BRONZE_ORDERS, DIM_CUSTOMERS, DIM_PRODUCTS, FACT]
+SALES_FROM_BRONZE = [DIM_CUSTOMERS, DIM_PRODUCTS, FACT]
+SALES_BASE = [BRONZE_CUSTOMERS, BRONZE_PRODUCTS, BRONZE_ORDERS] + SALES_FROM_BRONZE
 
 MONEY_SUM = "CAST(sum(CAST(line_total AS DECIMAL(18,2))) AS DOUBLE)"
 
@@ -213,6 +215,45 @@ PRODUCT_TOTALS = f"""product_totals AS (
   GROUP BY product_id, product_name, product_category, price_tier)"""
 
 
+# Gold statements over the ``fact`` / ``product_totals`` CTEs.
+DAILY_SALES_SUMMARY_SQL = f"""SELECT order_date_only,
+              count(DISTINCT order_id) AS total_orders,
+              CAST(sum(quantity) AS BIGINT) AS total_units_sold,
+              {MONEY_SUM} AS total_revenue,
+              count(DISTINCT customer_id) AS unique_customers,
+              {AS_OF} AS _aggregated_at
+            FROM fact WHERE status_category = 'Completed'
+            GROUP BY order_date_only"""
+
+CUSTOMER_METRICS_SQL = f"""SELECT customer_id, customer_name, customer_city, customer_state,
+              total_orders, total_items, total_revenue,
+              CASE WHEN n > 0 THEN sign(s) * ((2 * abs(s) + n) // (2 * n)) / 100
+              END AS avg_order_value,
+              CASE WHEN total_revenue >= 1000 THEN 'VIP'
+                   WHEN total_orders >= 2 THEN 'Loyal' ELSE 'Regular' END
+                AS customer_segment,
+              {AS_OF} AS _aggregated_at
+            FROM (
+              SELECT customer_id, customer_name, customer_city, customer_state,
+                count(DISTINCT order_id) AS total_orders,
+                CAST(sum(quantity) AS BIGINT) AS total_items,
+                {MONEY_SUM} AS total_revenue,
+                sum(CAST(round(line_total * 100) AS BIGINT)) AS s,
+                count(line_total) AS n
+              FROM fact WHERE status_category = 'Completed'
+              GROUP BY customer_id, customer_name, customer_city, customer_state)"""
+
+PRODUCT_PERFORMANCE_SQL = f"""SELECT *, dense_rank() OVER (ORDER BY total_revenue DESC NULLS LAST)
+                      AS revenue_rank,
+                   {AS_OF} AS _aggregated_at
+            FROM product_totals"""
+
+PRODUCT_RANK_GLOBAL_SQL = """SELECT product_id, total_revenue,
+             rank() OVER (ORDER BY total_revenue DESC NULLS LAST) AS revenue_rank,
+             dense_rank() OVER (ORDER BY total_revenue DESC NULLS LAST) AS revenue_dense_rank
+           FROM product_totals"""
+
+
 def with_(ctes: list[str], body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
@@ -231,12 +272,13 @@ ORACLE: dict[str, str] = {
     ),
     "accounts_quarantine_detail": with_(
         [RAW_ACCOUNTS, BRONZE_ACCOUNTS],
-        "SELECT *, list_filter(["
+        "SELECT *, array_to_string(list_filter(["
         + ", ".join(
             f"CASE WHEN NOT coalesce(({pred}), false) THEN '{name}' END"
             for name, pred in RULES.items()
         )
-        + f"], lambda x: x IS NOT NULL) AS failed_rules FROM bronze_accounts WHERE NOT ({VALID})",
+        + f"], lambda x: x IS NOT NULL), ',') AS failed_rules"
+        + f" FROM bronze_accounts WHERE NOT ({VALID})",
     ),
     "accounts_quarantine_reasons": with_(
         [RAW_ACCOUNTS, BRONZE_ACCOUNTS],
@@ -297,44 +339,9 @@ ORACLE: dict[str, str] = {
     "dim_customers": with_([BRONZE_CUSTOMERS, DIM_CUSTOMERS], "SELECT * FROM dim_customers"),
     "dim_products": with_([BRONZE_PRODUCTS, DIM_PRODUCTS], "SELECT * FROM dim_products"),
     "fact_orders": with_(SALES_BASE, "SELECT * FROM fact"),
-    "daily_sales_summary": with_(
-        SALES_BASE,
-        f"""SELECT order_date_only,
-              count(DISTINCT order_id) AS total_orders,
-              CAST(sum(quantity) AS BIGINT) AS total_units_sold,
-              {MONEY_SUM} AS total_revenue,
-              count(DISTINCT customer_id) AS unique_customers,
-              {AS_OF} AS _aggregated_at
-            FROM fact WHERE status_category = 'Completed'
-            GROUP BY order_date_only""",
-    ),
-    "customer_metrics": with_(
-        SALES_BASE,
-        f"""SELECT customer_id, customer_name, customer_city, customer_state,
-              total_orders, total_items, total_revenue,
-              CASE WHEN n > 0 THEN sign(s) * ((2 * abs(s) + n) // (2 * n)) / 100
-              END AS avg_order_value,
-              CASE WHEN total_revenue >= 1000 THEN 'VIP'
-                   WHEN total_orders >= 2 THEN 'Loyal' ELSE 'Regular' END
-                AS customer_segment,
-              {AS_OF} AS _aggregated_at
-            FROM (
-              SELECT customer_id, customer_name, customer_city, customer_state,
-                count(DISTINCT order_id) AS total_orders,
-                CAST(sum(quantity) AS BIGINT) AS total_items,
-                {MONEY_SUM} AS total_revenue,
-                sum(CAST(round(line_total * 100) AS BIGINT)) AS s,
-                count(line_total) AS n
-              FROM fact WHERE status_category = 'Completed'
-              GROUP BY customer_id, customer_name, customer_city, customer_state)""",
-    ),
-    "product_performance": with_(
-        SALES_BASE + [PRODUCT_TOTALS],
-        f"""SELECT *, dense_rank() OVER (ORDER BY total_revenue DESC NULLS LAST)
-                      AS revenue_rank,
-                   {AS_OF} AS _aggregated_at
-            FROM product_totals""",
-    ),
+    "daily_sales_summary": with_(SALES_BASE, DAILY_SALES_SUMMARY_SQL),
+    "customer_metrics": with_(SALES_BASE, CUSTOMER_METRICS_SQL),
+    "product_performance": with_(SALES_BASE + [PRODUCT_TOTALS], PRODUCT_PERFORMANCE_SQL),
     "product_performance_window": with_(
         SALES_BASE + [PRODUCT_TOTALS],
         f"""SELECT *, CAST(dense_rank() OVER (ORDER BY total_revenue DESC NULLS LAST)
@@ -342,11 +349,5 @@ ORACLE: dict[str, str] = {
                    {AS_OF} AS _aggregated_at
             FROM product_totals""",
     ),
-    "product_rank_global": with_(
-        SALES_BASE + [PRODUCT_TOTALS],
-        """SELECT product_id, total_revenue,
-             rank() OVER (ORDER BY total_revenue DESC NULLS LAST) AS revenue_rank,
-             dense_rank() OVER (ORDER BY total_revenue DESC NULLS LAST) AS revenue_dense_rank
-           FROM product_totals""",
-    ),
+    "product_rank_global": with_(SALES_BASE + [PRODUCT_TOTALS], PRODUCT_RANK_GLOBAL_SQL),
 }

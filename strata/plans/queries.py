@@ -107,8 +107,12 @@ def accounts_quarantine(spark: SparkSession, base: str) -> DataFrame:
 
 
 def accounts_quarantine_detail(spark: SparkSession, base: str) -> DataFrame:
-    """Every failing bronze row (duplicates kept) with its failed rules."""
-    return acc.split_accounts(bronze_accounts(spark, base)).quarantine_with_reasons()
+    """Every failing bronze row (duplicates kept) with its failed rules as a
+    comma-separated list (the quarantine table itself keeps the array)."""
+    from pyspark.sql import functions as F
+
+    detail = acc.split_accounts(bronze_accounts(spark, base)).quarantine_with_reasons()
+    return detail.withColumn("failed_rules", F.array_join("failed_rules", ","))
 
 
 def accounts_quarantine_reasons(spark: SparkSession, base: str) -> DataFrame:
