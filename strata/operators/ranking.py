@@ -70,12 +70,44 @@ def global_rank(
     ``single_task_max_rows`` rows are ranked by the plain window in one
     task, anything larger by ranges.
     """
+    return global_ranks(
+        df,
+        value,
+        rank_col=None if dense else output,
+        dense_rank_col=output if dense else None,
+        ascending=ascending,
+        num_ranges=num_ranges,
+        accuracy=accuracy,
+        materialize=materialize,
+        single_task_max_rows=single_task_max_rows,
+    )
+
+
+def global_ranks(
+    df: DataFrame,
+    value: str,
+    *,
+    rank_col: str | None = "rank",
+    dense_rank_col: str | None = None,
+    ascending: bool = False,
+    num_ranges: int | None = None,
+    accuracy: int = 10000,
+    materialize: str | None = "checkpoint",
+    single_task_max_rows: int = 1_000_000,
+) -> DataFrame:
+    """``global_rank`` producing ``rank`` and/or ``dense_rank`` columns in
+    one pass (both come from the same per-range numbering and offsets)."""
+    if not rank_col and not dense_rank_col:
+        raise ValueError("global_ranks: ask for rank_col and/or dense_rank_col")
     spark = df.sparkSession
     if num_ranges is None:
         num_ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     num_ranges = max(1, num_ranges)
     n_bounds = num_ranges - 1
     if materialize == "checkpoint":
+        from strata.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(spark)
         df = df.checkpoint(eager=True)
     elif materialize == "cache":
         df = df.persist()
@@ -85,8 +117,13 @@ def global_rank(
     v = F.col(value)
     order = v.asc_nulls_first() if ascending else v.desc_nulls_last()
     if materialize is not None and df.count() <= single_task_max_rows:
-        fn = F.dense_rank() if dense else F.rank()
-        return df.withColumn(output, fn.over(Window.orderBy(order)).cast("bigint"))
+        w = Window.orderBy(order)
+        columns = {}
+        if rank_col:
+            columns[rank_col] = F.rank().over(w).cast("bigint")
+        if dense_rank_col:
+            columns[dense_rank_col] = F.dense_rank().over(w).cast("bigint")
+        return df.withColumns(columns)
 
     values = df.groupBy(value).agg(F.count(F.lit(1)).alias("_rows"))
 
@@ -125,12 +162,15 @@ def global_rank(
         F.coalesce(F.sum("_rows").over(prior), F.lit(0)).alias("_rows_before"),
     )
 
-    if dense:
-        rank = F.col("_values_before") + F.col("_local_dense")
-    else:
+    ranks = []
+    if rank_col:
         rank = F.col("_rows_before") + F.col("_local_before") + 1
+        ranks.append(rank.cast("bigint").alias(rank_col))
+    if dense_rank_col:
+        dense = F.col("_values_before") + F.col("_local_dense")
+        ranks.append(dense.cast("bigint").alias(dense_rank_col))
     ranked_values = ranked_locally.join(F.broadcast(offsets), "_range").select(
-        F.col(value).alias("_ranked_value"), rank.cast("bigint").alias(output)
+        F.col(value).alias("_ranked_value"), *ranks
     )
     return df.join(
         ranked_values, df[value].eqNullSafe(ranked_values["_ranked_value"]), "inner"

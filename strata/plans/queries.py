@@ -71,18 +71,16 @@ def product_rank_global(spark: SparkSession, base: str) -> DataFrame:
     """Both ranks of every product by completed revenue (ties included),
     always through the range-partitioned method (no single-task window,
     whatever the input size)."""
-    from strata.operators.ranking import global_rank
+    from strata.operators.ranking import global_ranks
 
     totals = sales.product_totals(fact_orders(spark, base)).select(
         "product_id", "total_revenue"
     )
-    ranked = global_rank(totals, "total_revenue", output="revenue_rank", single_task_max_rows=-1)
-    return global_rank(
-        ranked,
+    return global_ranks(
+        totals,
         "total_revenue",
-        dense=True,
-        output="revenue_dense_rank",
-        materialize=None,
+        rank_col="revenue_rank",
+        dense_rank_col="revenue_dense_rank",
         single_task_max_rows=-1,
     )
 

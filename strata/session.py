@@ -65,13 +65,21 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; set a scratch one only when
-    the session has none (tests, local runs)."""
+    """Return the session's checkpoint folder (``spark.checkpoint.dir``).
+
+    Only a ``local`` session without one gets a scratch folder (tests, local
+    runs); on a cluster a machine-local folder would be wrong, so a missing
+    setting is an error there."""
     current = checkpoint_dir(spark)
     if current:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return spark.sparkContext.getCheckpointDir()
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: name a shared folder (e.g. on the "
+            "cluster file system) for checkpoints and streaming state"
+        )
     local = tempfile.mkdtemp(prefix="strata-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir()

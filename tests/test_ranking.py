@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from strata.operators.ranking import global_rank
+from strata.operators.ranking import global_rank, global_ranks
 
 
 def _compare(spark, values, dense, ascending, ranges, dtype="double", single_task_max_rows=-1):
@@ -78,3 +78,16 @@ def test_values_are_ranked_per_range(spark):
     # and the quantile merge (one buffer per task)
     assert "hashpartitioning(_range" in plan
     assert plan.count("SinglePartition") <= 3
+
+
+@pytest.mark.parametrize("limit", [-1, 10_000])
+def test_both_ranks_in_one_pass(spark, limit):
+    rnd = random.Random(11)
+    rows = [(i, rnd.choice([None, 2.0, 2.0, float(rnd.randint(0, 30))])) for i in range(1500)]
+    df = spark.createDataFrame(rows, "id long, v double")
+    got = global_ranks(df, "v", rank_col="r", dense_rank_col="d", num_ranges=5, single_task_max_rows=limit)
+    w = Window.orderBy(F.col("v").desc_nulls_last())
+    want = df.withColumn("r2", F.rank().over(w)).withColumn("d2", F.dense_rank().over(w))
+    j = got.join(want, "id")
+    assert j.count() == 1500
+    assert j.filter((F.col("r") != F.col("r2")) | (F.col("d") != F.col("d2"))).count() == 0
