@@ -7,10 +7,8 @@ contract that downstream layers and stored tables depend on.
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    DataType,
     DoubleType,
     IntegerType,
-    LongType,
     StringType,
     StructField,
     StructType,
@@ -72,26 +70,3 @@ ORDERS = StructType(
 SOURCE_SYSTEMS = {"customers": "CRM", "products": "INVENTORY", "orders": "ORDERS"}
 ACCOUNTS_SOURCE_SYSTEM = "source_crm"
 # -----------------------------------------------------------------------------
-
-ID_COLUMNS = {
-    "customers": ("customer_id",),
-    "products": ("product_id",),
-    "orders": ("order_id", "customer_id", "product_id"),
-}
-
-
-def with_wide_ids(schema: StructType, feed: str) -> StructType:
-    """The feed schema with its id columns widened to bigint.
-
-    Sources whose keys are 64-bit keep them; nothing else changes.
-    """
-    wide: set[str] = set(ID_COLUMNS.get(feed, ()))
-    fields = [
-        StructField(f.name, LongType() if f.name in wide else f.dataType, f.nullable)
-        for f in schema.fields
-    ]
-    return StructType(fields)
-
-
-def field_types(schema: StructType) -> dict[str, DataType]:
-    return {f.name: f.dataType for f in schema.fields}

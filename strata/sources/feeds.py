@@ -21,8 +21,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from strata import schemas
-
 # The star-schema tables as stored (DDL strings).  Reading with
 # a declared schema skips footer inference (one job per read otherwise).
 STAR_SCHEMAS = {
