@@ -87,10 +87,16 @@ def save_overwrite(
     """Full refresh: replace the table (schema included) with ``df``.
 
     The row count is observed during the write itself (no second pass) and
-    returned."""
+    returned.  A partitioned write is rebalanced on the partition columns
+    first, so each table partition is written by a few tasks of a sensible
+    size (AQE splits large ones) instead of one small file per task per
+    partition."""
     spark = df.sparkSession
     obs = Observation(f"rows:{table}")
-    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format(fmt)
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    if partition_by:
+        observed = observed.hint("rebalance", *partition_by)
+    writer = observed.write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(table)

@@ -74,7 +74,7 @@ def test_bucketed_upsert_rewrites_only_touched_buckets(spark, fresh_schema):
     from strata.sources.tables import KEY_BUCKET
 
     t = f"{fresh_schema}.big"
-    first = spark.createDataFrame([(f"k{i}", 1) for i in range(200)], "k string, v int")
+    first = spark.createDataFrame([(f"k{i}", 1) for i in range(200)], "k string, v int").repartition(8)
     assert save_upsert(first, t, ["k"], DOC, key_buckets=16) == 200
 
     def files():
@@ -82,6 +82,10 @@ def test_bucketed_upsert_rewrites_only_touched_buckets(spark, fresh_schema):
         return {(r[0], r[1]) for r in df.collect()}
 
     before = files()
+    per_bucket = {}
+    for b, _ in before:
+        per_bucket[b] = per_bucket.get(b, 0) + 1
+    assert max(per_bucket.values()) == 1  # rebalanced: one file per bucket, not per task
     batch = spark.createDataFrame([("k3", 2), ("new", 2)], "k string, v int")
     written = save_upsert(batch, t, ["k"], DOC, key_buckets=16)
     rows = {r.k: r.v for r in spark.table(t).collect()}
