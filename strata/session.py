@@ -31,6 +31,9 @@ SCALE_SETTINGS: dict[str, str] = {
     "spark.sql.session.timeZone": "UTC",
     # Scan splits sized for executor memory.
     "spark.sql.files.maxPartitionBytes": "256MB",
+    # Remove checkpoint files (rank inputs) once nothing references them, so
+    # the shared checkpoint folder does not grow run after run.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
