@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from strata.session import state_location
+from strata.sources.intake import RESCUE_COLUMN, with_rescue
 from strata.sources.tables import TableDoc, save_upsert
 
 
@@ -42,7 +43,17 @@ def start_incremental_upsert(
     """Start the intake query.  With ``available_now`` it processes every
     file present at start (in bounded batches) and stops.  ``key_buckets``
     makes each batch rewrite only the key buckets it touches."""
-    reader = spark.readStream.schema(schema).format(fmt)
+    if fmt in ("csv", "json"):
+        # Text landing files keep malformed records: NULL fields plus the raw
+        # text in the rescue column, as in batch intake.
+        reader = (
+            spark.readStream.schema(with_rescue(schema, RESCUE_COLUMN))
+            .format(fmt)
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", RESCUE_COLUMN)
+        )
+    else:
+        reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
         reader = reader.option("header", "true")
     if max_files_per_trigger:

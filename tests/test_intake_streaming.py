@@ -64,3 +64,21 @@ def test_incremental_upsert(spark, fresh_schema):
         ("A1", "one"), ("A2", "two v2"), ("A3", "three")]
     run()  # nothing new: the checkpoint remembers processed files
     assert read_fresh(spark, table).count() == 3
+
+
+def test_incremental_csv_keeps_malformed_records(spark, fresh_schema):
+    landing = tempfile.mkdtemp(prefix="landing-")
+    ckpt = tempfile.mkdtemp(prefix="ckpt-")
+    table = f"{fresh_schema}.bronze_accounts"
+    with open(os.path.join(landing, "a.csv"), "w") as f:
+        f.write(CSV)
+    q = start_incremental_upsert(
+        spark, landing, schemas.ACCOUNTS, table, ["AccountId"], fmt="csv",
+        transform=lambda df: acc.bronze_accounts(df, AS_OF), checkpoint=ckpt,
+    )
+    q.awaitTermination(120)
+    assert q.exception() is None
+    rows = {r.AccountId: r for r in read_fresh(spark, table).collect()}
+    assert set(rows) == {"A1", "A2", "A3"}
+    assert rows["A2"]._rescued_data == "A2,Beta,Tech,SMB,UK,UK,not-a-number,5"
+    assert rows["A1"]._rescued_data is None
