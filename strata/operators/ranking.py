@@ -64,8 +64,10 @@ def global_rank(
     all rows, ordered descending (NULLs last) or ascending (NULLs first),
     exactly as the unpartitioned window would, as a ``bigint``.
 
-    ``num_ranges`` defaults to ``spark.sql.shuffle.partitions``; the result
-    does not depend on it.  When the input is materialised its row count is
+    ``value`` must be numeric, date or timestamp (the range bounds are
+    approximate quantiles).  ``num_ranges`` defaults to
+    ``spark.sql.shuffle.partitions``; the result does not depend on it.
+    When the input is materialised its row count is
     checked (one cheap pass over the materialised copy): at most
     ``single_task_max_rows`` rows are ranked by the plain window in one
     task, anything larger by ranges.
