@@ -336,6 +336,17 @@ ORACLE: dict[str, str] = {
            UNION ALL
            SELECT * FROM silver""",
     ),
+    "orders_quarantine_reasons": with_(
+        [BRONZE_ORDERS],
+        """SELECT 'quantity_positive' AS rule,
+                  count(*) FILTER (WHERE NOT coalesce(quantity > 0, false)) AS failed_records
+           FROM bronze_orders
+           UNION ALL
+           SELECT 'order_date_parses',
+                  count(*) FILTER (WHERE NOT coalesce(order_date IS NULL
+                      OR try_cast(order_date AS TIMESTAMP) IS NOT NULL, false))
+           FROM bronze_orders""",
+    ),
     "dim_customers": with_([BRONZE_CUSTOMERS, DIM_CUSTOMERS], "SELECT * FROM dim_customers"),
     "dim_products": with_([BRONZE_PRODUCTS, DIM_PRODUCTS], "SELECT * FROM dim_products"),
     "fact_orders": with_(SALES_BASE, "SELECT * FROM fact"),

@@ -34,6 +34,10 @@ def bronze_orders(spark: SparkSession, base: str) -> DataFrame:
     return sales.bronze_sales(feeds.orders_from_star(spark, base), "orders", AS_OF)
 
 
+def orders_quarantine_reasons(spark: SparkSession, base: str) -> DataFrame:
+    return sales.split_orders(bronze_orders(spark, base)).failure_counts()
+
+
 def dim_customers(spark: SparkSession, base: str) -> DataFrame:
     return sales.dim_customers(bronze_customers(spark, base), AS_OF)
 
@@ -187,6 +191,7 @@ QUERIES: dict[str, Query] = {
     "report_size_distribution": report_size_distribution,
     "accounts_sample": accounts_sample,
     "accounts_upsert": accounts_upsert,
+    "orders_quarantine_reasons": orders_quarantine_reasons,
     "dim_customers": dim_customers,
     "dim_products": dim_products,
     "fact_orders": fact_orders,

@@ -33,7 +33,7 @@ from strata.functions import (
     money_sum,
     stamp,
 )
-from strata.operators.quality import guard_unique
+from strata.operators.quality import QualitySplit, Rule, guard_unique, split
 from strata.operators.ranking import global_rank
 
 AsOf = dt.datetime | str | None
@@ -149,6 +149,23 @@ def order_lines(raw_orders: DataFrame) -> DataFrame:
     return raw_orders.filter(F.col("quantity") > 0).withColumns(derived)
 
 
+def order_rules() -> list[Rule]:
+    """Quality of an order line: a positive quantity (lines failing it are
+    left out of the facts) and, when a date is present, one that parses
+    (such lines stay in the facts with a NULL date)."""
+    date = F.col("order_date")
+    return [
+        Rule("quantity_positive", F.col("quantity") > 0),
+        Rule("order_date_parses", date.isNull() | F.try_to_timestamp(date).isNotNull()),
+    ]
+
+
+def split_orders(raw_orders: DataFrame) -> QualitySplit:
+    """Order lines split by ``order_rules``: ``.quarantine_with_reasons()``
+    lists the lines to review, ``.failure_counts()`` counts them per rule."""
+    return split(raw_orders, order_rules())
+
+
 def fact_orders(
     raw_orders: DataFrame,
     dim_customers_df: DataFrame,

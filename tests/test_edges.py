@@ -217,3 +217,14 @@ def test_unique_dims_guard(spark):
         sales.fact_orders(o, c, p, AS_OF, unique_dims=True).collect()
     clean = sales.dim_customers(sales.bronze_sales(customers_df(spark), "customers", AS_OF), AS_OF)
     assert sales.fact_orders(o, clean, p, AS_OF, unique_dims=True).count() == 6
+
+
+def test_order_quarantine(spark):
+    from tests.fixtures import orders_df
+
+    split = sales.split_orders(orders_df(spark, ORDERS))
+    bad = {r.order_id: r.failed_rules for r in split.quarantine_with_reasons().collect()}
+    assert bad == {2: ["quantity_positive"], 3: ["quantity_positive"], 4: ["quantity_positive"],
+                   5: ["order_date_parses"]}
+    counts = {r.rule: r.failed_records for r in split.failure_counts().collect()}
+    assert counts == {"quantity_positive": 3, "order_date_parses": 1}
