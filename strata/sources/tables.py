@@ -5,10 +5,19 @@ previous layer's table), which also cuts lineage: a lost executor never
 forces a recomputation further back than the last written table.
 
 Tables are parquet by default.  Without a transactional table format there
-is no ``MERGE``, so ``save_upsert`` writes the upserted result to a sibling
-table and swaps it in (drop + rename).  **The swap is not atomic**: a
-reader between the drop and the rename sees no table.  With a format that
-supports ``MERGE``, use ``DataFrame.mergeInto`` instead.
+is no ``MERGE``; ``save_upsert`` instead
+
+* for tables it created (external, in versioned folders under the schema's
+  folder): writes the upserted result as a new version folder and repoints
+  the table with ``ALTER TABLE ... SET LOCATION`` - a single catalog update,
+  so readers see the old or the new version and no data is moved.  Earlier
+  version folders are kept (snapshots of previous runs) for housekeeping;
+* with ``key_buckets``: rewrites only the key buckets a batch touches
+  (dynamic partition overwrite);
+* for managed tables created elsewhere: writes a sibling table and swaps it
+  in (drop + rename), which is **not atomic**.
+
+With a format that supports ``MERGE``, use ``DataFrame.mergeInto`` instead.
 """
 
 from __future__ import annotations
@@ -41,6 +50,44 @@ def ensure_schema(spark: SparkSession, schema: str) -> None:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_ident(schema)}")
 
 
+def table_location(spark: SparkSession, table: str) -> tuple[str | None, str | None]:
+    """The table's storage folder and kind (``MANAGED`` / ``EXTERNAL``)."""
+    info = {
+        r.col_name: r.data_type
+        for r in spark.sql(f"DESCRIBE TABLE EXTENDED {_ident(table)}").collect()
+    }
+    return info.get("Location"), info.get("Type")
+
+
+def schema_location(spark: SparkSession, table: str) -> str:
+    """Storage folder of the schema holding ``table``."""
+    schema = table.rsplit(".", 1)[0] if "." in table else spark.catalog.currentDatabase()
+    info = {
+        r.info_name: r.info_value
+        for r in spark.sql(f"DESCRIBE SCHEMA {_ident(schema)}").collect()
+    }
+    return info["Location"].rstrip("/")
+
+
+def _versioned(location: str) -> str:
+    """A new sibling folder name for the next version of a table."""
+    import datetime as dt
+    import re
+    import uuid
+
+    base = re.sub(r"__v[0-9a-zA-Z]+$", "", location.rstrip("/"))
+    stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
+    return f"{base}__v{stamp}{uuid.uuid4().hex[:8]}"
+
+
+def _write_files(df: DataFrame, path: str, fmt: str) -> int:
+    obs = Observation(f"rows:{path}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").format(
+        fmt
+    ).save(path)
+    return int(obs.get["rows"])
+
+
 def use_schema(spark: SparkSession, schema: str, catalog: str | None = None) -> None:
     """Make ``[catalog.]schema`` current for unqualified names."""
     if catalog:
@@ -83,8 +130,10 @@ def save_overwrite(
     doc: TableDoc | None = None,
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
+    path: str | None = None,
 ) -> int:
-    """Full refresh: replace the table (schema included) with ``df``.
+    """Full refresh: replace the table (schema included) with ``df``; with
+    ``path`` the table is external and stored there.
 
     The row count is observed during the write itself (no second pass) and
     returned.  A partitioned write is rebalanced on the partition columns
@@ -97,6 +146,8 @@ def save_overwrite(
     if partition_by:
         observed = observed.hint("rebalance", *partition_by)
     writer = observed.write.mode("overwrite").format(fmt)
+    if path:
+        writer = writer.option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(table)
@@ -132,10 +183,23 @@ def save_upsert(
         spark.sql(f"ALTER TABLE {_ident(staging)} RENAME TO {_ident(table)}")
     if not table_exists(spark, table):
         checked = upsert(source.limit(0), source, keys, reject_null_keys)
-        return save_overwrite(checked, table, doc, fmt)
+        first = _versioned(f"{schema_location(spark, table)}/{table.rsplit('.', 1)[-1]}")
+        return save_overwrite(checked, table, doc, fmt, path=first)
     spark.catalog.refreshTable(table)
     target = spark.table(table)
     merged = upsert(target, source, keys, reject_null_keys)
+    location, kind = table_location(spark, table)
+    if kind == "EXTERNAL" and location:
+        # Write the next version beside the current one, then repoint the
+        # table: one catalog update, no data moved.  Readers see the old or
+        # the new version, never neither; a failure before the switch leaves
+        # the table on its previous version (the new folder is an orphan).
+        nxt = _versioned(location)
+        rows = _write_files(merged, nxt, fmt)
+        spark.sql(f"ALTER TABLE {_ident(table)} SET LOCATION {_quote(nxt)}")
+        spark.catalog.refreshTable(table)
+        document_table(spark, table, doc)
+        return rows
     spark.sql(f"DROP TABLE IF EXISTS {_ident(staging)}")
     rows = save_overwrite(merged, staging, None, fmt)
     spark.sql(f"DROP TABLE {_ident(table)}")

@@ -97,3 +97,20 @@ def test_bucketed_upsert_rewrites_only_touched_buckets(spark, fresh_schema):
     assert written < 200  # only the touched buckets were rewritten
     props, cols, _ = _meta(spark, t)
     assert props["quality_tier"] == "gold"
+
+
+def test_upsert_switches_versions_atomically(spark, fresh_schema):
+    from strata.sources.tables import table_location
+
+    t = f"{fresh_schema}.ver"
+    save_upsert(spark.createDataFrame([("a", 1)], "k string, v int"), t, ["k"], DOC)
+    loc1, kind = table_location(spark, t)
+    assert kind == "EXTERNAL" and "__v" in loc1
+    save_upsert(spark.createDataFrame([("a", 2), ("b", 2)], "k string, v int"), t, ["k"], DOC)
+    loc2, _ = table_location(spark, t)
+    assert loc2 != loc1
+    assert sorted(tuple(r) for r in spark.table(t).collect()) == [("a", 2), ("b", 2)]
+    # the previous version is still a complete snapshot
+    assert [tuple(r) for r in spark.read.parquet(loc1).collect()] == [("a", 1)]
+    props, cols, comment = _meta(spark, t)
+    assert props["quality_tier"] == "gold" and cols["k"] == "the key"
