@@ -78,7 +78,7 @@ def _same(spark_df, con, sql):
     assert got == want
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1, 2, 3, 4])
 def test_accounts_random(spark, seed):
     rnd = random.Random(seed)
     rows = _accounts(rnd)
@@ -96,7 +96,7 @@ def test_accounts_random(spark, seed):
     _same(split.summary(), con, o.ORACLE["accounts_run_summary"].replace(o.RAW_ACCOUNTS + ",\n", ""))
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1, 2, 3, 4])
 def test_sales_random(spark, seed):
     rnd = random.Random(seed)
     customers, products, orders = _sales(rnd)
