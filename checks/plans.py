@@ -22,7 +22,25 @@ def final_plan(df) -> str:
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         df.explain()
-    return buf.getvalue().split("== Initial Plan ==")[0]
+    return drop_initial_plans(buf.getvalue())
+
+
+def drop_initial_plans(text: str) -> str:
+    """Remove every ``== Initial Plan ==`` subtree (the main query's and each
+    subquery's), keeping the final plans."""
+    kept, skip_deeper_than = [], None
+    for line in text.splitlines():
+        indent = len(line) - len(line.lstrip(" :|"))
+        if skip_deeper_than is not None:
+            if line.strip() and indent <= skip_deeper_than:
+                skip_deeper_than = None
+            else:
+                continue
+        if "== Initial Plan ==" in line:
+            skip_deeper_than = indent
+            continue
+        kept.append(line)
+    return "\n".join(kept)
 
 
 KINDS = "ENSURE_REQUIREMENTS|REPARTITION_BY_COL|REBALANCE_PARTITIONS_BY_COL|REPARTITION_BY_NUM"
