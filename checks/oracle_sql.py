@@ -336,6 +336,18 @@ ORACLE: dict[str, str] = {
            UNION ALL
            SELECT * FROM silver""",
     ),
+    "orders_quarantine_detail": with_(
+        [BRONZE_ORDERS],
+        """SELECT *, array_to_string(list_filter([
+                 CASE WHEN NOT coalesce(quantity > 0, false) THEN 'quantity_positive' END,
+                 CASE WHEN NOT coalesce(order_date IS NULL
+                     OR try_cast(order_date AS TIMESTAMP) IS NOT NULL, false)
+                      THEN 'order_date_parses' END], lambda x: x IS NOT NULL), ',')
+                 AS failed_rules
+           FROM bronze_orders
+           WHERE NOT (coalesce(quantity > 0, false) AND coalesce(order_date IS NULL
+                 OR try_cast(order_date AS TIMESTAMP) IS NOT NULL, false))""",
+    ),
     "orders_quarantine_reasons": with_(
         [BRONZE_ORDERS],
         """SELECT 'quantity_positive' AS rule,

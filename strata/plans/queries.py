@@ -34,6 +34,15 @@ def bronze_orders(spark: SparkSession, base: str) -> DataFrame:
     return sales.bronze_sales(feeds.orders_from_star(spark, base), "orders", AS_OF)
 
 
+def orders_quarantine_detail(spark: SparkSession, base: str) -> DataFrame:
+    """Every order line failing a rule, with the failed rules as a
+    comma-separated list."""
+    from pyspark.sql import functions as F
+
+    detail = sales.split_orders(bronze_orders(spark, base)).quarantine_with_reasons()
+    return detail.withColumn("failed_rules", F.array_join("failed_rules", ","))
+
+
 def orders_quarantine_reasons(spark: SparkSession, base: str) -> DataFrame:
     return sales.split_orders(bronze_orders(spark, base)).failure_counts()
 
@@ -191,6 +200,7 @@ QUERIES: dict[str, Query] = {
     "report_size_distribution": report_size_distribution,
     "accounts_sample": accounts_sample,
     "accounts_upsert": accounts_upsert,
+    "orders_quarantine_detail": orders_quarantine_detail,
     "orders_quarantine_reasons": orders_quarantine_reasons,
     "dim_customers": dim_customers,
     "dim_products": dim_products,

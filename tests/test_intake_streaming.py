@@ -82,3 +82,18 @@ def test_incremental_csv_keeps_malformed_records(spark, fresh_schema):
     assert set(rows) == {"A1", "A2", "A3"}
     assert rows["A2"]._rescued_data == "A2,Beta,Tech,SMB,UK,UK,not-a-number,5"
     assert rows["A1"]._rescued_data is None
+
+
+def test_read_feed_declared_schema(spark):
+    from strata.sources.feeds import read_feed
+
+    d = tempfile.mkdtemp(prefix="feed-")
+    spark.createDataFrame([(1, "A", "B", "e", None, "c", "s", "active")], schemas.CUSTOMERS) \
+        .write.parquet(os.path.join(d, "p"))
+    df = read_feed(spark, os.path.join(d, "p"), schemas.CUSTOMERS)
+    assert df.schema.fieldNames() == schemas.CUSTOMERS.fieldNames()
+    assert df.first().first_name == "A"
+    with open(os.path.join(d, "c.csv"), "w") as f:
+        f.write("customer_id,first_name,last_name,email,phone,city,state,status\n2,X,Y,e,,c,s,inactive\n")
+    row = read_feed(spark, os.path.join(d, "c.csv"), schemas.CUSTOMERS, "csv").first()
+    assert (row.customer_id, row.status, row.phone) == (2, "inactive", None)
