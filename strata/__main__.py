@@ -63,6 +63,7 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--orders", required=True)
     s.add_argument("--format", default="parquet", choices=["parquet", "csv", "json"])
     s.add_argument("--partition-facts-by-month", action="store_true")
+    s.add_argument("--unique-dims", action="store_true", help="fail on repeated dimension keys")
 
     st = sub.add_parser("star", help="both jobs on feeds derived from star-schema tables")
     st.add_argument("--schema", required=True)
@@ -84,6 +85,7 @@ def main(argv: list[str] | None = None) -> None:
             args.schema,
             args.as_of,
             args.partition_facts_by_month,
+            args.unique_dims,
         )
     else:
         base = args.star_dir

@@ -175,10 +175,12 @@ def run_sales_job(
     schema: str,
     as_of: AsOf = None,
     partition_facts_by_month: bool = False,
+    unique_dims: bool = False,
 ) -> RunReport:
     """Three bronze feeds -> two dimensions -> facts -> three gold tables,
     every table a full refresh.  Optionally the fact table is stored
-    partitioned by order month, so date-bounded reads prune files."""
+    partitioned by order month, so date-bounded reads prune files, and the
+    fact build fails on a repeated dimension key (``unique_dims``)."""
     ensure_schema(spark, schema)
     t = lambda name: f"{schema}.{name}"
     report = RunReport()
@@ -197,6 +199,7 @@ def run_sales_job(
         spark.table(t("dim_customers")),
         spark.table(t("dim_products")),
         as_of,
+        unique_dims=unique_dims,
     )
     partition_by: tuple[str, ...] = ()
     if partition_facts_by_month:
