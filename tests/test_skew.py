@@ -44,3 +44,35 @@ def test_hot_customer_is_split(spark):
     assert "skew=true" in final
     assert len(rows) == 3000
     assert sum(1 for r in rows if r.customer_id == 1 and r.customer_name == "F1 L1") == 1000
+
+
+def test_null_keys_spread_over_partitions(spark):
+    from pyspark.sql import functions as F
+
+    orders = [(i, None if i % 3 else 1, 101, 1, 10.0, "2024-01-05 10:30:00", "delivered", "x")
+              for i in range(3000)]  # two thirds of the lines have no customer
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold",
+            "spark.sql.adaptive.enabled"]
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")  # no runtime skew help
+        c = sales.dim_customers(sales.bronze_sales(customers_df(spark), "customers", AS_OF), AS_OF)
+        p = sales.dim_products(sales.bronze_sales(products_df(spark), "products", AS_OF), AS_OF)
+        o = sales.bronze_sales(orders_df(spark, orders), "orders", AS_OF)
+        lines = sales.order_lines(o)
+        joined = sales.left_lookup(lines, c.select("customer_id", "full_name"), "customer_id", 8)
+        # reference a dimension column so the join stays in the plan, and
+        # take the partition id right at the join's output
+        at_join = joined.select("customer_id", "full_name", F.spark_partition_id().alias("p"))
+        per_part = at_join.filter("customer_id IS NULL").groupBy("p").count()
+        sizes = [r["count"] for r in per_part.collect()]
+        fact = sales.fact_orders(o, c, p, AS_OF, spread_null_keys=True).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 2000 and max(sizes) < 1000  # not all in one partition
+    assert len(fact) == 3000
+    assert sum(1 for r in fact if r.customer_id is None and r.customer_name is None) == 2000
+    assert sum(1 for r in fact if r.customer_id == 1 and r.customer_name == "John Doe") == 1000
