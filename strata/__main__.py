@@ -64,6 +64,9 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--format", default="parquet", choices=["parquet", "csv", "json"])
     s.add_argument("--partition-facts-by-month", action="store_true")
     s.add_argument("--unique-dims", action="store_true", help="fail on repeated dimension keys")
+    s.add_argument(
+        "--spread-null-keys", action="store_true", help="scatter NULL foreign keys (no AQE)"
+    )
 
     st = sub.add_parser("star", help="both jobs on feeds derived from star-schema tables")
     st.add_argument("--schema", required=True)
@@ -86,6 +89,7 @@ def main(argv: list[str] | None = None) -> None:
             args.as_of,
             args.partition_facts_by_month,
             args.unique_dims,
+            args.spread_null_keys,
         )
     else:
         base = args.star_dir

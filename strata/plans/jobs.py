@@ -176,6 +176,7 @@ def run_sales_job(
     as_of: AsOf = None,
     partition_facts_by_month: bool = False,
     unique_dims: bool = False,
+    spread_null_keys: bool = False,
 ) -> RunReport:
     """Three bronze feeds -> two dimensions -> facts -> three gold tables,
     every table a full refresh.  Optionally the fact table is stored
@@ -200,6 +201,7 @@ def run_sales_job(
         spark.table(t("dim_products")),
         as_of,
         unique_dims=unique_dims,
+        spread_null_keys=spread_null_keys,
     )
     partition_by: tuple[str, ...] = ()
     if partition_facts_by_month:

@@ -34,7 +34,7 @@ def test_accounts_upsert_never_deletes(spark, fresh_schema):
 def test_sales_job(spark, fresh_schema):
     rep = run_sales_job(
         spark, customers_df(spark), products_df(spark), orders_df(spark), fresh_schema, AS_OF,
-        partition_facts_by_month=True, unique_dims=True,
+        partition_facts_by_month=True, unique_dims=True, spread_null_keys=True,
     )
     assert rep.rows == {
         "raw_customers": 5, "raw_products": 5, "raw_orders": 6, "dim_customers": 5, "dim_products": 5,
