@@ -1,4 +1,6 @@
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from py4j.protocol import Py4JJavaError
 
@@ -51,3 +53,32 @@ def test_schema_mismatch(spark):
 def test_keep_last(spark):
     df = spark.createDataFrame([("a", 1, 10), ("a", 2, 30), ("a", 3, 20), ("b", 4, 1)], "k string, v int, ts int")
     assert sorted(tuple(r) for r in keep_last(df, ["k"], "ts").collect()) == [("a", 2, 30), ("b", 4, 1)]
+
+
+
+def _model(target, source):
+    """MERGE semantics in plain Python: source rows replace matching target
+    rows, unmatched target rows stay, NULL keys never match."""
+    source_keys = {k for k, _ in source if k is not None}
+    kept = [(k, v) for k, v in target if k is None or k not in source_keys]
+    return sorted(kept + list(source), key=repr)
+
+
+keys = st.one_of(st.none(), st.sampled_from(["a", "b", "c", "d", "e"]))
+
+
+@settings(max_examples=12, deadline=None)
+@given(
+    st.lists(st.tuples(keys, st.integers(0, 9)), max_size=8),
+    st.lists(st.tuples(keys, st.integers(10, 19)), max_size=6),
+)
+def test_upsert_matches_model(spark, target, source):
+    # a non-NULL key may appear only once in the source (MERGE refuses more)
+    seen, unique_source = set(), []
+    for k, v in source:
+        if k is None or k not in seen:
+            unique_source.append((k, v))
+            seen.add(k)
+    t = spark.createDataFrame(target, SCHEMA)
+    s = spark.createDataFrame(unique_source, SCHEMA)
+    assert _rows(upsert(t, s, ["k"])) == _model(target, unique_source)
