@@ -21,9 +21,10 @@ numbers with bounded per-task work:
    AQE splits the partition of a hot value otherwise.
 
 The input is read three times (subquery, value aggregation, join-back), so
-by default it is checkpointed first (``materialize="checkpoint"``): written
-once to the session's shared ``spark.checkpoint.dir``, which also cuts
-lineage so a lost executor does not recompute the upstream plan.
+by default it is checkpointed first (``materialize="checkpoint"``): computed
+once (persisted while the checkpoint job writes it, then released), written
+to the session's shared ``spark.checkpoint.dir``, which also cuts lineage so
+a lost executor does not recompute the upstream plan.
 ``"cache"`` keeps it in executor memory/disk instead (caller unpersists);
 ``None`` recomputes it per branch.  Correctness never depends on the choice:
 range ids are a pure function of the value and the bounds are computed once
@@ -113,10 +114,16 @@ def global_ranks(
     if accuracy is None:
         accuracy = max(1000, 10 * num_ranges)
     if materialize == "checkpoint":
+        from pyspark import StorageLevel
+
         from strata.session import ensure_checkpoint_dir
 
         ensure_checkpoint_dir(spark)
-        df = df.checkpoint(eager=True)
+        # A reliable checkpoint is written by a second job that recomputes its
+        # input unless it is persisted: persist, checkpoint, then release.
+        computed = df.persist(StorageLevel.MEMORY_AND_DISK)
+        df = computed.checkpoint(eager=True)
+        computed.unpersist()
     elif materialize == "cache":
         df = df.persist()
     elif materialize is not None:
