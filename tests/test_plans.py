@@ -1,0 +1,38 @@
+"""Plan properties that matter at scale, checked on executed plans."""
+
+import pytest
+
+from checks.plans import final_plan, summarise
+from strata.plans.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def plans(spark):
+    return {
+        name: summarise(final_plan(QUERIES[name](spark, SF)))
+        for name in ("fact_orders", "daily_sales_summary", "customer_metrics", "silver_accounts")
+    }
+
+
+def _scan(summary, table):
+    return [s for s in summary["scans"] if s.startswith(f"{table}.parquet")]
+
+
+def test_scans_read_only_needed_columns(plans):
+    # lineitem has 11 columns; the sales jobs need 4 of them
+    for name in ("fact_orders", "daily_sales_summary", "customer_metrics"):
+        (scan,) = _scan(plans[name], "lineitem")
+        assert scan.split(": ")[1].startswith("4 cols"), scan
+    (orders,) = _scan(plans["daily_sales_summary"], "orders")
+    assert orders.split(": ")[1].startswith("4 cols"), orders  # no o_totalprice
+
+
+def test_no_single_partition_steps_in_sales_gold(plans):
+    for name in ("fact_orders", "daily_sales_summary", "customer_metrics", "silver_accounts"):
+        assert plans[name]["single"] == [], name
+
+
+def test_silver_accounts_needs_no_shuffle_beyond_small_lookups(plans):
+    assert plans["silver_accounts"]["exchanges"] == []
