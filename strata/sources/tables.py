@@ -166,12 +166,14 @@ def save_upsert(
 ) -> int:
     """Upsert ``source`` into ``table`` on ``keys`` (created when absent).
 
-    By default the whole table is rewritten (to a sibling table, then
-    swapped in).  With ``key_buckets`` the table is stored partitioned by
-    ``KEY_BUCKET = pmod(xxhash64(keys), key_buckets)`` and only the buckets
-    the source touches are read, merged and replaced (dynamic partition
-    overwrite), so a small batch into a huge table rewrites a small part of
-    it.  Returns the number of rows written."""
+    By default the whole result is written as a new version folder of the
+    (external) table and the table is repointed to it with ``ALTER TABLE ...
+    SET LOCATION``; managed tables created elsewhere are replaced through a
+    sibling table (drop + rename, not atomic).  With ``key_buckets`` the
+    table is stored partitioned by ``KEY_BUCKET = pmod(xxhash64(keys),
+    key_buckets)`` and only the buckets the source touches are read, merged
+    and replaced (dynamic partition overwrite), so a small batch into a huge
+    table rewrites a small part of it.  Returns the number of rows written."""
     if key_buckets:
         return _upsert_buckets(source, table, keys, doc, fmt, reject_null_keys, key_buckets)
     spark = source.sparkSession
