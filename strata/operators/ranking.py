@@ -37,6 +37,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+ROWS_PER_RANGE = 10_000
+
+
 def _count_at_or_below(bounds: Column, value: Column, lo: int, hi: int) -> Column:
     """Number of ``bounds`` elements ``<= value`` for a sorted array, as a
     binary search over 1-based positions ``lo+1 .. hi``."""
@@ -66,8 +69,9 @@ def global_rank(
     exactly as the unpartitioned window would, as a ``bigint``.
 
     ``value`` must be numeric, date or timestamp (the range bounds are
-    approximate quantiles).  ``num_ranges`` defaults to
-    ``spark.sql.shuffle.partitions``; the result does not depend on it.
+    approximate quantiles).  ``num_ranges`` defaults to about one range per
+    ``ROWS_PER_RANGE`` input rows, at most ``spark.sql.shuffle.partitions``;
+    the result does not depend on it.
     When the input is materialised its row count is
     checked (one cheap pass over the materialised copy): at most
     ``single_task_max_rows`` rows are ranked by the plain window in one
@@ -103,16 +107,6 @@ def global_ranks(
     if not rank_col and not dense_rank_col:
         raise ValueError("global_ranks: ask for rank_col and/or dense_rank_col")
     spark = df.sparkSession
-    if num_ranges is None:
-        num_ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    num_ranges = max(1, num_ranges)
-    n_bounds = num_ranges - 1
-    # Bounds only balance the ranges (correctness never depends on them): a
-    # rank error of a tenth of a range is plenty.  Keeping the accuracy tied
-    # to the number of ranges keeps every partial quantile digest small, so
-    # the single merge of one digest per input partition stays cheap.
-    if accuracy is None:
-        accuracy = max(1000, 10 * num_ranges)
     if materialize == "checkpoint":
         from pyspark import StorageLevel
 
@@ -131,7 +125,8 @@ def global_ranks(
 
     v = F.col(value)
     order = v.asc_nulls_first() if ascending else v.desc_nulls_last()
-    if materialize is not None and df.count() <= single_task_max_rows:
+    rows = df.count() if materialize is not None else None
+    if rows is not None and rows <= single_task_max_rows:
         w = Window.orderBy(order)
         columns = {}
         if rank_col:
@@ -140,6 +135,19 @@ def global_ranks(
             columns[dense_rank_col] = F.dense_rank().over(w).cast("bigint")
         return df.withColumns(columns)
 
+    if num_ranges is None:
+        num_ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        if rows is not None:  # about one range per ROWS_PER_RANGE rows
+            num_ranges = min(num_ranges, -(-rows // ROWS_PER_RANGE))
+    num_ranges = max(1, num_ranges)
+    n_bounds = num_ranges - 1
+    # Bounds only balance the ranges (correctness never depends on them): a
+    # rank error of a tenth of a range is plenty.  Keeping the accuracy tied
+    # to the number of ranges keeps every partial quantile digest small, so
+    # the single merge of one digest per input partition stays cheap.
+    if accuracy is None:
+        accuracy = max(1000, 10 * num_ranges)
+
     values = df.groupBy(value).agg(F.count(F.lit(1)).alias("_rows"))
 
     if n_bounds > 0:
