@@ -1,0 +1,100 @@
+import hashlib
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from strata.llm import pii
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def holds(kind, value):
+    digits = re.sub("[^0-9]", "", value)
+    if kind == "ip":
+        return all(int(p) <= 255 for p in value.split("."))
+    if kind == "card":
+        doubled = "".join(str(int(c) * (1 + i % 2)) for i, c in enumerate(digits[::-1]))
+        return 14 <= len(digits) <= 19 and sum(map(int, doubled)) % 10 == 0
+    return kind != "phone" or 10 <= len(digits) <= 15
+
+
+def brute(text):
+    return sorted(
+        (m.start(), k, m.end())
+        for k, (kind, p) in enumerate(PATTERNS.items())
+        for m in re.finditer(p, text or "")
+        if holds(kind, m[0])
+    )
+
+
+ANCHORS = pii.automaton()
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="a1 9.@+-()0/:4é\n", max_size=60))
+def test_base_spans_equal_the_patterns(text):
+    assert [s for s in pii.spans_of(text, ANCHORS) if s[1] < 4] == brute(text)
+
+
+@pytest.mark.parametrize(
+    "text, found",
+    [
+        ("a@b@c.de", ["b@c.de"]),
+        ("x@y.z@q.r", ["x@y.z"]),
+        ("999.1.2.3.4.5.6 1.2.3.4.5.6.7.8", ["1.2.3.4", "5.6.7.8"]),
+        ("4111 1111 1111 1111", ["4111 1111 1111 1111"]),
+        ("+1 (555) 010-9999.", ["+1 (555) 010-9999"]),
+        ("ftp://joe:pw@host.org", ["joe:pw", "pw@host.org"]),
+        ("IBAN: GB82 WEST 1234 5698 7654 32", ["GB82 WEST 1234 5698 7654 32"]),
+        ("IBAN: GB82 WEST 1234 5698 7654 33", []),
+        ("Account no: 12345678; discount: 3", ["12345678"]),
+        ("ssn 123-45-6789", ["123-45-6789"]),
+        (None, []),
+        ("", []),
+    ],
+)
+def test_spans(text, found):
+    assert [text[a:b] for a, _, b in pii.spans_of(text, ANCHORS)] == found
+
+
+def test_query_and_redaction(spark, tmp_path):
+    long = "x" * 200_000 + " me@here.org " + "1.2.3.4 " * 5_000
+    rows = [(1, "é joe@x.org 10.0.0.1"), (1, "é joe@x.org 10.0.0.1"), (2, None), (3, ""), (None, long)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "doc_id", "text", "'z' as spans", "7 as n_email"
+    )
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(pii.op8(spark, str(tmp_path)).collect(), key=lambda r: (r.doc_id or 0))
+    assert [(r.doc_id, r.n_email, r.n_ip, r.n_card, r.n_phone) for r in got] == [
+        (None, 1, 5000, 0, 0), (1, 1, 1, 0, 0), (1, 1, 1, 0, 0), (2, 0, 0, 0, 0), (3, 0, 0, 0, 0),
+    ]
+    assert got[1].spans == "email:2:11,ip:12:20"
+    assert got[1].base_sha256 == hashlib.sha256(b"email:2:11,ip:12:20").hexdigest()
+    assert got[3].base_sha256 == hashlib.sha256(b"").hexdigest()
+    clean = pii.redact(docs)
+    assert clean.columns == docs.columns
+    assert {r.text for r in clean.where("doc_id < 3").collect()} == {"é <EMAIL> <IP>", None}
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert pii.find_pii(docs).count() == 0 == pii.redact(docs).count()
+
+
+def test_whole_table_against_patterns(spark):
+    path = "/root/testdata/sf0.001"
+    text = {r.doc_id: r.text for r in spark.read.parquet(f"{path}/documents.parquet").collect()}
+    for r in pii.op8(spark, path).collect():
+        said = ",".join(f"{pii.BASE[k]}:{a}:{b}" for a, k, b in brute(text[r.doc_id]))
+        assert r.base_sha256 == hashlib.sha256(said.encode()).hexdigest()
+
+
+def test_mask_merges_overlaps():
+    assert pii.mask("ftp://joe:pw@host.org x", pii.spans_of("ftp://joe:pw@host.org x", ANCHORS)) == "ftp://<LOGIN> x"
