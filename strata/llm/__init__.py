@@ -4,6 +4,8 @@ driver contract by ``__spark_entry__``."""
 from importlib import import_module
 
 MODULES = (
+    "language_id",
+    "packing",
     "pii",
     "decontaminate",
 )

@@ -1,0 +1,73 @@
+import zlib
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from strata.llm import language_id as li
+
+
+def brute_phrases(training, text):
+    """Greedy longest substrings of ``training``; the first phrase is open."""
+    count, at = 1, ""
+    for c in text:
+        if at + c in training:
+            at += c
+        else:
+            count += 1
+            at = c if c in training else ""
+    return count
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("abc ", min_size=1, max_size=40), st.lists(st.text("abcd ", min_size=1, max_size=30), min_size=1, max_size=5))
+def test_phrases_equal_substring_search(training, texts):
+    a = li.SuffixAutomaton([ord(c) for c in training])
+    texts = sorted(texts, key=len, reverse=True)
+    data = np.array([ord(c) for t in texts for c in t], dtype=np.int64)
+    size = np.array([len(t) for t in texts])
+    got = a.phrases(data, np.cumsum(size) - size, size)
+    assert got.tolist() == [brute_phrases(training, t) for t in texts]
+
+
+def test_folding():
+    assert "".join(map(chr, li.fold("Ab--1 2É\n x"))) == "ab é x"
+
+
+def test_segments_and_slices_cover_whole_texts(monkeypatch):
+    monkeypatch.setattr(li, "SLICE", 6_144)
+    m = li.Models({"x": "abcabcabd", "y": "zzzz zz"})
+    bits, symbols = m.entropies(["abc" * 2_000, "z" * 40_000, "", "12"])
+    assert symbols.tolist() == [6_000, 40_000, 0, 0]
+    folded = "abc" * 2_000
+    want = sum(brute_phrases("abcabcabd", folded[i : i + li.SEGMENT]) for i in range(0, 6_000, li.SEGMENT))
+    assert abs(bits[0, 0] * 6_000 - want * np.log2(9)) < 1e-6
+
+
+def test_defined_cases(spark):
+    rows = [(1, "the cat and the dog", "en"), (2, "le chat et le chien", "fr"), (3, None, "en"), (4, "12 34", None), (1, "the cat", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("*", "1 as score", "2 as h")
+    training = li.training_text(df)
+    assert set(training) == {"en", "fr"}
+    got = [(r.doc_id, r.lang_pred, r.score) for r in li.identify(df, training).collect()]
+    assert [g[:2] for g in got] == [(1, "en"), (2, "fr"), (3, "und"), (4, "und"), (1, "en")]
+    assert all(0 <= g[2] <= 1 for g in got) and got[2][2] == 0
+    assert {r.lang_pred for r in li.identify(df, {}).collect()} == {"und"}
+    assert li.training_text(df.limit(0)) == {} and li.identify(df.limit(0), training).count() == 0
+
+
+def test_training_is_bounded(spark):
+    df = spark.range(400).selectExpr("'en' as lang", "repeat(concat('word', id, ' '), 500) as text")
+    sizes = [len(t) for t in li.training_text(df, train_chars=5_000).values()]
+    assert len(sizes) == 1 and sizes[0] <= 5_001
+
+
+def test_held_out_accuracy(spark):
+    path = "/root/testdata/sf0.01"
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{path}/documents.parquet").collect()}
+    got = li.op7(spark, path).collect()
+    assert len(got) == len(docs)
+    out = [r for r in got if r.held_out]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
+    right = sum(r.lang_pred == docs[r.doc_id].lang for r in out)
+    assert right >= 0.98 * len(out)
