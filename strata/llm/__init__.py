@@ -4,9 +4,12 @@ driver contract by ``__spark_entry__``."""
 from importlib import import_module
 
 MODULES = (
+    "html_extract",
     "language_id",
     "packing",
     "pii",
+    "quality_rules",
+    "secret_scan",
     "decontaminate",
 )
 
