@@ -6,6 +6,7 @@ from importlib import import_module
 MODULES = (
     "html_extract",
     "language_id",
+    "ngram_join",
     "packing",
     "pii",
     "quality_rules",
