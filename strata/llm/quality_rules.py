@@ -44,7 +44,7 @@ RULES = {
     "capitals": ("n_upper / n_letters", None, 0.4, None),
     "exclaims": ("n_exclaims / n_words", None, 0.3, None),
     "non_words": ("n_bare / n_words", None, 0.2, None),
-    "letters": ("n_letters / word_chars", 0.8, None, 0.9),
+    "letters": ("n_letters / word_chars", 0.65, None, 0.9),
     "vocabulary": ("n_distinct / n_words", 0.05, None, None),
     "long_words": ("word_chars / n_words", None, 15, None),
 }

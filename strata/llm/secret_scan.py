@@ -34,7 +34,7 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
 # character class: (its characters, bits a window must reach)
 CLASSES = {
-    "hex": ("0123456789abcdef", 3.0),
+    "hex": ("0123456789abcdef", 3.2),
     "base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 3.6),
 }
 ALLOWED = (

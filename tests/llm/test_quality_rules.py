@@ -93,9 +93,10 @@ def test_em_equals_plain_loops(spark):
 
 
 def test_accepted_keeps_columns_and_rows(spark, tmp_path):
-    prose = " ".join(f"word{i % 97}x{i}" for i in range(120))
-    junk = " ".join(f"w{i}###" for i in range(120))
-    rows = [(1, prose), (1, prose), (2, junk), (3, None), (4, "short")] + [(10 + i, prose + str(i)) for i in range(40)]
+    word = lambda i: "".join(chr(97 + int(c)) for c in str(i * 7919))
+    prose = " ".join(map(word, range(120)))
+    junk = " ".join(f"{word(i)}##########" for i in range(120))
+    rows = [(1, prose), (1, prose), (2, junk), (3, None), (4, "short")] + [(10 + i, prose + " " + word(500 + i)) for i in range(40)]
     df = write(spark, tmp_path, rows)
     got = q.accepted(df)
     assert got.columns == df.columns

@@ -79,7 +79,7 @@ def test_entropy_equals_brute_force(spark):
 def test_entropy_spans_and_allow_list(spark):
     texts = {
         "see wJalrXUtnFEMI7K7MDENGbPxRfiCYzz9 here": ["wJalrXUtnFEMI7K7MDENGbPxRfiCYzz9"],
-        "deadbeef0123deadbeef45": [],
+        "deadbeefdeadbeefdeadb4": [],
         "f3a91c07d5be2468f3a91c": ["f3a91c07d5be2468f3a91c"],
         "internationalization-of-everything-2": [],
         "6f1d2c3b-1a2b-4c3d-8e9f-a0b1c2d3e4f5": [],
