@@ -7,11 +7,21 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontaminate, pii
+from strata.llm import decontaminate, ngram_join, packing, pii, quality_rules
 from strata.llm.common import boxed, table, unboxed
 from strata.session import ensure_checkpoint_dir
 
 
+def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return quality_rules.accepted(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of similar documents stays."""
+    return ngram_join.one_of_each(docs)
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any benchmark window stay."""
     found = decontaminate.decontaminate(
@@ -25,9 +35,17 @@ def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pii.redact(docs)
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The tokens of every document, in sequences: one row per piece."""
+    return packing.pack(docs)
+
+
 STAGES = [
+    ("quality_rules", drop_poor),
+    ("ngram_jaccard_join", drop_near_copies),
     ("benchmark_decontamination", drop_contaminated),
     ("pii", mask_pii),
+    ("best_fit_packing", pack),
 ]
 
 ORACLE_SQL = None

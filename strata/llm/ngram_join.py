@@ -36,11 +36,11 @@ from functools import lru_cache
 from hashlib import blake2b
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
-from .common import checkpointed, map_batches, table
+from .common import boxed, checkpointed, map_batches, table, unboxed
 from .components import components
 
 THRESHOLD = 0.8
@@ -381,6 +381,30 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return map_batches(found, make, schema)
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of every class stays, with all columns of ``docs``: that of the
+    least (doc_id, hash of the text); rows without words all stay."""
+    heads = (
+        joined(docs.select("doc_id", "text"))
+        .where("first is null or (doc_id <=> first.doc_id and fp = first.fp)")
+        .select("doc_id", "fp", F.col("first").isNull().alias("alone"))
+        .distinct()
+    )
+    place = lambda: F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "fp")
+    heads = heads.select(
+        place().alias("place"), F.col("doc_id").alias("d"), F.col("fp").alias("f"), "alone"
+    )
+    rows = boxed(docs).select(
+        "row", "text", F.col("row.doc_id").alias("doc_id"), F.xxhash64("text").alias("fp")
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("fp") == F.col("f"))
+    found = rows.withColumn("place", place()).join(
+        heads.withColumnRenamed("place", "at"), (F.col("place") == F.col("at")) & same
+    )
+    nth = F.row_number().over(Window.partitionBy("place", "doc_id", "fp").orderBy(F.lit(1)))
+    return unboxed(found.withColumn("nth", nth).where("alone or nth = 1"), docs)
+
+
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = joined(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "class_id", "n_links")

@@ -100,6 +100,16 @@ def test_query_equals_all_pairs(spark):
     assert got == brute(docs)
 
 
+def test_one_of_each(spark):
+    words = "a b c d e f g h"
+    docs = [(3, words), (2, words.upper()), (2, words.upper()), (9, None), (9, None), (None, words), (4, "x y"), (5, "")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("'k' as place", "*", "doc_id as fp", "1 as row")
+    got = j.one_of_each(df)
+    assert got.columns == df.columns
+    assert sorted(((r.doc_id or 0, r.text or "") for r in got.collect())) == sorted([(0, words), (9, ""), (9, ""), (4, "x y"), (5, "")])
+    assert j.one_of_each(df.limit(0)).count() == 0
+
+
 def test_recall_at_the_threshold():
     depth = j.prefix_depth()
     assert depth < j.DEPTH
