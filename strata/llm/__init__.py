@@ -6,11 +6,13 @@ from importlib import import_module
 MODULES = (
     "html_extract",
     "language_id",
+    "license_scan",
     "ngram_join",
     "packing",
     "pii",
     "quality_rules",
     "secret_scan",
+    "site_quality",
     "decontaminate",
 )
 
