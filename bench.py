@@ -21,7 +21,6 @@ HEADLINE = [
     "daily_sales_summary",
     "customer_metrics",
     "product_performance",
-    "product_performance_window",
     "product_rank_global",
     "silver_accounts",
     "gold_country_analytics",

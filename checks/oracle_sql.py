@@ -13,8 +13,11 @@ from __future__ import annotations
 AS_OF = "TIMESTAMP '2024-01-01 00:00:00'"
 AS_OF_PREVIOUS = "TIMESTAMP '2023-12-31 00:00:00'"
 
-GEO = """customer JOIN nation ON c_nationkey = n_nationkey
-         JOIN region ON n_regionkey = r_regionkey"""
+GEO = """customer LEFT JOIN nation ON c_nationkey = n_nationkey
+         LEFT JOIN region ON n_regionkey = r_regionkey"""
+
+# Revenue is summed to the cent, exactly.
+REVENUE = "CAST(sum(CAST(annual_revenue_abs AS DECIMAL(28,2))) AS DOUBLE)"
 
 RAW_ACCOUNTS = f"""raw_accounts AS (
   SELECT c_name AS AccountId,
@@ -91,8 +94,8 @@ COUNTRY = f"""country_analytics AS (
       CAST(sum(employee_count) AS BIGINT) AS total_employees,
       avg(employee_count) AS avg_employees_per_account,
       max(employee_count) AS max_employees,
-      sum(annual_revenue_abs) AS total_revenue,
-      avg(annual_revenue_abs) AS avg_revenue_per_account,
+      {REVENUE} AS total_revenue,
+      {REVENUE} / count(annual_revenue_abs) AS avg_revenue_per_account,
       max(annual_revenue_abs) AS max_revenue,
       count(*) FILTER (WHERE company_size = 'Enterprise') AS enterprise_accounts,
       count(*) FILTER (WHERE company_size = 'Large') AS large_accounts,
@@ -122,8 +125,8 @@ SIZE = f"""size_analytics AS (
       avg(employee_count) AS avg_employees,
       min(employee_count) AS min_employees,
       max(employee_count) AS max_employees,
-      sum(annual_revenue_abs) AS total_revenue,
-      avg(annual_revenue_abs) AS avg_revenue,
+      {REVENUE} AS total_revenue,
+      {REVENUE} / count(annual_revenue_abs) AS avg_revenue,
       min(annual_revenue_abs) AS min_revenue,
       max(annual_revenue_abs) AS max_revenue,
       round(stddev_samp(annual_revenue_abs), 2) AS revenue_stddev,
@@ -162,7 +165,7 @@ BRONZE_ORDERS = f"""bronze_orders AS (
                        WHEN 'P' THEN 'shipped' END AS status,
     o_orderpriority AS payment_method,
     {AS_OF} AS _ingested_at, 'ORDERS' AS _source_system
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+  FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey)"""
 
 DIM_CUSTOMERS = f"""dim_customers AS (
   SELECT customer_id, first_name, last_name,
@@ -316,8 +319,8 @@ ORACLE: dict[str, str] = {
     ),
     "report_size_distribution": with_(
         ACCOUNTS_BASE + [GOLD],
-        """SELECT company_size, count(*) AS "count",
-                  round(avg(annual_revenue_abs), 2) AS avg_revenue
+        f"""SELECT company_size, count(*) AS "count",
+                  round({REVENUE} / count(annual_revenue_abs), 2) AS avg_revenue
            FROM gold GROUP BY company_size ORDER BY avg_revenue DESC NULLS LAST""",
     ),
     "accounts_sample": with_(
@@ -336,6 +339,33 @@ ORACLE: dict[str, str] = {
            UNION ALL
            SELECT * FROM silver""",
     ),
+    "bronze_accounts_upsert": with_(
+        [
+            RAW_ACCOUNTS,
+            BRONZE_ACCOUNTS,
+            "feed AS (SELECT * FROM bronze_accounts WHERE AccountType IS NOT NULL)",
+        ],
+        f"""SELECT * REPLACE ({AS_OF_PREVIOUS} AS ingestion_timestamp) FROM bronze_accounts p
+           WHERE AccountIndustry IS NOT NULL
+             AND NOT EXISTS (SELECT 1 FROM feed s WHERE s.AccountId = p.AccountId)
+           UNION ALL
+           SELECT * FROM feed""",
+    ),
+    "gold_accounts_upsert": with_(
+        ACCOUNTS_BASE
+        + [
+            GOLD,
+            "current AS (SELECT * FROM gold WHERE account_type = 'Enterprise')",
+            "yesterday_input AS (SELECT * FROM valid_accounts WHERE AccountIndustry IS NOT NULL)",
+            f"yesterday AS ({silver_select('yesterday_input', 'AnnualRevenue', AS_OF_PREVIOUS)})",
+        ],
+        """SELECT account_id, account_name, account_type, industry, country, hq_country,
+             employee_count, company_size, annual_revenue_abs, revenue_tier, processed_timestamp
+           FROM yesterday y
+           WHERE NOT EXISTS (SELECT 1 FROM current c WHERE c.account_id = y.account_id)
+           UNION ALL
+           SELECT * FROM current""",
+    ),
     "orders_quarantine_detail": with_(
         [BRONZE_ORDERS],
         """SELECT *, array_to_string(list_filter([
@@ -362,7 +392,21 @@ ORACLE: dict[str, str] = {
     "dim_customers": with_([BRONZE_CUSTOMERS, DIM_CUSTOMERS], "SELECT * FROM dim_customers"),
     "dim_products": with_([BRONZE_PRODUCTS, DIM_PRODUCTS], "SELECT * FROM dim_products"),
     "fact_orders": with_(SALES_BASE, "SELECT * FROM fact"),
+    "fact_orders_missing_dims": with_(
+        [BRONZE_CUSTOMERS, BRONZE_PRODUCTS, BRONZE_ORDERS, DIM_CUSTOMERS, DIM_PRODUCTS]
+        + [
+            FACT.replace("LEFT JOIN dim_customers c", "LEFT JOIN active c").replace(
+                "LEFT JOIN dim_products p", "LEFT JOIN available p"
+            ).replace(
+                "fact AS (",
+                "active AS (SELECT * FROM dim_customers WHERE is_active),\n"
+                "available AS (SELECT * FROM dim_products WHERE is_available),\nfact AS (",
+            )
+        ],
+        "SELECT * FROM fact",
+    ),
     "daily_sales_summary": with_(SALES_BASE, DAILY_SALES_SUMMARY_SQL),
+    "report_daily_sales": with_(SALES_BASE, DAILY_SALES_SUMMARY_SQL + " ORDER BY order_date_only"),
     "customer_metrics": with_(SALES_BASE, CUSTOMER_METRICS_SQL),
     "product_performance": with_(SALES_BASE + [PRODUCT_TOTALS], PRODUCT_PERFORMANCE_SQL),
     "product_performance_window": with_(

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import sys
 
 from pyspark.sql import SparkSession
 
@@ -30,10 +31,10 @@ def session(master: str | None) -> SparkSession:
     spark = builder.getOrCreate()
     for key, value in SCALE_SETTINGS.items():
         if spark.conf.get(key, None) is None:
-            try:
+            if spark.conf.isModifiable(key):
                 spark.conf.set(key, value)
-            except Exception:  # static options stay as the launcher set them
-                pass
+            else:  # a static option: the launcher has to set it
+                print(f"setting {key} is left to the launcher", file=sys.stderr)
     ensure_checkpoint_dir(spark)
     return spark
 

@@ -130,6 +130,7 @@ def share_of_total(c: ColumnOrName, scale: int = 2) -> Column:
 # --- money: exact decimal cents --------------------------------------------------
 
 MONEY = "decimal(18,2)"
+WIDE_MONEY = "decimal(28,2)"  # company revenues
 
 
 def cents(c: ColumnOrName) -> Column:
@@ -137,9 +138,10 @@ def cents(c: ColumnOrName) -> Column:
     return F.round(col(c) * 100).cast("bigint")
 
 
-def money_sum(c: ColumnOrName) -> Column:
-    """Exact, order-independent sum of 2-dp amounts, returned as double."""
-    return F.sum(col(c).cast(MONEY)).cast("double")
+def money_sum(c: ColumnOrName, kind: str = MONEY) -> Column:
+    """Exact, order-independent sum of amounts to the cent, returned as double;
+    ``kind`` is the decimal type of one amount."""
+    return F.sum(col(c).cast(kind)).cast("double")
 
 
 def floor_div(a: Column, b: Column) -> Column:

@@ -116,23 +116,24 @@ def split(df: DataFrame, rules: Sequence[Rule]) -> QualitySplit:
 
 
 def guard_unique(df: DataFrame, keys: Sequence[str], label: str = "") -> DataFrame:
-    """``df`` unchanged, but evaluating it fails if a non-NULL key repeats.
-
-    The check is a count over a window partitioned by the keys, so when the
-    result is joined on the same keys the join reuses that partitioning (no
-    extra shuffle).  Meant for dimension tables, whose key groups hold one
-    row; a repeated key is an error and stops the job."""
-    from pyspark.sql import Window
+    """The rows of a lookup table ``df`` with non-NULL keys, but evaluating it
+    fails if a key repeats.
 
+    Rows are grouped by key with map-side aggregation, so a key that repeats
+    very often still costs one row per task; when the result is joined on the
+    same keys the join reuses that partitioning.  Rows with a NULL key match
+    nothing in a lookup and are left out."""
     keys = list(keys)
     present = F.lit(True)
     for k in keys:
         present = present & F.col(k).isNotNull()
-    counted = df.withColumn("_key_rows", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    rest = [c for c in df.columns if c not in keys]
+    one = df.filter(present).groupBy(*keys).agg(
+        *(F.first(c).alias(c) for c in rest), F.count(F.lit(1)).alias("_key_rows")
+    )
     message = F.concat(
         F.lit(f"{label or 'table'}: duplicate key ({', '.join(keys)}) = "),
         F.to_json(F.struct(*keys)),
     )
-    repeated = present & (F.col("_key_rows") > 1)
-    guard = F.when(repeated, F.raise_error(message)).otherwise(F.lit(True))
-    return counted.filter(guard).drop("_key_rows")
+    guard = F.when(F.col("_key_rows") > 1, F.raise_error(message)).otherwise(F.lit(True))
+    return one.filter(guard).select(*df.columns)

@@ -3,53 +3,37 @@ into one task.
 
 ``F.rank().over(Window.orderBy(...))`` with no partition key moves every row
 to a single partition and sorts it there.  ``global_rank`` computes the same
-numbers with bounded per-task work:
+numbers with bounded per-task work, the same way at every size:
 
 1. ``values``: distinct ranking values with their row counts.  Partial
    aggregation collapses a hot value (one value holding a third of the rows)
    map-side, so it costs one row downstream.
-2. ``bounds``: ``num_ranges - 1`` approximate quantiles of the value, taken by
-   a scalar subquery inside the same plan (a bounded array, broadcast to the
-   tasks by Spark).  A binary-search ``CASE`` maps each value to its range;
-   the mapping is a pure function of the value, so ties share a range and a
-   re-executed task recomputes exactly the same range ids.
-3. Per range: a window partitioned by range id numbers the values locally.
-4. Per-range totals (at most ``num_ranges + 1`` rows, a proven bound) are
-   turned into prefix offsets and broadcast back to their range.
+2. The values are range-partitioned in rank order, about ``ROWS_PER_RANGE``
+   values to a range, however many ranges that takes.  The number of the
+   partition is stored with them in a checkpoint, so a task that runs again
+   reads the same ranges.
+3. Per range: a window partitioned by range numbers the values locally.
+4. Per-range totals (one row per range) become prefix offsets and are
+   broadcast back to their range.
 5. The ranked values are equi-joined back to the rows (null-safe).  The
    planner broadcasts the ranked values when they are measured small, and
    AQE splits the partition of a hot value otherwise.
 
-The input is read three times (subquery, value aggregation, join-back), so
-by default it is checkpointed first (``materialize="checkpoint"``): computed
-once (persisted while the checkpoint job writes it, then released), written
-to the session's shared ``spark.checkpoint.dir``, which also cuts lineage so
-a lost executor does not recompute the upstream plan.
-``"cache"`` keeps it in executor memory/disk instead (caller unpersists);
-``None`` recomputes it per branch.  Correctness never depends on the choice:
-range ids are a pure function of the value and the bounds are computed once
-per query execution.
+Building the result runs jobs: the input is checkpointed (it is read twice),
+its values are counted, and the ranges are stored.  Checkpoints go to the
+session's shared ``spark.checkpoint.dir`` and cut the lineage.  Pass
+``stored=True`` when the input already is a stored table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.session import ensure_checkpoint_dir
 
-ROWS_PER_RANGE = 10_000
-
-
-def _count_at_or_below(bounds: Column, value: Column, lo: int, hi: int) -> Column:
-    """Number of ``bounds`` elements ``<= value`` for a sorted array, as a
-    binary search over 1-based positions ``lo+1 .. hi``."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi + 1) // 2
-    return F.when(
-        F.element_at(bounds, mid) <= value,
-        _count_at_or_below(bounds, value, mid, hi),
-    ).otherwise(_count_at_or_below(bounds, value, lo, mid - 1))
+ROWS_PER_RANGE = 200_000
+RANGES_PER_FILE = 32  # ranges that one task stores
 
 
 def global_rank(
@@ -60,22 +44,15 @@ def global_rank(
     ascending: bool = False,
     output: str = "rank",
     num_ranges: int | None = None,
-    accuracy: int | None = None,
-    materialize: str | None = "checkpoint",
-    single_task_max_rows: int = 1_000_000,
+    stored: bool = False,
 ) -> DataFrame:
     """Append ``output`` = ``rank()`` (or ``dense_rank()``) of ``value`` over
     all rows, ordered descending (NULLs last) or ascending (NULLs first),
     exactly as the unpartitioned window would, as a ``bigint``.
 
-    ``value`` must be numeric, date or timestamp (the range bounds are
-    approximate quantiles).  ``num_ranges`` defaults to about one range per
-    ``ROWS_PER_RANGE`` input rows, at most ``spark.sql.shuffle.partitions``;
-    the result does not depend on it.
-    When the input is materialised its row count is
-    checked (one cheap pass over the materialised copy): at most
-    ``single_task_max_rows`` rows are ranked by the plain window in one
-    task, anything larger by ranges.
+    ``value`` may have any orderable type.  ``num_ranges`` defaults to about
+    one range per ``ROWS_PER_RANGE`` distinct values; the result does not
+    depend on it.
     """
     return global_ranks(
         df,
@@ -84,9 +61,7 @@ def global_rank(
         dense_rank_col=output if dense else None,
         ascending=ascending,
         num_ranges=num_ranges,
-        accuracy=accuracy,
-        materialize=materialize,
-        single_task_max_rows=single_task_max_rows,
+        stored=stored,
     )
 
 
@@ -98,72 +73,26 @@ def global_ranks(
     dense_rank_col: str | None = None,
     ascending: bool = False,
     num_ranges: int | None = None,
-    accuracy: int | None = None,
-    materialize: str | None = "checkpoint",
-    single_task_max_rows: int = 1_000_000,
+    stored: bool = False,
 ) -> DataFrame:
     """``global_rank`` producing ``rank`` and/or ``dense_rank`` columns in
     one pass (both come from the same per-range numbering and offsets)."""
     if not rank_col and not dense_rank_col:
         raise ValueError("global_ranks: ask for rank_col and/or dense_rank_col")
-    spark = df.sparkSession
-    if materialize == "checkpoint":
-        from pyspark import StorageLevel
-
-        from strata.session import ensure_checkpoint_dir
-
-        ensure_checkpoint_dir(spark)
-        # A reliable checkpoint is written by a second job that recomputes its
-        # input unless it is persisted: persist, checkpoint, then release.
-        computed = df.persist(StorageLevel.MEMORY_AND_DISK)
-        df = computed.checkpoint(eager=True)
-        computed.unpersist()
-    elif materialize == "cache":
-        df = df.persist()
-    elif materialize is not None:
-        raise ValueError(f"global_rank: unknown materialize={materialize!r}")
-
+    ensure_checkpoint_dir(df.sparkSession)
+    if not stored:
+        df = df.checkpoint(eager=True)
     v = F.col(value)
     order = v.asc_nulls_first() if ascending else v.desc_nulls_last()
-    rows = df.count() if materialize is not None else None
-    if rows is not None and rows <= single_task_max_rows:
-        w = Window.orderBy(order)
-        columns = {}
-        if rank_col:
-            columns[rank_col] = F.rank().over(w).cast("bigint")
-        if dense_rank_col:
-            columns[dense_rank_col] = F.dense_rank().over(w).cast("bigint")
-        return df.withColumns(columns)
-
+    values = df.groupBy(value).agg(F.count(F.lit(1)).alias("_rows")).checkpoint(eager=True)
     if num_ranges is None:
-        num_ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        if rows is not None:  # about one range per ROWS_PER_RANGE rows
-            num_ranges = min(num_ranges, -(-rows // ROWS_PER_RANGE))
-    num_ranges = max(1, num_ranges)
-    n_bounds = num_ranges - 1
-    # Bounds only balance the ranges (correctness never depends on them): a
-    # rank error of a tenth of a range is plenty.  Keeping the accuracy tied
-    # to the number of ranges keeps every partial quantile digest small, so
-    # the single merge of one digest per input partition stays cheap.
-    if accuracy is None:
-        accuracy = max(1000, 10 * num_ranges)
-
-    values = df.groupBy(value).agg(F.count(F.lit(1)).alias("_rows"))
-
-    if n_bounds > 0:
-        probs = [i / num_ranges for i in range(1, num_ranges)]
-        bounds = df.select(F.percentile_approx(value, probs, accuracy)).scalar()
-        values = values.withColumn("_bounds", bounds)
-        below = _count_at_or_below(F.col("_bounds"), v, 0, n_bounds)
-    else:
-        below = F.lit(0)
-    # Range position in rank order: 0 .. n_bounds for values, NULL last
-    # (descending) or first (ascending) as in Spark's default orderings.
-    if ascending:
-        position = F.when(v.isNull(), F.lit(-1)).otherwise(below)
-    else:
-        position = F.when(v.isNull(), F.lit(n_bounds + 1)).otherwise(n_bounds - below)
-    values = values.select(value, "_rows", position.alias("_range"))
+        num_ranges = -(-values.count() // ROWS_PER_RANGE)
+    values = (
+        values.repartitionByRange(max(1, num_ranges), order)
+        .withColumn("_range", F.spark_partition_id())
+        .coalesce(-(-max(1, num_ranges) // RANGES_PER_FILE))
+        .checkpoint(eager=True)
+    )
 
     local = Window.partitionBy("_range").orderBy(order)
     before = local.rowsBetween(Window.unboundedPreceding, -1)
@@ -177,7 +106,7 @@ def global_ranks(
     totals = values.groupBy("_range").agg(
         F.count(F.lit(1)).alias("_values"), F.sum("_rows").alias("_rows")
     )
-    # At most num_ranges + 1 rows: a single-partition window is bounded here.
+    # One row per range, each standing for ROWS_PER_RANGE values.
     prior = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         "_range",

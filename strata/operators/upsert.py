@@ -5,16 +5,14 @@ as a DataFrame plan: ``target LEFT ANTI JOIN source-keys UNION ALL source``.
   are kept (an upsert never deletes); new keys are inserted.
 * Keys compare with ``=``: a NULL key never matches, so NULL-key source rows
   are always inserted and NULL-key target rows always kept, as in MERGE.
-* A non-NULL key occurring twice in the source fails the job (MERGE refuses
-  to update one target row from two source rows).  The check rides inside
-  the plan: the anti join needs the distinct source keys anyway, and the
-  guard sits on that aggregate, so no extra pass or action is needed.  When
-  the target is empty Spark prunes the anti join and its guard; duplicates
-  are then inserted, which is also what MERGE does when nothing matches.
-* Scale: the source keys are aggregated with map-side partial aggregation
-  (a hot key costs one row per task), then target and keys are shuffled on
-  the key for the anti join (AQE splits skewed target partitions, e.g. many
-  NULL keys).  The result has the target's column order.
+* A non-NULL key occurring twice in the source fails the job, whatever the
+  target holds.  The check rides inside the plan: the inserted rows
+  themselves come out of the guarded aggregate by key, so nothing can prune
+  it (an empty target included) and no extra action is needed.
+* Scale: the source is aggregated by key with map-side partial aggregation
+  (a repeated key costs one row per task), then target and keys are shuffled
+  on the key for the anti join (AQE splits skewed target partitions, e.g.
+  many NULL keys).  The result has the target's column order.
 """
 
 from __future__ import annotations
@@ -32,14 +30,17 @@ def _all_present(keys: Sequence[str]):
     return present
 
 
-def source_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct source keys, guarded: evaluating them raises if a non-NULL
-    key repeats.  (The anti join lets Spark drop NULL keys before this
-    aggregate, which is fine: they never match and are never duplicates.)"""
+def source_rows(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The source's rows; evaluating them raises if a non-NULL key repeats."""
     keys = list(keys)
-    counted = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    rest = [c for c in source.columns if c not in keys]
+    counted = (
+        source.filter(_all_present(keys))
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(F.lit(0).alias("_any"), *rest)).alias("_row"))
+    )
     guard = F.when(
-        _all_present(keys) & (F.col("_n") > 1),
+        F.col("_n") > 1,
         F.raise_error(
             F.concat(
                 F.lit(f"upsert: duplicate source key ({', '.join(keys)}) = "),
@@ -47,7 +48,10 @@ def source_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
             )
         ),
     ).otherwise(F.lit(True))
-    return counted.filter(guard).select(*keys)
+    rows = counted.filter(guard).select(
+        *(F.col(c) if c in keys else F.col(f"_row.`{c}`").alias(c) for c in source.columns)
+    )
+    return rows.unionByName(source.filter(~_all_present(keys)))
 
 
 def upsert(
@@ -76,8 +80,8 @@ def upsert(
                 F.raise_error(F.lit(f"upsert: NULL source key ({', '.join(keys)})")),
             ).otherwise(F.lit(True))
         )
-    kept = target.join(source_keys(source, keys), keys, "left_anti")
-    return kept.unionByName(rows)
+    kept = target.join(rows.select(*keys).distinct(), keys, "left_anti")
+    return kept.unionByName(source_rows(rows, keys))
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order_by: str) -> DataFrame:

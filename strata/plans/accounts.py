@@ -1,10 +1,10 @@
 """Accounts: raw feed -> bronze -> quality split -> silver -> gold tables and
 reports.
 
-All transforms are pure and lazy.  The gold aggregates group by a bounded
-category (country, company size); everything before them is row-local, so
-the only shuffles are the two group-bys (with map-side partial
-aggregation), the distinct counts' two-level aggregation, and - for
+All transforms are pure and, but for the ranks of ``gold_country_analytics``,
+lazy.  Everything before the gold aggregates is row-local, so the only
+shuffles are the two group-bys (with map-side partial aggregation), the
+distinct counts' two-level aggregation, the range ranks, and - for
 ``quarantine_distinct`` only - one distinct over the failing rows.
 """
 
@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata import schemas
@@ -26,7 +26,10 @@ from strata.functions import (
     share_of_total,
     trimmed_or,
 )
+from strata.functions.columns import WIDE_MONEY, money_sum
 from strata.operators.quality import QualitySplit, Rule, split
+from strata.operators.ranking import global_rank
+from strata.session import ensure_checkpoint_dir
 
 AsOf = dt.datetime | str | None
 
@@ -45,6 +48,8 @@ UNKNOWN = "Unknown"
 UNKNOWN_COUNTRY = "UNKNOWN"
 # ---------------------------------------------------------------------------------
 
+# The silver and gold columns, in order; the output names of the
+# aggregates below are fixed as well.
 SILVER_COLUMNS = [
     "account_id",
     "account_name",
@@ -185,25 +190,31 @@ def gold_accounts(silver: DataFrame) -> DataFrame:
 def gold_country_analytics(silver: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Per-country measures, size mix and two whole-table ranks.
 
-    The ranks use an unpartitioned window over the aggregated rows: one row
-    per country, a bounded domain, so the single task sees at most a few
-    hundred rows whatever the input size."""
+    ``country`` is free text, so the number of countries is not bounded: the
+    ranks are numbered by ranges (``global_rank``, which runs jobs when
+    called), never in one task.  Revenue is summed to the cent, exactly, so
+    that ties do not depend on how rows are partitioned."""
     sizes = [(label, f"{label.lower()}_accounts") for label in SIZE_ORDER]
+    revenue = money_sum("annual_revenue_abs", WIDE_MONEY)
     per_country = silver.groupBy("country").agg(
         F.count(F.lit(1)).alias("total_accounts"),
         F.count_distinct("industry").alias("unique_industries"),
         F.sum("employee_count").alias("total_employees"),
         F.avg("employee_count").alias("avg_employees_per_account"),
         F.max("employee_count").alias("max_employees"),
-        F.sum("annual_revenue_abs").alias("total_revenue"),
-        F.avg("annual_revenue_abs").alias("avg_revenue_per_account"),
+        revenue.alias("total_revenue"),
+        (revenue / F.count("annual_revenue_abs")).alias("avg_revenue_per_account"),
         F.max("annual_revenue_abs").alias("max_revenue"),
         *count_each("company_size", sizes),
     )
-    return per_country.withColumns(
+    ensure_checkpoint_dir(silver.sparkSession)
+    per_country = per_country.checkpoint(eager=True)
+    ranked = global_rank(per_country, "total_revenue", output="revenue_rank", stored=True)
+    ranked = global_rank(ranked, "total_accounts", output="accounts_rank", stored=True)
+    return ranked.withColumns(
         {
-            "revenue_rank": F.rank().over(Window.orderBy(F.desc("total_revenue"))),
-            "accounts_rank": F.rank().over(Window.orderBy(F.desc("total_accounts"))),
+            "revenue_rank": F.col("revenue_rank").cast("int"),
+            "accounts_rank": F.col("accounts_rank").cast("int"),
             "revenue_per_employee": guarded_ratio("total_revenue", "total_employees"),
             "processed_timestamp": as_of_literal(as_of),
         }
@@ -217,6 +228,7 @@ def gold_size_analytics(silver: DataFrame, as_of: AsOf = None) -> DataFrame:
     rows, so the whole table is one plan and one pass over ``silver``
     (no driver round trips); a zero total gives a NULL share."""
     tiers = [(label, f"tier{i}_accounts") for i, label in enumerate(TIER_ORDER, start=1)]
+    revenue = money_sum("annual_revenue_abs", WIDE_MONEY)
     per_size = silver.groupBy("company_size").agg(
         F.count(F.lit(1)).alias("total_accounts"),
         F.count_distinct("country").alias("unique_countries"),
@@ -225,8 +237,8 @@ def gold_size_analytics(silver: DataFrame, as_of: AsOf = None) -> DataFrame:
         F.avg("employee_count").alias("avg_employees"),
         F.min("employee_count").alias("min_employees"),
         F.max("employee_count").alias("max_employees"),
-        F.sum("annual_revenue_abs").alias("total_revenue"),
-        F.avg("annual_revenue_abs").alias("avg_revenue"),
+        revenue.alias("total_revenue"),
+        (revenue / F.count("annual_revenue_abs")).alias("avg_revenue"),
         F.min("annual_revenue_abs").alias("min_revenue"),
         F.max("annual_revenue_abs").alias("max_revenue"),
         # Sample stddev in USD to the cent: the unrounded last digits depend
@@ -269,7 +281,9 @@ def report_size_distribution(gold: DataFrame) -> DataFrame:
         gold.groupBy("company_size")
         .agg(
             F.count(F.lit(1)).alias("count"),
-            F.round(F.avg("annual_revenue_abs"), 2).alias("avg_revenue"),
+            F.round(
+                money_sum("annual_revenue_abs", WIDE_MONEY) / F.count("annual_revenue_abs"), 2
+            ).alias("avg_revenue"),
         )
         .orderBy(F.desc("avg_revenue"))
     )

@@ -17,8 +17,10 @@ from strata.plans import accounts as acc
 from strata.plans import sales
 from strata.operators.quality import rate_pct
 from strata.sources.tables import (
+    DEFAULT_KEY_BUCKETS,
     KEY_BUCKET,
     TableDoc,
+    buckets_for,
     ensure_schema,
     save_overwrite,
     save_upsert,
@@ -32,44 +34,107 @@ def _doc(tier: str, domain: str, job: str, comment: str, columns=None, **extra)
     return TableDoc(comment=comment, properties=props, columns=columns or {})
 
 
+# The property keys of the documented tables (``quality_tier``,
+# ``data_domain``, ``pipeline_name``, ``refresh_pattern``).  The contract's fifth
+# key, ``table_type``, is reserved by this Spark version: ALTER TABLE refuses it
+# (UNSUPPORTED_FEATURE.SET_TABLE_PROPERTY) and with
+# spark.sql.legacy.notReserveProperties drops it silently.  Its value is stored
+# under ``table_role``.
+BRONZE_COLUMNS_DOC = {
+    "AccountId": "Account key in the source system",
+    "AccountName": "Account name as received",
+    "AccountIndustry": "Industry as received",
+    "AccountType": "Account type as received",
+    "AccountHQCountry": "Country of the headquarters as received",
+    "AccountCountry": "Country of operation as received",
+    "NumberOfEmployees": "Employee count as received",
+    "AnnualRevenue": "Annual revenue in USD as received",
+    "ingestion_timestamp": "When the row was ingested",
+    "source_system": "Source system label",
+    "_rescued_data": "Raw text of a record that did not fit the schema",
+}
+SILVER_COLUMNS_DOC = {
+    "account_id": "Account key, unique",
+    "account_name": "Account name without surrounding blanks",
+    "industry": "Industry, or Unknown",
+    "account_type": "Account type, or Unknown",
+    "hq_country": "Country of the headquarters in capitals, or UNKNOWN",
+    "country": "Country of operation in capitals, or UNKNOWN",
+    "employee_count": "Employees, 0 when not given",
+    "annual_revenue": "Annual revenue in USD, 0 when not given",
+    "ingestion_timestamp": "When the row was ingested",
+    "source_system": "Source system label",
+    "annual_revenue_abs": "Annual revenue without its sign",
+    "company_size": "Size class from the employee count",
+    "revenue_tier": "Tier from the absolute annual revenue",
+    "processed_timestamp": "When the row was processed",
+}
+COUNTRY_COLUMNS_DOC = {
+    "country": "Primary key: country of operation",
+    "total_accounts": "Accounts in the country",
+    "unique_industries": "Different industries among them",
+    "total_employees": "Employees of all accounts",
+    "avg_employees_per_account": "Mean employees of an account",
+    "max_employees": "Employees of the largest account",
+    "total_revenue": "Revenue of all accounts in USD",
+    "avg_revenue_per_account": "Mean revenue of an account in USD",
+    "max_revenue": "Revenue of the account that earns most, in USD",
+    **{f"{x}_accounts": f"Accounts of size {x}" for x in ("enterprise", "large", "medium", "small", "micro")},
+    "revenue_rank": "1 = highest total revenue; ties share a rank",
+    "accounts_rank": "1 = most accounts; ties share a rank",
+    "revenue_per_employee": "Total revenue over total employees, 0 without employees",
+    "processed_timestamp": "When the row was computed",
+}
+SIZE_COLUMNS_DOC = {
+    "company_size": "Primary key: size class",
+    "total_accounts": "Accounts of the size",
+    "unique_countries": "Different countries among them",
+    "unique_industries": "Different industries among them",
+    "total_employees": "Employees of all accounts",
+    "avg_employees": "Mean employees of an account",
+    "min_employees": "Employees of the smallest account",
+    "max_employees": "Employees of the largest account",
+    "total_revenue": "Revenue of all accounts in USD",
+    "avg_revenue": "Mean revenue of an account in USD",
+    "min_revenue": "Least revenue of an account in USD",
+    "max_revenue": "Most revenue of an account in USD",
+    "revenue_stddev": "Sample standard deviation of revenue, to the cent",
+    **{f"tier{i}_accounts": f"Accounts in revenue tier {i}" for i in (1, 2, 3, 4)},
+    "size_order": "1 = Enterprise .. 5 = Micro",
+    "pct_of_total_accounts": "Share of all accounts in percent",
+    "pct_of_total_revenue": "Share of all revenue in percent",
+    "revenue_per_employee": "Total revenue over total employees, 0 without employees",
+    "processed_timestamp": "When the row was computed",
+}
+
 ACCOUNT_DOCS = {
     "bronze_accounts": _doc(
         "bronze",
         "sales",
         "accounts",
         "Raw accounts as received, with ingestion time and source system.",
-        {
-            "AccountId": "Account key in the source system",
-            "ingestion_timestamp": "When the row was ingested",
-            "source_system": "Source system label",
-            "_rescued_data": "Raw text of a record that did not fit the schema",
-        },
+        BRONZE_COLUMNS_DOC,
     ),
     "accounts_quarantine": _doc(
         "bronze",
         "sales",
         "accounts",
         "Bronze accounts failing a quality rule, with the rules they fail.",
-        {"failed_rules": "Names of the failed rules"},
+        {**BRONZE_COLUMNS_DOC, "failed_rules": "Names of the failed rules"},
     ),
     "silver_accounts": _doc(
         "silver",
         "sales",
         "accounts",
         "Valid accounts, cleaned and classified by size and revenue tier.",
-        {
-            "account_id": "Account key",
-            "company_size": "Size class from the employee count",
-            "revenue_tier": "Tier from the absolute annual revenue",
-            "processed_timestamp": "When the row was processed",
-        },
+        SILVER_COLUMNS_DOC,
     ),
     "gold_accounts": _doc(
         "gold",
         "sales",
         "accounts",
         "Business-ready accounts dimension.",
-        {"account_id": "Primary key"},
+        {c: SILVER_COLUMNS_DOC[c] for c in acc.GOLD_COLUMNS},
         table_role="dimension",
     ),
     "gold_country_analytics": _doc(
@@ -77,7 +142,7 @@ ACCOUNT_DOCS = {
         "sales",
         "accounts",
         "Accounts aggregated per operating country.",
-        {"country": "Primary key", "revenue_rank": "1 = highest total revenue"},
+        COUNTRY_COLUMNS_DOC,
         table_role="aggregation",
         refresh_pattern="full_overwrite",
     ),
@@ -86,7 +151,7 @@ ACCOUNT_DOCS = {
         "sales",
         "accounts",
         "Accounts aggregated per company size.",
-        {"company_size": "Primary key", "size_order": "1 = Enterprise .. 5 = Micro"},
+        SIZE_COLUMNS_DOC,
         table_role="aggregation",
         refresh_pattern="full_overwrite",
     ),
@@ -104,13 +169,14 @@ def run_accounts_job(
     raw_accounts: DataFrame,
     schema: str,
     as_of: AsOf = None,
-    key_buckets: int | None = None,
+    key_buckets: int | None = DEFAULT_KEY_BUCKETS,
 ) -> RunReport:
     """bronze (upsert) -> quarantine (overwrite) + silver (upsert) ->
     gold accounts (upsert), country and size analytics (overwrite).
 
-    ``key_buckets`` stores the three upserted tables by key bucket so each
-    run rewrites only the buckets its accounts fall in (see ``save_upsert``).
+    New upserted tables are stored by ``key_buckets`` key buckets, so each run
+    rewrites only the buckets its accounts fall in (see ``save_upsert``);
+    existing ones keep their layout.  ``None`` writes whole new versions.
     """
     ensure_schema(spark, schema)
     t = lambda name: f"{schema}.{name}"
@@ -122,7 +188,7 @@ def run_accounts_job(
         t("bronze_accounts"),
         ["AccountId"],
         ACCOUNT_DOCS["bronze_accounts"],
-        key_buckets=key_buckets,
+        key_buckets=buckets_for(spark, t("bronze_accounts"), key_buckets),
     )
 
     bronze = spark.table(t("bronze_accounts")).drop(KEY_BUCKET)
@@ -142,7 +208,7 @@ def run_accounts_job(
         ["account_id"],
         ACCOUNT_DOCS["silver_accounts"],
         reject_null_keys=True,
-        key_buckets=key_buckets,
+        key_buckets=buckets_for(spark, t("silver_accounts"), key_buckets),
     )
 
     silver = spark.table(t("silver_accounts")).drop(KEY_BUCKET)
@@ -152,7 +218,7 @@ def run_accounts_job(
         ["account_id"],
         ACCOUNT_DOCS["gold_accounts"],
         reject_null_keys=True,
-        key_buckets=key_buckets,
+        key_buckets=buckets_for(spark, t("gold_accounts"), key_buckets),
     )
     report.rows["gold_country_analytics"] = save_overwrite(
         acc.gold_country_analytics(silver, as_of),

@@ -64,37 +64,61 @@ def fact_orders(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def fact_orders_missing_dims(spark: SparkSession, base: str) -> DataFrame:
+    """Facts looked up in active customers and available products only: lines
+    of any other customer or product keep NULL attributes."""
+    return sales.fact_orders(
+        bronze_orders(spark, base),
+        dim_customers(spark, base).where("is_active"),
+        dim_products(spark, base).where("is_available"),
+        AS_OF,
+    )
+
+
+def order_lines(spark: SparkSession, base: str) -> DataFrame:
+    """Order lines before any dimension is looked up (not registered)."""
+    return sales.order_lines(bronze_orders(spark, base))
+
+
 def daily_sales_summary(spark: SparkSession, base: str) -> DataFrame:
-    return sales.daily_sales_summary(fact_orders(spark, base), AS_OF)
+    return sales.daily_sales_summary(order_lines(spark, base), AS_OF)
+
+
+def report_daily_sales(spark: SparkSession, base: str) -> DataFrame:
+    return sales.report_daily_sales(daily_sales_summary(spark, base))
 
 
 def customer_metrics(spark: SparkSession, base: str) -> DataFrame:
-    return sales.customer_metrics(fact_orders(spark, base), AS_OF)
+    return sales.customer_metrics(
+        order_lines(spark, base), AS_OF, customers=dim_customers(spark, base)
+    )
 
 
 def product_performance(spark: SparkSession, base: str) -> DataFrame:
-    return sales.product_performance(fact_orders(spark, base), AS_OF)
+    return sales.product_performance(
+        order_lines(spark, base), AS_OF, products=dim_products(spark, base)
+    )
 
 
 def product_performance_window(spark: SparkSession, base: str) -> DataFrame:
-    return sales.product_performance_window(fact_orders(spark, base), AS_OF)
+    """``product_performance`` with the rank in the window function's type
+    (int); computed by ranges as well, no window sees all products."""
+    from pyspark.sql import functions as F
+
+    ranked = product_performance(spark, base)
+    return ranked.withColumn("revenue_rank", F.col("revenue_rank").cast("int"))
 
 
 def product_rank_global(spark: SparkSession, base: str) -> DataFrame:
-    """Both ranks of every product by completed revenue (ties included),
-    always through the range-partitioned method (no single-task window,
-    whatever the input size)."""
+    """Both ranks of every product by completed revenue (ties included)."""
     from strata.operators.ranking import global_ranks
 
-    totals = sales.product_totals(fact_orders(spark, base)).select(
-        "product_id", "total_revenue"
-    )
+    totals = sales.product_totals(order_lines(spark, base), dim_products(spark, base))
     return global_ranks(
-        totals,
+        totals.select("product_id", "total_revenue"),
         "total_revenue",
         rank_col="revenue_rank",
         dense_rank_col="revenue_dense_rank",
-        single_task_max_rows=-1,
     )
 
 
@@ -181,6 +205,32 @@ def accounts_upsert(spark: SparkSession, base: str) -> DataFrame:
     return upsert(previous, current, ["account_id"])
 
 
+def _previous_accounts(spark: SparkSession, base: str) -> DataFrame:
+    """Bronze accounts as of a day earlier: those that had an industry."""
+    return acc.bronze_accounts(
+        raw_accounts(spark, base).where("AccountIndustry is not null"), "2023-12-31 00:00:00"
+    )
+
+
+def bronze_accounts_upsert(spark: SparkSession, base: str) -> DataFrame:
+    """An incremental feed (the accounts with a type) upserted into
+    yesterday's bronze table."""
+    from strata.operators.upsert import upsert
+
+    current = bronze_accounts(spark, base).where("AccountType is not null")
+    return upsert(_previous_accounts(spark, base), current, ["AccountId"])
+
+
+def gold_accounts_upsert(spark: SparkSession, base: str) -> DataFrame:
+    """This run's enterprise accounts upserted into yesterday's gold dimension."""
+    from strata.operators.upsert import upsert
+
+    yesterday = acc.split_accounts(_previous_accounts(spark, base)).valid
+    previous = acc.gold_accounts(acc.silver_accounts(yesterday, "2023-12-31 00:00:00"))
+    current = gold_accounts(spark, base).where("account_type = 'Enterprise'")
+    return upsert(previous, current, ["account_id"])
+
+
 QUERIES: dict[str, Query] = {
     "bronze_accounts": bronze_accounts,
     "bronze_customers": bronze_customers,
@@ -200,12 +250,16 @@ QUERIES: dict[str, Query] = {
     "report_size_distribution": report_size_distribution,
     "accounts_sample": accounts_sample,
     "accounts_upsert": accounts_upsert,
+    "bronze_accounts_upsert": bronze_accounts_upsert,
+    "gold_accounts_upsert": gold_accounts_upsert,
     "orders_quarantine_detail": orders_quarantine_detail,
     "orders_quarantine_reasons": orders_quarantine_reasons,
     "dim_customers": dim_customers,
     "dim_products": dim_products,
     "fact_orders": fact_orders,
+    "fact_orders_missing_dims": fact_orders_missing_dims,
     "daily_sales_summary": daily_sales_summary,
+    "report_daily_sales": report_daily_sales,
     "customer_metrics": customer_metrics,
     "product_performance": product_performance,
     "product_performance_window": product_performance_window,

@@ -6,16 +6,16 @@ rerun reproduces its output (``None`` = now).
 
 Scale notes
 -----------
-* ``fact_orders`` is the only join step: two left equi-joins of the fact to
-  its dimensions.  The planner broadcasts a dimension only when its measured
-  size is under the broadcast threshold; otherwise both sides shuffle on the
-  key and AQE splits skewed (hot or NULL-key) partitions.
-* Gold tables read the fact once each: the ``Completed`` filter is applied
-  before any shuffle, every aggregate is partial (map-side) first, and the
-  distinct counts use Spark's two-level distinct aggregation, so a hot day,
-  customer or product never lands in one task whole.
+* ``fact_orders`` joins the lines to their dimensions: two left equi-joins.
+  The planner broadcasts a dimension only when its measured size is under the
+  broadcast threshold; otherwise both sides shuffle on the key and AQE splits
+  skewed (hot or NULL-key) partitions.
+* Gold tables aggregate order lines by key first and look dimensions up
+  afterwards, one row per key (``customers`` / ``products`` arguments): lines
+  are never shuffled for a join whose attributes the totals do not need, and
+  the distinct counts spread a hot customer or product by its orders.
 * ``product_performance`` ranks with ``global_rank`` instead of an
-  unpartitioned window (which would gather every product into one task).
+  unpartitioned window; that runs jobs when called, everything else is lazy.
 """
 
 from __future__ import annotations
@@ -33,6 +33,7 @@ from strata.functions import (
     money_sum,
     stamp,
 )
+from strata.functions.columns import MONEY
 from strata.operators.quality import QualitySplit, Rule, guard_unique, split
 from strata.operators.ranking import global_rank
 
@@ -50,6 +51,7 @@ SEGMENT_LOYAL_ORDERS = 2
 SEGMENTS = ("VIP", "Loyal", "Regular")
 # -------------------------------------------------------------------------------
 
+# The fact table's columns, in order.
 FACT_COLUMNS = [
     "product_id",
     "customer_id",
@@ -188,6 +190,24 @@ def left_lookup(facts: DataFrame, dim: DataFrame, key: str, spread: int) -> Data
     return left.join(right, "_lookup", "left").drop("_lookup")
 
 
+def customer_lookup(dim_customers_df: DataFrame) -> DataFrame:
+    return dim_customers_df.select(
+        "customer_id",
+        F.col("full_name").alias("customer_name"),
+        F.col("city").alias("customer_city"),
+        F.col("state").alias("customer_state"),
+    )
+
+
+def product_lookup(dim_products_df: DataFrame) -> DataFrame:
+    return dim_products_df.select(
+        "product_id",
+        "product_name",
+        F.col("category").alias("product_category"),
+        "price_tier",
+    )
+
+
 def fact_orders(
     raw_orders: DataFrame,
     dim_customers_df: DataFrame,
@@ -210,18 +230,8 @@ def fact_orders(
     are broadcast, where NULL keys cause no skew at all), so it is off by
     default.
     """
-    customers = dim_customers_df.select(
-        "customer_id",
-        F.col("full_name").alias("customer_name"),
-        F.col("city").alias("customer_city"),
-        F.col("state").alias("customer_state"),
-    )
-    products = dim_products_df.select(
-        "product_id",
-        "product_name",
-        F.col("category").alias("product_category"),
-        "price_tier",
-    )
+    customers = customer_lookup(dim_customers_df)
+    products = product_lookup(dim_products_df)
     if unique_dims:
         customers = guard_unique(customers, ["customer_id"], "dim_customers")
         products = guard_unique(products, ["product_id"], "dim_products")
@@ -245,21 +255,36 @@ def completed(fact: DataFrame) -> DataFrame:
     return fact.filter(F.col("status_category") == STATUS_COMPLETED)
 
 
-def daily_sales_summary(fact: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """Completed sales per day.  Unordered: sort when reading."""
+def daily_sales_summary(lines: DataFrame, as_of: AsOf = None) -> DataFrame:
+    """Completed sales per day, from order lines or facts; no dimension column
+    is used.  Lines are first reduced to one row per day, order and customer,
+    so the two distinct counts expand orders, not lines.  Unordered:
+    ``report_daily_sales`` sorts."""
+    orders = (
+        completed(lines)
+        .groupBy("order_date_only", "order_id", "customer_id")
+        .agg(
+            F.sum("quantity").alias("units"),
+            F.sum(F.col("line_total").cast(MONEY)).alias("revenue"),
+        )
+    )
     return (
-        completed(fact)
-        .groupBy("order_date_only")
+        orders.groupBy("order_date_only")
         .agg(
             F.count_distinct("order_id").alias("total_orders"),
-            F.sum("quantity").alias("total_units_sold"),
-            money_sum("line_total").alias("total_revenue"),
+            F.sum("units").alias("total_units_sold"),
+            F.sum("revenue").cast("double").alias("total_revenue"),
             F.count_distinct("customer_id").alias("unique_customers"),
         )
         .withColumn("_aggregated_at", as_of_literal(as_of))
     )
 
 
+def report_daily_sales(daily: DataFrame) -> DataFrame:
+    """The daily summary in date order."""
+    return daily.orderBy("order_date_only")
+
+
 def customer_segment(revenue: str = "total_revenue", orders: str = "total_orders"):
     return (
         F.when(F.col(revenue) >= SEGMENT_VIP_REVENUE, F.lit(SEGMENTS[0]))
@@ -268,27 +293,63 @@ def customer_segment(revenue: str = "total_revenue", orders: str = "total_orders
     )
 
 
-def customer_metrics(fact: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """Completed sales per customer; ``avg_order_value`` is the exact,
-    half-up-rounded average line total."""
+CUSTOMER_LOOKUP = ("customer_name", "customer_city", "customer_state")
+PRODUCT_LOOKUP = ("product_name", "product_category", "price_tier")
+
+
+def _looked_up(totals: DataFrame, lookup: DataFrame, key: str, attributes, label: str) -> DataFrame:
+    """One row of totals per key, with the attributes of a unique-keyed lookup."""
+    joined = totals.join(guard_unique(lookup, [key], label), key, "left")
+    rest = [c for c in totals.columns if c != key]
+    return joined.select(key, *attributes, *rest)
+
+
+def customer_totals(
+    lines: DataFrame, by: tuple[str, ...] = ("customer_id", *CUSTOMER_LOOKUP)
+) -> DataFrame:
     return (
-        completed(fact)
-        .groupBy("customer_id", "customer_name", "customer_city", "customer_state")
+        completed(lines)
+        .groupBy(*by)
         .agg(
             F.count_distinct("order_id").alias("total_orders"),
             F.sum("quantity").alias("total_items"),
             money_sum("line_total").alias("total_revenue"),
             money_avg("line_total").alias("avg_order_value"),
         )
-        .withColumn("customer_segment", customer_segment())
-        .withColumn("_aggregated_at", as_of_literal(as_of))
     )
 
 
-def product_totals(fact: DataFrame) -> DataFrame:
-    return (
-        completed(fact)
-        .groupBy("product_id", "product_name", "product_category", "price_tier")
+def customer_metrics(
+    lines: DataFrame, as_of: AsOf = None, customers: DataFrame | None = None
+) -> DataFrame:
+    """Completed sales per customer; ``avg_order_value`` is the exact,
+    half-up-rounded average line total.
+
+    With ``customers`` (the dimension; its keys must be unique, which is
+    checked) order lines are aggregated by key first and one row per customer
+    is looked up: no line is shuffled for a join, and a hot customer is spread
+    by its orders.  Without, ``lines`` are facts that carry the attributes."""
+    if customers is None:
+        totals = customer_totals(lines)
+    else:
+        totals = _looked_up(
+            customer_totals(lines, ("customer_id",)),
+            customer_lookup(customers),
+            "customer_id",
+            CUSTOMER_LOOKUP,
+            "dim_customers",
+        )
+    return totals.withColumn("customer_segment", customer_segment()).withColumn(
+        "_aggregated_at", as_of_literal(as_of)
+    )
+
+
+def product_totals(lines: DataFrame, products: DataFrame | None = None) -> DataFrame:
+    """Completed sales per product; ``products`` as for ``customer_metrics``."""
+    by = ("product_id", *PRODUCT_LOOKUP) if products is None else ("product_id",)
+    totals = (
+        completed(lines)
+        .groupBy(*by)
         .agg(
             F.count_distinct("order_id").alias("times_ordered"),
             F.sum("quantity").alias("total_units_sold"),
@@ -296,31 +357,29 @@ def product_totals(fact: DataFrame) -> DataFrame:
             F.count_distinct("customer_id").alias("unique_customers"),
         )
     )
+    if products is None:
+        return totals
+    return _looked_up(totals, product_lookup(products), "product_id", PRODUCT_LOOKUP, "dim_products")
 
 
 def product_performance(
-    fact: DataFrame, as_of: AsOf = None, num_ranges: int | None = None
+    lines: DataFrame,
+    as_of: AsOf = None,
+    num_ranges: int | None = None,
+    products: DataFrame | None = None,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """Completed sales per product with a dense revenue rank over all
-    products (1 = highest revenue, ties share a rank, no gaps)."""
+    products (1 = highest revenue, ties share a rank, no gaps).
+
+    Ranking runs jobs when called (see ``global_ranks``); pass stored
+    ``totals`` to rank those instead of checkpointing them."""
     ranked = global_rank(
-        product_totals(fact),
+        product_totals(lines, products) if totals is None else totals,
         "total_revenue",
         dense=True,
         output="revenue_rank",
         num_ranges=num_ranges,
+        stored=totals is not None,
     )
     return ranked.withColumn("_aggregated_at", as_of_literal(as_of))
-
-
-def product_performance_window(fact: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """Same result through one unpartitioned window (all products in one
-    task); kept for comparison with ``product_performance``."""
-    from pyspark.sql import Window
-
-    w = Window.orderBy(F.desc("total_revenue"))
-    return (
-        product_totals(fact)
-        .withColumn("revenue_rank", F.dense_rank().over(w))
-        .withColumn("_aggregated_at", as_of_literal(as_of))
-    )

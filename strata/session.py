@@ -21,6 +21,9 @@ SCALE_SETTINGS: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join partition even if what follows needs another shuffle
+    # for it (an aggregate on the join key, say).
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     # Broadcast only below a measured size (file statistics at plan time,
     # shuffle statistics at run time).  Dimension tables above this size are
@@ -89,6 +92,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def state_location(spark: SparkSession, name: str) -> str:
-    """A named sub-folder of the shared checkpoint folder (streaming state)."""
-    base = ensure_checkpoint_dir(spark)
+    """A named sub-folder of the shared checkpoint folder (streaming state).
+
+    Built from the configured folder, so that another session with the same
+    setting finds it again: Spark's own checkpoint folder is a new one below
+    it in each session."""
+    current = ensure_checkpoint_dir(spark)
+    base = spark.conf.get("spark.checkpoint.dir", None) or current.rstrip("/").rpartition("/")[0]
     return f"{base.rstrip('/')}/{name}"

@@ -6,8 +6,9 @@ Two ways in:
   schema (no inference, so a scan never has to touch the data to plan).
 * ``*_from_star`` - the four feeds derived from a TPC-H-style star schema
   (``customer nation region part orders lineitem``) by deterministic column
-  expressions.  Every input row becomes one feed row; nothing is sampled or
-  filtered.  Ids stay 64-bit.
+  expressions.  Every input row becomes one feed row (a customer without nation
+  or a line without order keeps NULLs); nothing is sampled or filtered.  Ids
+  stay 64-bit.
 
 All derivations are plain projections and equi-joins, so they scale with
 the input: the small ``nation``/``region`` tables are joined by broadcast
@@ -66,8 +67,8 @@ def _customer_geo(spark: SparkSession, base: str) -> DataFrame:
     customer = read_table(spark, base, "customer")
     nation = read_table(spark, base, "nation")
     region = read_table(spark, base, "region")
-    return customer.join(nation, customer.c_nationkey == nation.n_nationkey).join(
-        region, nation.n_regionkey == region.r_regionkey
+    return customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left").join(
+        region, nation.n_regionkey == region.r_regionkey, "left"
     )
 
 
@@ -143,7 +144,7 @@ def orders_from_star(spark: SparkSession, base: str) -> DataFrame:
         .when(F.col("o_orderstatus") == "O", F.lit("pending"))
         .when(F.col("o_orderstatus") == "P", F.lit("shipped"))
     )
-    return lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey).select(
+    return lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey, "left").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("l_partkey").alias("product_id"),

@@ -11,9 +11,13 @@ is no ``MERGE``; ``save_upsert`` instead
   folder): writes the upserted result as a new version folder and repoints
   the table with ``ALTER TABLE ... SET LOCATION`` - a single catalog update,
   so readers see the old or the new version and no data is moved.  Earlier
-  version folders are kept (snapshots of previous runs) for housekeeping;
-* with ``key_buckets``: rewrites only the key buckets a batch touches
-  (dynamic partition overwrite);
+  version folders are kept as snapshots, at most ``keep_versions`` of them
+  when that is given;
+* with ``key_buckets``: rewrites only the key buckets a batch touches.  The
+  touched partitions are replaced in place (dynamic partition overwrite), so a
+  reader may meet some new and some old buckets while a batch is written;
+  the bucket count and the key columns are kept as table properties and
+  checked, and source columns are cast to the table's types before hashing;
 * for managed tables created elsewhere: writes a sibling table and swaps it
   in (drop + rename), which is **not atomic**.
 
@@ -163,6 +167,7 @@ def save_upsert(
     fmt: str = "parquet",
     reject_null_keys: bool = False,
     key_buckets: int | None = None,
+    keep_versions: int | None = None,
 ) -> int:
     """Upsert ``source`` into ``table`` on ``keys`` (created when absent).
 
@@ -174,9 +179,15 @@ def save_upsert(
     key_buckets)`` and only the buckets the source touches are read, merged
     and replaced (dynamic partition overwrite), so a small batch into a huge
     table rewrites a small part of it.  Returns the number of rows written."""
+    spark = source.sparkSession
+    stored = stored_buckets(spark, table)
+    if stored is not None and key_buckets not in (None, stored[0]):
+        raise ValueError(f"save_upsert: {table} has {stored[0]} key buckets, not {key_buckets}")
+    if stored is not None and list(stored[1]) != list(keys):
+        raise ValueError(f"save_upsert: {table} is bucketed by {stored[1]}, not {list(keys)}")
+    key_buckets = stored[0] if stored else key_buckets
     if key_buckets:
         return _upsert_buckets(source, table, keys, doc, fmt, reject_null_keys, key_buckets)
-    spark = source.sparkSession
     staging = f"{table}__upsert_next"
     if not table_exists(spark, table) and table_exists(spark, staging):
         # A previous run stopped between dropping the table and renaming the
@@ -201,6 +212,8 @@ def save_upsert(
         spark.sql(f"ALTER TABLE {_ident(table)} SET LOCATION {_quote(nxt)}")
         spark.catalog.refreshTable(table)
         document_table(spark, table, doc)
+        if keep_versions is not None:
+            drop_old_versions(spark, nxt, keep_versions)
         return rows
     spark.sql(f"DROP TABLE IF EXISTS {_ident(staging)}")
     rows = save_overwrite(merged, staging, None, fmt)
@@ -211,7 +224,43 @@ def save_upsert(
     return rows
 
 
+def drop_old_versions(spark: SparkSession, current: str, keep: int) -> None:
+    """Delete all but the newest ``keep`` version folders beside ``current``,
+    which itself always stays (names sort by time)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(current)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    prefix = path.getName().rpartition("__v")[0] + "__v"
+    beside = [s.getPath() for s in fs.listStatus(path.getParent())]
+    old = sorted(
+        (p for p in beside if p.getName().startswith(prefix) and p.getName() != path.getName()),
+        key=lambda p: p.getName(),
+    )
+    for p in old[: max(0, len(old) - keep)]:
+        fs.delete(p, True)
+
+
 KEY_BUCKET = "_key_bucket"
+BUCKETS_PROPERTY, KEYS_PROPERTY = "strata.key_buckets", "strata.key_columns"
+DEFAULT_KEY_BUCKETS = 32
+
+
+def stored_buckets(spark: SparkSession, table: str) -> tuple[int, list[str]] | None:
+    """Bucket count and key columns of a table stored by key bucket."""
+    if not table_exists(spark, table):
+        return None
+    props = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {_ident(table)}").collect()}
+    if BUCKETS_PROPERTY not in props:
+        return None
+    return int(props[BUCKETS_PROPERTY]), props[KEYS_PROPERTY].split(",")
+
+
+def buckets_for(spark: SparkSession, table: str, new: int | None = DEFAULT_KEY_BUCKETS) -> int | None:
+    """Bucket count to upsert with: the table's own if it exists (``None`` for a
+    table not stored by bucket), else ``new``."""
+    if not table_exists(spark, table):
+        return new
+    stored = stored_buckets(spark, table)
+    return stored[0] if stored else None
 
 
 def key_bucket(keys: Sequence[str], buckets: int):
@@ -229,14 +278,24 @@ def _upsert_buckets(
     buckets: int,
 ) -> int:
     spark = source.sparkSession
-    src = source.drop(KEY_BUCKET).withColumn(KEY_BUCKET, key_bucket(keys, buckets))
+    src = source.drop(KEY_BUCKET)
     if not table_exists(spark, table):
+        src = src.withColumn(KEY_BUCKET, key_bucket(keys, buckets))
         checked = upsert(src.limit(0), src, keys, reject_null_keys)
-        return save_overwrite(checked, table, doc, fmt, partition_by=[KEY_BUCKET])
+        rows = save_overwrite(checked, table, doc, fmt, partition_by=[KEY_BUCKET])
+        document_table(
+            spark,
+            table,
+            TableDoc(properties={BUCKETS_PROPERTY: str(buckets), KEYS_PROPERTY: ",".join(keys)}),
+        )
+        return rows
     spark.catalog.refreshTable(table)
     target = spark.table(table)
     if KEY_BUCKET not in target.columns:
         raise ValueError(f"save_upsert: {table} is not stored by key bucket")
+    types = dict(target.dtypes)
+    src = src.select(*(F.col(c).cast(types[c]) if c in types else F.col(c) for c in src.columns))
+    src = src.withColumn(KEY_BUCKET, key_bucket(keys, buckets))
     # At most ``buckets`` small ints reach the driver: a proven bound.
     touched = sorted(r[0] for r in src.select(KEY_BUCKET).distinct().collect())
     if not touched:

@@ -3,13 +3,21 @@ table by a Structured Streaming query.
 
 ``readStream`` tracks which files were already processed in the query's
 checkpoint; each micro-batch goes through ``transform`` and is upserted on
-the table keys inside ``foreachBatch``.  Replaying a batch (after a driver
-or executor failure) upserts the same rows again, which leaves the table
-unchanged - the upsert is idempotent - so at-least-once batch delivery gives
-an exactly-once table state.
+the table keys inside ``foreachBatch``.
 
-The checkpoint lives under the session's shared ``spark.checkpoint.dir``
-unless a location is given.
+* Several versions of a key in one batch: with ``order_by`` the latest is
+  taken; without, the batch fails (an upsert has one row per key).
+* Rows with a NULL key (malformed records among them) are not upserted, for
+  they would be inserted again whenever a batch is replayed.  They go to the
+  table ``<table>__rejected``, partitioned by batch; a replayed batch replaces
+  its own partition.
+* So a batch replayed after a failure leaves both tables unchanged:
+  at-least-once delivery gives an exactly-once table state.
+* Each batch rewrites only the key buckets it touches; new tables are stored
+  by ``key_buckets`` buckets, existing ones keep their own layout.
+
+The checkpoint lives under the session's shared ``spark.checkpoint.dir``, at
+the same place in every session, unless a location is given.
 """
 
 from __future__ import annotations
@@ -17,12 +25,33 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from strata.operators.upsert import keep_last
 from strata.session import state_location
 from strata.sources.intake import RESCUE_COLUMN, with_rescue
-from strata.sources.tables import TableDoc, save_upsert
+from strata.sources.tables import (
+    DEFAULT_KEY_BUCKETS,
+    TableDoc,
+    buckets_for,
+    save_overwrite,
+    save_upsert,
+    table_exists,
+)
+
+BATCH = "_batch"
+
+
+def save_batch(rows: DataFrame, table: str, epoch: int) -> None:
+    """Store a batch's rows as the table's partition of that batch, replacing
+    what an earlier attempt stored; nothing is created for no rows."""
+    rows = rows.withColumn(BATCH, F.lit(epoch).cast("long"))
+    if table_exists(rows.sparkSession, table):
+        rows.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+    elif not rows.isEmpty():
+        save_overwrite(rows, table, partition_by=[BATCH])
 
 
 def start_incremental_upsert(
@@ -37,12 +66,11 @@ def start_incremental_upsert(
     doc: TableDoc | None = None,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
-    reject_null_keys: bool = False,
-    key_buckets: int | None = None,
+    key_buckets: int | None = DEFAULT_KEY_BUCKETS,
+    order_by: str | None = None,
 ) -> StreamingQuery:
     """Start the intake query.  With ``available_now`` it processes every
-    file present at start (in bounded batches) and stops.  ``key_buckets``
-    makes each batch rewrite only the key buckets it touches."""
+    file present at start (in bounded batches) and stops."""
     if fmt in ("csv", "json"):
         # Text landing files keep malformed records: NULL fields plus the raw
         # text in the rescue column, as in batch intake.
@@ -62,15 +90,16 @@ def start_incremental_upsert(
     if transform is not None:
         stream = transform(stream)
 
-    def upsert_batch(batch: DataFrame, _epoch: int) -> None:
-        save_upsert(
-            batch,
-            table,
-            keys,
-            doc=doc,
-            reject_null_keys=reject_null_keys,
-            key_buckets=key_buckets,
-        )
+    def upsert_batch(batch: DataFrame, epoch: int) -> None:
+        own = batch.sparkSession
+        present = F.lit(True)
+        for key in keys:
+            present = present & F.col(key).isNotNull()
+        save_batch(batch.filter(~present), f"{table}__rejected", epoch)
+        rows = batch.filter(present)
+        if order_by is not None:
+            rows = keep_last(rows, keys, order_by)
+        save_upsert(rows, table, keys, doc=doc, key_buckets=buckets_for(own, table, key_buckets))
 
     writer = (
         stream.writeStream.foreachBatch(upsert_batch)

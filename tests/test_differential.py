@@ -119,7 +119,7 @@ def test_sales_random(spark, seed):
     _same(sales.customer_metrics(fact, AS_OF), con, o.with_(base, o.CUSTOMER_METRICS_SQL))
     _same(sales.product_performance(fact, AS_OF), con, o.with_(base + [o.PRODUCT_TOTALS], o.PRODUCT_PERFORMANCE_SQL))
     totals = sales.product_totals(fact).select("product_id", "total_revenue")
-    ranked = global_rank(totals, "total_revenue", output="revenue_rank", single_task_max_rows=-1, num_ranges=4)
+    ranked = global_rank(totals, "total_revenue", output="revenue_rank", num_ranges=4)
     ranked = global_rank(ranked, "total_revenue", dense=True, output="revenue_dense_rank",
-                         single_task_max_rows=-1, num_ranges=3)
+                         num_ranges=3)
     _same(ranked, con, o.with_(base + [o.PRODUCT_TOTALS], o.PRODUCT_RANK_GLOBAL_SQL))

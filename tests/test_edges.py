@@ -194,7 +194,7 @@ def test_product_rank_ties_and_missing_revenue(spark):
         (4, 1, 104, 1, None, "2024-01-01 00:00:00", "delivered", "x"),
     ]
     fact = sales_fact(spark, orders=orders)
-    for fn in (sales.product_performance, sales.product_performance_window):
+    for fn in (sales.product_performance,):
         out = by_key(fn(fact, AS_OF), "product_id")
         assert {k: v["revenue_rank"] for k, v in out.items()} == {101: 1, 102: 1, 103: 2, 104: 3}
         assert out[104]["total_revenue"] is None

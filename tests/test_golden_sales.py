@@ -68,7 +68,7 @@ def test_customer_metrics(fact):
     }
 
 
-@pytest.mark.parametrize("fn", [sales.product_performance, sales.product_performance_window])
+@pytest.mark.parametrize("fn", [sales.product_performance])
 def test_product_performance(fact, fn):
     out = by_key(fn(fact, AS_OF), "product_id")
     got = {

@@ -97,3 +97,52 @@ def test_read_feed_declared_schema(spark):
         f.write("customer_id,first_name,last_name,email,phone,city,state,status\n2,X,Y,e,,c,s,inactive\n")
     row = read_feed(spark, os.path.join(d, "c.csv"), schemas.CUSTOMERS, "csv").first()
     assert (row.customer_id, row.status, row.phone) == (2, "inactive", None)
+
+
+def _drop(spark, landing, name, rows):
+    spark.createDataFrame(rows, "k string, v int, ts int").write.parquet(os.path.join(landing, name))
+
+
+def _run(spark, landing, table, **options):
+    from pyspark.sql.types import StructType
+
+    schema = StructType.fromDDL("k string, v int, ts int")
+    q = start_incremental_upsert(spark, landing + "/*", schema, table, ["k"], **options)
+    q.awaitTermination(120)
+    assert q.exception() is None
+    return sum(p["numInputRows"] for p in q.recentProgress)
+
+
+def test_two_versions_and_null_keys(spark, fresh_schema):
+    landing, ckpt = tempfile.mkdtemp(prefix="landing-"), tempfile.mkdtemp(prefix="ckpt-")
+    table = f"{fresh_schema}.t"
+    _drop(spark, landing, "b1", [("a", 1, 1), ("a", 2, 5), ("a", 3, 2), (None, 9, 1)])
+    _run(spark, landing, table, order_by="ts", checkpoint=ckpt)
+    assert [(r.k, r.v) for r in read_fresh(spark, table).collect()] == [("a", 2)]
+    assert [r.v for r in read_fresh(spark, f"{table}__rejected").collect()] == [9]
+    # a replay of the batch (its checkpoint was lost) changes nothing
+    _run(spark, landing, table, order_by="ts", checkpoint=tempfile.mkdtemp(prefix="ckpt-"))
+    assert [(r.k, r.v) for r in read_fresh(spark, table).collect()] == [("a", 2)]
+    assert [r.v for r in read_fresh(spark, f"{table}__rejected").collect()] == [9]
+
+
+def test_a_new_session_goes_on_where_the_last_one_stopped(spark, fresh_schema, monkeypatch):
+    from strata.session import state_location
+
+    shared = tempfile.mkdtemp(prefix="shared-")
+    spark.conf.set("spark.checkpoint.dir", shared)
+    try:
+        landing, table = tempfile.mkdtemp(prefix="landing-"), f"{fresh_schema}.t"
+        _drop(spark, landing, "b1", [("a", 2, 1)])
+        _run(spark, landing, table)
+        first = state_location(spark, "x")
+        # a later session has a checkpoint folder of its own below the same setting
+        old = spark.sparkContext.getCheckpointDir()
+        spark.sparkContext.setCheckpointDir(shared)
+        assert state_location(spark, "x") == first == f"{shared}/x"
+        _drop(spark, landing, "b2", [("b", 1, 1)])
+        assert _run(spark, landing, table) == 1  # b1 was not read again
+        assert {(r.k, r.v) for r in read_fresh(spark, table).collect()} == {("a", 2), ("b", 1)}
+        spark.sparkContext.setCheckpointDir(old.rpartition("/")[0])
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")

@@ -64,3 +64,15 @@ def test_use_schema(spark, fresh_schema):
         assert spark.catalog.currentDatabase() == fresh_schema
     finally:
         use_schema(spark, "default")
+
+
+def test_every_column_of_the_accounts_tables_is_documented(spark, fresh_schema):
+    run_accounts_job(spark, accounts_df(spark), fresh_schema, AS_OF)
+    for name in ("bronze_accounts", "silver_accounts", "gold_accounts", "gold_country_analytics", "gold_size_analytics"):
+        rows = spark.sql(f"DESCRIBE TABLE {fresh_schema}.{name}").collect()
+        named = [r for r in rows if r.col_name in spark.table(f"{fresh_schema}.{name}").columns]
+        assert all(r.comment for r in named if r.col_name != "_key_bucket"), name
+    for name, kind in (("gold_accounts", "dimension"), ("gold_country_analytics", "aggregation")):
+        props = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {fresh_schema}.{name}").collect()}
+        # Spark reserves "table_type": ALTER TABLE refuses it
+        assert props["table_role"] == kind

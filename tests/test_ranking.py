@@ -8,15 +8,13 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from strata.operators import ranking
 from strata.operators.ranking import global_rank, global_ranks
 
 
-def _compare(spark, values, dense, ascending, ranges, dtype="double", single_task_max_rows=-1):
+def _compare(spark, values, dense, ascending, ranges, dtype="double"):
     df = spark.createDataFrame(list(enumerate(values)), f"id long, v {dtype}")
-    got = global_rank(
-        df, "v", dense=dense, ascending=ascending, output="r", num_ranges=ranges,
-        single_task_max_rows=single_task_max_rows,
-    )
+    got = global_rank(df, "v", dense=dense, ascending=ascending, output="r", num_ranges=ranges)
     order = F.col("v").asc_nulls_first() if ascending else F.col("v").desc_nulls_last()
     fn = F.dense_rank() if dense else F.rank()
     want = df.withColumn("w", fn.over(Window.orderBy(order)))
@@ -34,11 +32,23 @@ def test_matches_window_with_hot_value_and_nulls(spark, dense, ascending, ranges
     _compare(spark, values, dense, ascending, ranges)
 
 
-@pytest.mark.parametrize("dense", [False, True])
-def test_small_input_takes_single_task_path(spark, dense):
-    rnd = random.Random(5)
-    values = [rnd.choice([None, 1.0, float(rnd.randint(0, 9))]) for _ in range(400)]
-    _compare(spark, values, dense, False, 8, single_task_max_rows=1000)
+def test_number_of_ranges_follows_the_values(spark, monkeypatch):
+    """No switch and no cap: the default splits whatever number of values."""
+    monkeypatch.setattr(ranking, "ROWS_PER_RANGE", 10)
+    _compare(spark, [float(i % 500) for i in range(1500)], True, False, None)
+
+
+def test_many_ranges_plan_quickly(spark):
+    import time
+
+    df = spark.range(20_000).select((F.col("id") * 1.0).alias("v")).checkpoint()
+    began = time.perf_counter()
+    global_rank(df, "v", output="r", num_ranges=4_000, stored=True).explain()
+    assert time.perf_counter() - began < 30
+
+
+def test_strings_rank_too(spark):
+    _compare(spark, [None, "b", "a", "b", "é"], False, True, 3, "string")
 
 
 def test_integer_values(spark):
@@ -67,7 +77,7 @@ def test_values_are_ranked_per_range(spark):
     import io
 
     df = spark.range(1000).select((F.col("id") % 37).cast("double").alias("v"), "id")
-    ranked = global_rank(df, "v", dense=True, output="r", single_task_max_rows=-1)
+    ranked = global_rank(df, "v", dense=True, output="r")
     ranked.collect()
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
@@ -75,19 +85,17 @@ def test_values_are_ranked_per_range(spark):
     from checks.plans import drop_initial_plans
 
     plan = drop_initial_plans(buf.getvalue())
-    # values are windowed per range id, never all in one partition; the
-    # single-partition steps are the per-range offsets (<= ranges + 1 rows)
-    # and the quantile merge (one buffer per task)
+    # values are windowed per range id, never all in one partition; the one
+    # single-partition step is the prefix sum over one row per range
     assert "hashpartitioning(_range" in plan
-    assert plan.count("SinglePartition") <= 3
+    assert plan.count("SinglePartition") <= 1
 
 
-@pytest.mark.parametrize("limit", [-1, 10_000])
-def test_both_ranks_in_one_pass(spark, limit):
+def test_both_ranks_in_one_pass(spark):
     rnd = random.Random(11)
     rows = [(i, rnd.choice([None, 2.0, 2.0, float(rnd.randint(0, 30))])) for i in range(1500)]
     df = spark.createDataFrame(rows, "id long, v double")
-    got = global_ranks(df, "v", rank_col="r", dense_rank_col="d", num_ranges=5, single_task_max_rows=limit)
+    got = global_ranks(df, "v", rank_col="r", dense_rank_col="d", num_ranges=5)
     w = Window.orderBy(F.col("v").desc_nulls_last())
     want = df.withColumn("r2", F.rank().over(w)).withColumn("d2", F.dense_rank().over(w))
     j = got.join(want, "id")

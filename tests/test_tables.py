@@ -114,3 +114,41 @@ def test_upsert_switches_versions_atomically(spark, fresh_schema):
     assert [tuple(r) for r in spark.read.parquet(loc1).collect()] == [("a", 1)]
     props, cols, comment = _meta(spark, t)
     assert props["quality_tier"] == "gold" and cols["k"] == "the key"
+
+
+def test_bucket_layout_is_kept_and_checked(spark, fresh_schema):
+    t = f"{fresh_schema}.b"
+    rows = spark.range(1000).selectExpr("id as k", "1 as v")
+    save_upsert(rows, t, ["k"], key_buckets=8)
+    batch = rows.limit(10).selectExpr("k", "2 as v")
+    with pytest.raises(ValueError, match="8 key buckets"):
+        save_upsert(batch, t, ["k"], key_buckets=16)
+    with pytest.raises(ValueError, match="bucketed by"):
+        save_upsert(batch, t, ["v"], key_buckets=8)
+    # another key type is cast to the table's before hashing
+    save_upsert(batch.selectExpr("cast(k as int) as k", "v"), t, ["k"])
+    assert spark.table(t).count() == 1000 == spark.table(t).select("k").distinct().count()
+    assert spark.table(t).filter("v = 2").count() == 10
+
+
+def test_first_load_with_duplicates_fails(spark, fresh_schema):
+    two = spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int")
+    for buckets in (None, 4):
+        with pytest.raises(Exception, match="duplicate source key"):
+            save_upsert(two, f"{fresh_schema}.d{buckets}", ["k"], key_buckets=buckets)
+
+
+def test_old_versions_are_dropped(spark, fresh_schema):
+    import os
+    import time
+
+    from strata.sources.tables import table_location
+
+    t = f"{fresh_schema}.v"
+    for i in range(4):
+        save_upsert(spark.createDataFrame([("a", i)], "k string, v int"), t, ["k"], keep_versions=1)
+        time.sleep(1.1)  # folder names sort by second
+    here = table_location(spark, t)[0].removeprefix("file:")
+    beside = [d for d in os.listdir(os.path.dirname(here)) if d.startswith("v__v")]
+    assert len(beside) == 2 and os.path.basename(here) in beside
+    assert spark.table(t).first().v == 3

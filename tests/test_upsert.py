@@ -82,3 +82,12 @@ def test_upsert_matches_model(spark, target, source):
     t = spark.createDataFrame(target, SCHEMA)
     s = spark.createDataFrame(unique_source, SCHEMA)
     assert _rows(upsert(t, s, ["k"])) == _model(target, unique_source)
+
+
+def test_duplicate_first_load_fails(spark):
+    """The guard does not depend on what the target holds."""
+    source = spark.createDataFrame([("b", 2), ("b", 3), (None, 1), (None, 2)], SCHEMA)
+    with pytest.raises((PySparkException, Py4JJavaError), match="duplicate source key"):
+        upsert(source.limit(0), source, ["k"]).collect()
+    nulls = source.filter("k is null")
+    assert len(upsert(source.limit(0), nulls, ["k"]).collect()) == 2
