@@ -126,23 +126,18 @@ def test_two_versions_and_null_keys(spark, fresh_schema):
     assert [r.v for r in read_fresh(spark, f"{table}__rejected").collect()] == [9]
 
 
-def test_a_new_session_goes_on_where_the_last_one_stopped(spark, fresh_schema, monkeypatch):
+def test_a_new_session_goes_on_where_the_last_one_stopped(spark, fresh_schema):
     from strata.session import state_location
 
-    shared = tempfile.mkdtemp(prefix="shared-")
-    spark.conf.set("spark.checkpoint.dir", shared)
-    try:
-        landing, table = tempfile.mkdtemp(prefix="landing-"), f"{fresh_schema}.t"
-        _drop(spark, landing, "b1", [("a", 2, 1)])
-        _run(spark, landing, table)
-        first = state_location(spark, "x")
-        # a later session has a checkpoint folder of its own below the same setting
-        old = spark.sparkContext.getCheckpointDir()
-        spark.sparkContext.setCheckpointDir(shared)
-        assert state_location(spark, "x") == first == f"{shared}/x"
-        _drop(spark, landing, "b2", [("b", 1, 1)])
-        assert _run(spark, landing, table) == 1  # b1 was not read again
-        assert {(r.k, r.v) for r in read_fresh(spark, table).collect()} == {("a", 2), ("b", 1)}
-        spark.sparkContext.setCheckpointDir(old.rpartition("/")[0])
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+    landing, table = tempfile.mkdtemp(prefix="landing-"), f"{fresh_schema}.t"
+    _drop(spark, landing, "b1", [("a", 2, 1)])
+    _run(spark, landing, table)
+    first = state_location(spark, "x")
+    # another session has a checkpoint folder of its own below the same setting
+    own = spark.sparkContext.getCheckpointDir()
+    spark.sparkContext.setCheckpointDir(own.rstrip("/").rpartition("/")[0])
+    assert spark.sparkContext.getCheckpointDir() != own
+    assert state_location(spark, "x") == first
+    _drop(spark, landing, "b2", [("b", 1, 1)])
+    assert _run(spark, landing, table) == 1  # b1 was not read again
+    assert {(r.k, r.v) for r in read_fresh(spark, table).collect()} == {("a", 2), ("b", 1)}

@@ -21,10 +21,10 @@ def _scan(summary, table):
 
 
 def test_scans_read_only_needed_columns(plans):
-    # lineitem has 11 columns; the sales jobs need 4 of them
-    for name in ("fact_orders", "daily_sales_summary", "customer_metrics"):
+    # lineitem has 11 columns; facts need 4 of them, totals without products 3
+    for name, n in (("fact_orders", 4), ("daily_sales_summary", 3), ("customer_metrics", 3)):
         (scan,) = _scan(plans[name], "lineitem")
-        assert scan.split(": ")[1].startswith("4 cols"), scan
+        assert scan.split(": ")[1].startswith(f"{n} cols"), scan
     (orders,) = _scan(plans["daily_sales_summary"], "orders")
     assert orders.split(": ")[1].startswith("4 cols"), orders  # no o_totalprice
 
@@ -36,3 +36,48 @@ def test_no_single_partition_steps_in_sales_gold(plans):
 
 def test_silver_accounts_needs_no_shuffle_beyond_small_lookups(plans):
     assert plans["silver_accounts"]["exchanges"] == []
+
+
+NO_BROADCAST = (
+    "spark.sql.autoBroadcastJoinThreshold",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold",
+)
+
+
+@pytest.fixture(scope="module")
+def shuffled(spark):
+    """Plans as they are when no dimension is small enough to broadcast."""
+    old = {k: spark.conf.get(k) for k in NO_BROADCAST}
+    try:
+        for k in NO_BROADCAST:
+            spark.conf.set(k, "-1")
+        names = ("fact_orders", "daily_sales_summary", "customer_metrics", "product_performance")
+        yield {name: final_plan(QUERIES[name](spark, SF)) for name in names}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_gold_tables_join_no_dimension_they_do_not_need(shuffled):
+    daily = summarise(shuffled["daily_sales_summary"])
+    assert not _scan(daily, "customer") and not _scan(daily, "part")
+    customers = summarise(shuffled["customer_metrics"])
+    assert _scan(customers, "customer") and not _scan(customers, "part")
+    for name in ("fact_orders", "daily_sales_summary", "customer_metrics"):
+        assert summarise(shuffled[name])["single"] == [], name
+
+
+def test_lines_of_a_hot_customer_are_spread_by_their_orders(shuffled):
+    """Lines leave their map side keyed by (customer, order), never by customer."""
+    import re
+
+    plan = shuffled["customer_metrics"]
+    keyed = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
+    assert any("order_id" in k and "customer_id" in k for k in keyed) or any(
+        "l_orderkey" in k for k in keyed
+    )
+
+
+def test_ranks_never_window_all_products(shuffled):
+    single = summarise(shuffled["product_performance"])["single"]
+    assert len(single) <= 1  # the prefix sum over one row per range
