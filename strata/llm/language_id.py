@@ -9,10 +9,11 @@ space.  Parses restart every ``SEGMENT`` symbols, so the segments of a batch
 walk the automaton side by side, one numpy lane each, whatever the lengths of
 their documents; whole texts are read.
 
-Training takes at most ``train_chars`` characters a language: rows drawn by a
-hash of their text, each giving at most that many.  Only this sample goes to
-the driver; the automata are rebuilt from it in each Python worker.  Scoring
-only maps rows.
+Training takes at most ``train_chars`` characters a language: different texts
+drawn by a hash, copies counting once, each giving at most the ``PARTS``-th part
+as long as the others can fill the rest.  Every language with a lettered text
+draws at least one.  Only this sample goes to the driver; the automata are
+rebuilt from it in each Python worker.  Scoring only maps rows.
 
 Defined cases: null text or text without a letter is ``und`` with score 0, as
 is every text if nothing was learned; null languages are not learned; ties go
@@ -33,6 +34,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from .common import map_batches, table
 
 TRAIN_CHARS = 40_000
+PARTS = 8
 SEGMENT = 512
 SLICE = 4_000_000  # symbols walked at a time
 UNKNOWN = "und"
@@ -196,28 +198,56 @@ def _models_of(shared) -> Models:
     return _models[key]
 
 
+def _mixed(texts: list[str], train_chars: int) -> str:
+    """Starts of the texts, ``train_chars`` in all; round by round each gives
+    one part more."""
+    room, part = train_chars, max(1, train_chars // PARTS)
+    given = [0] * len(texts)
+    while room > 0 and any(g < len(t) for g, t in zip(given, texts, strict=True)):
+        for i, t in enumerate(texts):
+            step = min(part, len(t) - given[i], room)
+            given[i] += step
+            room -= step
+    return " ".join(t[:g] for g, t in zip(given, texts, strict=True) if g)[:train_chars]
+
+
 def training_text(labelled: DataFrame, train_chars: int = TRAIN_CHARS) -> dict[str, str]:
     """At most ``train_chars`` characters a language of ``text``, ``lang``."""
-    rows = labelled.where("lang is not null and text is not null").select("lang", "text")
-    given = F.least(F.length("text"), F.lit(train_chars))
-    totals = {r.lang: r.n for r in rows.groupBy("lang").agg(F.sum(given).alias("n")).collect()}
+    range_ = 1 << 30
+    # from the first letter on, so that each start of a text has one
+    rows = (
+        labelled.where("lang is not null")
+        .select("lang", F.regexp_replace("text", r"^\P{L}++", "").alias("text"))
+        .where("text != ''")
+        .withColumn("h", F.xxhash64("text", F.lit(7)))
+    )
+    given = F.least(F.length("text"), F.lit(max(1, train_chars // PARTS)))
+    place = F.pmod("h", F.lit(range_))
+    different = rows.select("lang", "h", given.alias("given")).distinct()
+    totals = different.groupBy("lang").agg(F.sum("given").alias("n"), F.min(place).alias("least")).collect()
     if not totals:
         return {}
-    share = F.create_map(
-        *(F.lit(v) for x, n in totals.items() for v in (x, min(1.0, 4 * train_chars / max(n, 1))))
+    # about four times what is needed, but never nothing
+    last = F.create_map(
+        *(
+            F.lit(v)
+            for r in totals
+            for v in (r.lang, max(int(range_ * min(1.0, 4 * train_chars / r.n)) - 1, r.least))
+        )
     )
-    drawn = rows.withColumn("h", F.xxhash64("text", F.lit(7))).where(
-        F.pmod("h", F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30)
+    drawn = (
+        rows.where(place <= last[F.col("lang")])
+        .select("lang", "h", F.substring("text", 1, train_chars).alias("text"))
+        .distinct()
     )
     given_before = F.sum(given).over(
         Window.partitionBy("lang").orderBy("h", "text").rowsBetween(Window.unboundedPreceding, -1)
     )
-    out: dict[str, str] = {}
-    sample = drawn.select(
-        "lang", "h", F.substring("text", 1, train_chars).alias("text"), given_before.alias("before")
-    ).where(F.coalesce("before", F.lit(0)) < train_chars)
+    sample = drawn.withColumn("before", given_before).where(F.coalesce("before", F.lit(0)) < train_chars)
+    texts: dict[str, list[str]] = {}
     for r in sorted(sample.collect(), key=lambda r: (r.lang, r.h, r.text)):
-        out[r.lang] = (out.get(r.lang, "") + " " + r.text)[: train_chars + 1]
+        texts.setdefault(r.lang, []).append(r.text)
+    out = {x: _mixed(t, train_chars) for x, t in texts.items()}
     return {x: t for x, t in out.items() if any(map(str.isalpha, t))}
 
 

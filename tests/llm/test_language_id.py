@@ -62,6 +62,24 @@ def test_training_is_bounded(spark):
     assert len(sizes) == 1 and sizes[0] <= 5_001
 
 
+def test_copies_neither_hide_a_language_nor_fill_its_sample(spark):
+    distinct = "concat('aa', conv(id * 7919 + 13, 10, 16), repeat(' mot', 70))"
+    en = spark.range(200).selectExpr("'en' as lang", f"{distinct} as text")
+    copies = spark.range(20_000).selectExpr("'en' as lang", "repeat('copied words ', 23) as text")
+    for hot in range(3):  # wherever the hash of the copied text falls
+        df = en.unionByName(copies.selectExpr("lang", f"concat('{'abc'[hot]}', text) as text"))
+        got = li.training_text(df, train_chars=2_000).get("en", "")
+        assert len(got) == 2_000 and got.count("copied") <= 2_000 // li.PARTS // 12 + 1
+        assert len({w for w in got.split() if w.startswith("aa")}) >= 5
+
+
+def test_few_texts_fill_the_sample_and_every_language_draws(spark):
+    rows = [("a", "12. " + "one " * 400), ("a", "two " * 300), ("b", "9" * 3_000 + " letters"), ("c", "12 34"), ("d", None)]
+    got = li.training_text(spark.createDataFrame(rows, "lang string, text string"), train_chars=1_600)
+    assert set(got) == {"a", "b"} and len(got["a"]) == 1_600 and got["b"] == "letters"
+    assert "one" in got["a"] and "two" in got["a"]
+
+
 def test_held_out_accuracy(spark):
     path = "/root/testdata/sf0.01"
     docs = {r.doc_id: r for r in spark.read.parquet(f"{path}/documents.parquet").collect()}
