@@ -9,6 +9,13 @@ minimum cut, found by maximum flow, separates content from boilerplate, so that
 a short heading between paragraphs follows them and a lone sentence between
 menu links does not.
 
+Blocks outside an article lose only if the page's largest article holds at
+least as much text as the blocks outside that look like content by themselves;
+otherwise (a teaser card beside the text) nothing is taken from them.  Blocks
+below a content class gain.  Short blocks between two content blocks and short
+items of lists and tables without links lose nothing for being short, so a run
+of them stays with the text around it, however long.
+
 Pages are only mapped; a page's graph has as many nodes as blocks and at most
 two edges a block.  Scripts, styles, comments, forms' controls and hidden parts
 never become blocks.
@@ -46,11 +53,18 @@ INLINE = frozenset(
     (
         "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i",
         "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time",
-        "tt", "u", "var", "br", "img", "wbr", "ruby", "rt", "rp",
+        "tt", "u", "var", "br", "img", "wbr", "ruby", "rt", "rp", "math", "mi", "mn", "mo", "ms", "mtext", "mrow",
+        "msup", "msub", "msubsup", "mfrac", "msqrt", "mroot", "mover", "munder", "munderover", "mstyle", "mpadded",
+        "mspace", "mtable", "mtr", "mtd", "mmultiscripts", "menclose", "merror", "semantics", "annotation",
+        "annotation-xml", "object",
     )
 )
-DROPPED = frozenset(("head", "svg", "math", "canvas", "object", "audio", "video", "select", "button", "datalist"))
+# annotations say the formula again
+DROPPED = frozenset(
+    ("head", "svg", "canvas", "audio", "video", "select", "button", "datalist", "annotation", "annotation-xml")
+)
 ENDS_ITSELF = {"li": "li", "dt": "dt", "dd": "dd", "option": "option", "tr": "tr", "td": "td", "th": "th"}
+ITEMS = frozenset(("li", "dt", "dd", "td", "th", "caption"))
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
 BOILER_TAGS = frozenset(("nav", "footer", "aside", "form", "menu", "dialog"))
@@ -69,31 +83,36 @@ _NOTICE = re.compile(r"©|\(c\) \d{4}|all rights reserved|cookies?\b|subscribe\b
 
 # weights of the classifier: positive for content
 CUE, IN_ARTICLE, OUTSIDE, LINKS, LONG, SHORT, SENTENCE, HEADING, NOTICE = 8.0, 4.0, 3.0, 3.0, 1.5, 0.5, 0.5, 0.3, 1.5
-ADJACENT, SAME_PARENT = 0.6, 0.6
+CONTAINER = 1.0
+ADJACENT, SAME_PARENT, INTO_LIST = 0.6, 0.6, 1.2
 
 
 class _Element:
-    """``number``: of the nearest block element; ``parent``: of the one above."""
+    """``number``: of the nearest block element; ``parent``: of the one above;
+    ``article``: number of the outermost article around, or 0; ``content``: a
+    content class is around; ``item``: a list item or table cell is."""
 
-    __slots__ = ("tag", "block", "boiler", "article", "hidden", "number", "parent")
+    __slots__ = ("tag", "block", "boiler", "article", "content", "item", "hidden", "number", "parent")
 
-    def __init__(self, tag, block, boiler, article, hidden, number, parent):
-        self.tag, self.block, self.boiler = tag, block, boiler
+    def __init__(self, tag, block, boiler, article, content, item, hidden, number, parent):
+        self.tag, self.block, self.boiler, self.content, self.item = tag, block, boiler, content, item
         self.article, self.hidden, self.number, self.parent = article, hidden, number, parent
 
 
 class Block:
-    __slots__ = ("parts", "linked", "size", "tag", "boiler", "article", "parent", "text")
+    __slots__ = ("parts", "linked", "size", "tag", "boiler", "article", "content", "item", "parent", "text")
 
     def __init__(self, at: _Element, tag: str):
         self.parts, self.linked, self.size = [], 0, 0
         self.tag, self.boiler, self.article, self.parent = tag, at.boiler, at.article, at.parent
+        self.content, self.item = at.content, at.item
         self.text = ""
 
 
 def _open(tag: str, attributes: str, up: _Element, number: int) -> _Element:
     """The element below ``up``; cues of its tag and class words added."""
     boiler, article, hidden = up.boiler, up.article, up.hidden or tag in DROPPED
+    content, item = up.content, up.item or tag in ITEMS
     words: set[str] = set()
     if attributes and not attributes.isspace():
         for name, value in _ATTRIBUTE.findall(attributes):
@@ -111,15 +130,17 @@ def _open(tag: str, attributes: str, up: _Element, number: int) -> _Element:
         elif tag == "header" or "header" in words and not good:
             boiler = boiler or not article  # an article's own header stays
         elif (tag in CONTENT_TAGS or {"articlebody", "main", "article"} & words) and not boiler:
-            article = True
+            article = article or number
+        elif good and BOILER_WORDS.isdisjoint(words) and tag not in INLINE:
+            content = True
     if tag in INLINE:
-        return _Element(tag, False, boiler, article, hidden, up.number, up.parent)
-    return _Element(tag, True, boiler, article, hidden, number, up.number)
+        return _Element(tag, False, boiler, article, content, item, hidden, up.number, up.parent)
+    return _Element(tag, True, boiler, article, content, item, hidden, number, up.number)
 
 
 def blocks_of(html: str) -> list[Block]:
     """Text blocks in page order, white space collapsed, none empty."""
-    stack = [_Element("", True, False, False, False, 0, 0)]
+    stack = [_Element("", True, False, 0, False, False, False, 0, 0)]
     open_: dict[str, int] = {}
     out: list[Block] = []
     block: Block | None = None
@@ -195,19 +216,20 @@ def blocks_of(html: str) -> list[Block]:
     return [b for b in out if b.text]
 
 
-def content_score(b: Block, articles: bool) -> float:
-    """Above zero: looks like content."""
+def content_score(b: Block) -> float:
+    """Above zero: looks like content, whatever article it is in."""
     if b.boiler:
         return -CUE
-    score = IN_ARTICLE if b.article else -OUTSIDE if articles else 0.0
+    score = CONTAINER if b.content and not b.article else 0.0
     words = b.text.count(" ") + 1
-    if b.linked > 0.5 * b.size:
+    linked = b.linked > 0.5 * b.size
+    if linked:
         score -= LINKS
     if words >= 12:
         score += LONG
     elif b.tag in HEADINGS:
         score += HEADING
-    elif words < 4:
+    elif words < 4 and (linked or not b.item):
         score -= SHORT
     if b.text[-1] in ".!?…\"”":
         score += SENTENCE
@@ -216,6 +238,33 @@ def content_score(b: Block, articles: bool) -> float:
     return score
 
 
+def scores_of(blocks: list[Block]) -> list[float]:
+    scores = [content_score(b) for b in blocks]
+    held: dict[int, int] = {}
+    outside = 0
+    for b, s in zip(blocks, scores, strict=True):
+        if b.article and not b.boiler:
+            held[b.article] = held.get(b.article, 0) + b.size
+        elif s > 0:
+            outside += b.size
+    lead = bool(held) and max(held.values()) >= outside
+    for i, b in enumerate(blocks):
+        if not b.boiler:
+            scores[i] += IN_ARTICLE if b.article else -OUTSIDE if lead else 0.0
+    # short blocks between content blocks
+    run: list[int] = []
+    after = False
+    for i, s in enumerate(scores):
+        if -SHORT <= s <= 0:
+            run.append(i)
+            continue
+        if after and s > 0:
+            for k in run:
+                scores[k] = 0.0
+        run, after = [], s > 0
+    return scores
+
+
 def min_cut(scores: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
     """True for nodes on the source's side of the minimum cut.  A positive
     score is the capacity from the source, a negative one that to the sink;
@@ -283,12 +332,12 @@ def main_text(html: str | None) -> str:
     blocks = blocks_of(html or "")
     if not blocks:
         return ""
-    articles = any(b.article for b in blocks)
-    scores = [content_score(b, articles) for b in blocks]
+    scores = scores_of(blocks)
     edges, last = [], {}
     for i, b in enumerate(blocks):
         if i and blocks[i - 1].boiler == b.boiler:
-            edges.append((i - 1, i, ADJACENT))
+            first = b.item and not blocks[i - 1].item and scores[i] >= 0
+            edges.append((i - 1, i, INTO_LIST if first else ADJACENT))
         if b.parent in last:
             edges.append((last[b.parent], i, SAME_PARENT))
         last[b.parent] = i

@@ -80,6 +80,50 @@ def test_without_article_element():
     assert h.main_text(page) == f"Title\n\n{words}\n\n{words}"
 
 
+LONG = "This is a long sentence of real text that goes on for quite a while, as text does."
+NAV = "<nav><a href=x>Home</a> <a href=y>News</a></nav>"
+
+
+@pytest.mark.parametrize("n", [3, 8, 40])
+@pytest.mark.parametrize(
+    "run",
+    ["<ul>{}</ul>", "<table><tr>{}</tr></table>", "<dl>{}</dl>", "{}"],
+)
+def test_short_runs_without_article_element(n, run):
+    tag = {"<u": "li", "<t": "td", "<d": "dd", "{}": "p"}[run[:2]]
+    items = [f"item {i}" for i in range(n)]
+    inner = run.format("".join(f"<{tag}>{x}</{tag}>" for x in items))
+    page = f"<body>{NAV}<div><p>{LONG}</p>{inner}<p>{LONG}</p></div><footer>© 2020 Site</footer>"
+    assert h.main_text(page).split("\n\n") == [LONG, *items, LONG]
+    if tag != "p":  # a list at the end
+        page = f"<body>{NAV}<div><p>{LONG}</p>{inner}</div><p><a href=z>Next page</a></p><footer>© 2020 Site</footer>"
+        assert h.main_text(page).split("\n\n") == [LONG, *items]
+
+
+@pytest.mark.parametrize("cue", ["id='content'", "class=entry-content", ""])
+def test_teaser_article_beside_the_text(cue):
+    text = [LONG + str(i) for i in range(6)] + ["Short", "words", "here"]
+    inner = "".join(f"<p>{x}</p>" for x in text) + f"<p>{LONG}</p>"
+    teaser = "<article class=card><h3><a href=t>Another story</a></h3><p>Read it now.</p></article>"
+    got = h.main_text(f"<body>{NAV}<div {cue}>{inner}</div>{teaser * 9}<footer>© 2020 Site</footer>")
+    assert got.startswith("\n\n".join([*text, LONG])) and "2020" not in got and "Home" not in got
+
+
+def test_content_class_keeps_short_blocks():
+    page = f"<body>{NAV}<div class=entry-content><p>{LONG}</p><p>One</p><p>Two</p><p>Three</p></div>"
+    assert h.main_text(page).split("\n\n") == [LONG, "One", "Two", "Three"]
+
+
+def test_outside_of_the_leading_article_goes():
+    page = f"<body><div><p>Some other words of the page.</p></div><article><p>{LONG}</p></article>"
+    assert h.main_text(page) == LONG
+
+
+def test_formulas_and_objects_stay():
+    page = "<article><p>so <math><semantics><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2 again</annotation></semantics></math> holds<p>see <object data=a.pdf>the table as text</object></article>"
+    assert h.main_text(page) == "so x=2 holds\n\nsee the table as text"
+
+
 def test_very_long_pages():
     page = "<article>" + "<p><b>some words <br>" * 20_000 + "</article>"
     assert h.main_text(page).count("\n\n") == 19_999
