@@ -91,3 +91,33 @@ def test_entropy_spans_and_allow_list(spark):
     for r in s.find_secrets(df, keep=("doc_id", "text")).collect():
         assert [r.text[x.start : x.end] for x in r.spans if x.kind == "entropy"] == texts[r.text], r
     assert s.find_secrets(df.limit(0)).count() == 0
+
+
+def test_random_keys_of_each_class_are_found(spark):
+    rng = random.Random(11)
+    alphabets = {"upper": "0123456789ABCDEF", "lower": "0123456789abcdef"}
+    keys = [(c, n, "".join(rng.choices(a, k=n))) for c, a in alphabets.items() for n in (20, 32, 40, 64) for _ in range(100)]
+    rows = [(i, f"{lead}{k} end") for i, (_, _, k) in enumerate(keys) for lead in ("see ", "id=")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = Counter()
+    for r in s.find_secrets(df, keep=("doc_id", "text")).collect():
+        case, n, key = keys[r.doc_id]
+        found[case, n] += any(x.kind == "entropy" and key in r.text[x.start : x.end] for x in r.spans)
+    assert len(found) == 8 and all(v >= 198 for v in found.values()), found
+
+
+def test_only_the_placeholder_of_a_run_is_suppressed(spark):
+    key = "wJalrXUtnFEMI7K7MDENGbPxRfiCYzz9"
+    texts = {
+        f"see example/key={key} here": [f"/key={key}"],
+        f"{key}-Dummy-1": [f"{key}-"],
+        "wJalrXUtnFEMI7K70000ENGbPxRfiCYzz9": ["wJalrXUtnFEMI7K70000ENGbPxRfiCYzz9"],
+        "3F0000A91C07D5BE2468": ["3F0000A91C07D5BE2468"],
+        "exampleexample-placeholder-1-example": [],
+        "x" * 30 + "1": [],
+        "key=" + "x" * 50_000 + "1": [],
+        "é example 😀 " + key: [key],
+    }
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in s.find_secrets(df, keep=("doc_id", "text")).collect():
+        assert [r.text[x.start : x.end] for x in r.spans if x.kind == "entropy"] == texts[r.text], r
