@@ -9,6 +9,8 @@ MODULES = (
     "license_scan",
     "ngram_join",
     "packing",
+    "period_runs",
+    "piece_codec",
     "pii",
     "quality_rules",
     "secret_scan",
