@@ -4,6 +4,7 @@ driver contract by ``__spark_entry__``."""
 from importlib import import_module
 
 MODULES = (
+    "hard_negatives",
     "html_extract",
     "language_id",
     "license_scan",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,16 +47,19 @@ def map_batches(
     df: DataFrame,
     make: Callable[[], Callable[[pa.RecordBatch], Iterator[dict[str, list]]]],
     schema: StructType,
+    *,
+    last: bool = False,
 ) -> DataFrame:
     """``mapInArrow`` where ``make()`` runs once a task and its result turns a
-    batch into dictionaries of output columns."""
+    batch into dictionaries of output columns; with ``last`` it is called once
+    more with None after the last batch."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(schema)
 
     def run(batches):
         step = make()
-        for batch in batches:
+        for batch in chain(batches, [None] if last else []):
             for out in step(batch):
                 yield pa.RecordBatch.from_arrays(
                     [_column(out[f.name], f.type) for f in arrow], schema=arrow
