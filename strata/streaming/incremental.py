@@ -5,14 +5,23 @@ table by a Structured Streaming query.
 checkpoint; each micro-batch goes through ``transform`` and is upserted on
 the table keys inside ``foreachBatch``.
 
+* A batch is read once: it is stored beside the stream's checkpoint first and
+  everything that follows reads that copy.  The next batch replaces it.
+* A ledger table (``<table>__applied``, one row per stream) holds the last batch
+  that was applied in full; a batch that is delivered again after that is
+  skipped without any write.
+
 * Several versions of a key in one batch: with ``order_by`` the latest is
   taken; without, the batch fails (an upsert has one row per key).
 * Rows with a NULL key (malformed records among them) are not upserted, for
   they would be inserted again whenever a batch is replayed.  They go to the
   table ``<table>__rejected``, partitioned by batch; a replayed batch replaces
   its own partition.
-* So a batch replayed after a failure leaves both tables unchanged:
-  at-least-once delivery gives an exactly-once table state.
+* A batch that failed half way is applied again as a whole, which leaves both
+  tables as one application would: at-least-once delivery gives an exactly-once
+  table state.
+* With ``rescue="field"`` CSV and JSON lines are matched by field name and only
+  what does not fit is rescued (see ``sources.rescue``).
 * Each batch rewrites only the key buckets it touches; new tables are stored
   by ``key_buckets`` buckets, existing ones keep their own layout.
 
@@ -32,10 +41,12 @@ from pyspark.sql.types import StructType
 from strata.operators.upsert import keep_last
 from strata.session import state_location
 from strata.sources.intake import RESCUE_COLUMN, with_rescue
+from strata.sources.rescue import FORMATS, parse_lines, with_origin, with_place
 from strata.sources.tables import (
     DEFAULT_KEY_BUCKETS,
     TableDoc,
     buckets_for,
+    read_fresh,
     save_overwrite,
     save_upsert,
     table_exists,
@@ -54,6 +65,33 @@ def save_batch(rows: DataFrame, table: str, epoch: int) -> None:
         save_overwrite(rows, table, partition_by=[BATCH])
 
 
+def stream_id(spark: SparkSession) -> str:
+    """Id of the streaming query whose batch this is (kept in its checkpoint)."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+
+
+def was_applied(spark: SparkSession, ledger: str, stream: str, epoch: int) -> bool:
+    if not table_exists(spark, ledger):
+        return False
+    last = read_fresh(spark, ledger).where(F.col("stream") == stream).agg(F.max("epoch")).first()[0]
+    return last is not None and epoch <= last
+
+
+def note_applied(spark: SparkSession, ledger: str, stream: str, epoch: int) -> None:
+    """Replace the stream's row of the ledger."""
+    row = spark.range(1).select(F.lit(epoch).cast("long").alias("epoch"), F.lit(stream).alias("stream"))
+    if table_exists(spark, ledger):
+        row.write.option("partitionOverwriteMode", "dynamic").insertInto(ledger, overwrite=True)
+    else:
+        save_overwrite(row, ledger, partition_by=["stream"])
+
+
+def stage_batch(batch: DataFrame, path: str) -> DataFrame:
+    """The batch, stored: its source is read this once."""
+    batch.write.mode("overwrite").parquet(path)
+    return batch.sparkSession.read.schema(batch.schema).parquet(path)
+
+
 def start_incremental_upsert(
     spark: SparkSession,
     landing: str,
@@ -68,10 +106,14 @@ def start_incremental_upsert(
     max_files_per_trigger: int | None = None,
     key_buckets: int | None = DEFAULT_KEY_BUCKETS,
     order_by: str | None = None,
+    rescue: str = "record",
 ) -> StreamingQuery:
     """Start the intake query.  With ``available_now`` it processes every
     file present at start (in bounded batches) and stops."""
-    if fmt in ("csv", "json"):
+    by_field = rescue == "field" and fmt in FORMATS
+    if by_field:
+        reader = spark.readStream.format("text")
+    elif fmt in FORMATS:
         # Text landing files keep malformed records: NULL fields plus the raw
         # text in the rescue column, as in batch intake.
         reader = (
@@ -82,28 +124,40 @@ def start_incremental_upsert(
         )
     else:
         reader = spark.readStream.schema(schema).format(fmt)
-    if fmt == "csv":
+    if fmt == "csv" and not by_field:
         reader = reader.option("header", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.load(landing)
-    if transform is not None:
+    if by_field:
+        stream = with_origin(stream)
+    elif transform is not None:
         stream = transform(stream)
+    where = checkpoint or state_location(spark, f"intake/{table}")
+    ledger = f"{table}__applied"
 
     def upsert_batch(batch: DataFrame, epoch: int) -> None:
         own = batch.sparkSession
+        stream_key = stream_id(own)
+        if was_applied(own, ledger, stream_key, epoch):
+            return
+        rows = stage_batch(with_place(batch) if by_field else batch, f"{where.rstrip('/')}/staged")
+        if by_field:
+            rows = parse_lines(rows, schema, fmt, RESCUE_COLUMN)
+            rows = transform(rows) if transform is not None else rows
         present = F.lit(True)
         for key in keys:
             present = present & F.col(key).isNotNull()
-        save_batch(batch.filter(~present), f"{table}__rejected", epoch)
-        rows = batch.filter(present)
+        save_batch(rows.filter(~present), f"{table}__rejected", epoch)
+        rows = rows.filter(present)
         if order_by is not None:
             rows = keep_last(rows, keys, order_by)
         save_upsert(rows, table, keys, doc=doc, key_buckets=buckets_for(own, table, key_buckets))
+        note_applied(own, ledger, stream_key, epoch)
 
     writer = (
         stream.writeStream.foreachBatch(upsert_batch)
-        .option("checkpointLocation", checkpoint or state_location(spark, f"intake/{table}"))
+        .option("checkpointLocation", where)
         .queryName(f"intake_{table.replace('.', '_')}")
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
