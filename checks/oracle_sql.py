@@ -19,6 +19,16 @@ GEO = """customer LEFT JOIN nation ON c_nationkey = n_nationkey
 # Revenue is summed to the cent, exactly.
 REVENUE = "CAST(sum(CAST(annual_revenue_abs AS DECIMAL(28,2))) AS DOUBLE)"
 
+# Exact power sums of cents about the integer part of the mean.
+_CENTS = "CAST(CAST(annual_revenue_abs AS DECIMAL(28,2)) * 100 AS HUGEINT)"
+_S1, _S2, _N = f"sum({_CENTS})", f"sum({_CENTS} * {_CENTS})", f"count({_CENTS})"
+_ABOUT = f"CAST(CAST({_S2} - ({_S1} // {_N}) * ({_S1} + {_S1} % {_N}) AS VARCHAR) AS DOUBLE)"
+_REST = f"CAST({_S1} % {_N} AS DOUBLE)"
+STDDEV = (
+    f"CASE WHEN {_N} > 1 THEN sqrt(({_ABOUT} - {_REST} * {_REST} / CAST({_N} AS DOUBLE))"
+    f" / CAST({_N} - 1 AS DOUBLE)) / 100 END"
+)
+
 RAW_ACCOUNTS = f"""raw_accounts AS (
   SELECT c_name AS AccountId,
     CASE WHEN c_custkey % 50 = 0 THEN NULL WHEN c_custkey % 50 = 1 THEN ''
@@ -129,7 +139,7 @@ SIZE = f"""size_analytics AS (
       {REVENUE} / count(annual_revenue_abs) AS avg_revenue,
       min(annual_revenue_abs) AS min_revenue,
       max(annual_revenue_abs) AS max_revenue,
-      round(stddev_samp(annual_revenue_abs), 2) AS revenue_stddev,
+      {STDDEV} AS revenue_stddev,
       count(*) FILTER (WHERE revenue_tier = 'Tier 1 - $100M+') AS tier1_accounts,
       count(*) FILTER (WHERE revenue_tier = 'Tier 2 - $10M-$100M') AS tier2_accounts,
       count(*) FILTER (WHERE revenue_tier = 'Tier 3 - $1M-$10M') AS tier3_accounts,
@@ -389,6 +399,35 @@ ORACLE: dict[str, str] = {
                       OR try_cast(order_date AS TIMESTAMP) IS NOT NULL, false))
            FROM bronze_orders""",
     ),
+    "customers_landing_rescue": with_(
+        [BRONZE_CUSTOMERS],
+        """SELECT
+          CASE WHEN customer_id % 31 = 0 OR (customer_id % 9 = 0 AND customer_id % 7 <> 0) THEN NULL
+               ELSE CAST(customer_id AS INTEGER) END AS customer_id,
+          CASE WHEN customer_id % 31 <> 0 THEN first_name END AS first_name,
+          CASE WHEN customer_id % 31 <> 0 THEN last_name END AS last_name,
+          CASE WHEN customer_id % 31 <> 0 THEN coalesce(city, '?') END AS city,
+          CAST(NULL AS VARCHAR) AS status,
+          CASE WHEN customer_id % 31 = 0
+                 THEN concat('{"customer_id":', customer_id, ',"first_name":"', first_name,
+                             '","last_name":"', last_name, '","city":"', coalesce(city, '?'), '"')
+               WHEN customer_id % 7 = 0
+                 THEN concat('{"loyalty":"gold","points":"', customer_id % 5, '"}')
+               WHEN customer_id % 9 = 0 THEN concat('{"customer_id":"n', customer_id, '"}')
+          END AS _rescued_data
+        FROM bronze_customers""",
+    ),
+    "products_landing_rescue": with_(
+        [BRONZE_PRODUCTS],
+        """SELECT CAST(product_id AS INTEGER) AS product_id, product_name,
+          CASE WHEN product_id % 2 = 0 THEN category END AS category,
+          CASE WHEN product_id % 10 <> 0 THEN price END AS price,
+          CASE WHEN product_id % 2 = 0 THEN CAST(stock_quantity AS INTEGER) END AS stock_quantity,
+          CASE WHEN product_id % 10 = 0 THEN '{"price":"on request"}'
+               WHEN product_id % 2 = 1 AND product_id % 3 = 0
+                 THEN concat('{"promo":"promo, ', product_id, '"}') END AS _rescued_data
+        FROM bronze_products""",
+    ),
     "dim_customers": with_([BRONZE_CUSTOMERS, DIM_CUSTOMERS], "SELECT * FROM dim_customers"),
     "dim_products": with_([BRONZE_PRODUCTS, DIM_PRODUCTS], "SELECT * FROM dim_products"),
     "fact_orders": with_(SALES_BASE, "SELECT * FROM fact"),

@@ -13,7 +13,7 @@ Main entry points::
 """
 
 from strata.operators.quality import Rule, split
-from strata.operators.ranking import global_rank, global_ranks
+from strata.operators.ranking import Ranking, global_rank, global_ranks, rank_measures
 from strata.operators.upsert import keep_last, upsert
 from strata.plans import accounts, sales
 from strata.plans.jobs import run_accounts_job, run_sales_job
@@ -31,6 +31,8 @@ __all__ = [
     "document_table",
     "global_rank",
     "global_ranks",
+    "rank_measures",
+    "Ranking",
     "keep_last",
     "run_accounts_job",
     "run_sales_job",

@@ -8,6 +8,7 @@ from strata.functions.columns import (
     floor_div,
     guarded_ratio,
     money_avg,
+    money_stddev,
     money_sum,
     non_empty,
     ordinal,
@@ -24,6 +25,7 @@ __all__ = [
     "floor_div",
     "guarded_ratio",
     "money_avg",
+    "money_stddev",
     "money_sum",
     "non_empty",
     "ordinal",

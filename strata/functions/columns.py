@@ -161,3 +161,23 @@ def money_avg(c: ColumnOrName) -> Column:
     n = F.count(col(c))
     q = floor_div(F.abs(s) * 2 + n, n * 2)
     return F.when(n > 0, F.when(s < 0, -q).otherwise(q) / 100)
+
+
+def money_stddev(c: ColumnOrName, kind: str = WIDE_MONEY) -> Column:
+    """Sample standard deviation of amounts to the cent, as double; NULL for
+    fewer than two amounts.
+
+    Count, sum and sum of squares of integer cents are exact, so the result does
+    not depend on how rows are partitioned or merged.  The squares are taken
+    about the integer part of the mean, exactly as well; only the last division
+    and the root are floating point.  Amounts and counts may be as large as
+    ``n * amount ** 2 < 10 ** 34``."""
+    x = (col(c).cast(kind) * 100).cast("decimal(19,0)")
+    n = F.count(x).cast("decimal(20,0)")
+    total, squares = F.sum(x).cast("decimal(38,0)"), F.sum(x * x)
+    rest = (total % n).cast("decimal(38,0)")
+    mean = ((total - rest) / n).cast("decimal(38,0)")
+    about = (squares - (mean * (total + rest)).cast("decimal(38,0)")).cast("double")
+    r = rest.cast("double")
+    spread = about - r * r / n.cast("double")
+    return F.when(n > 1, F.sqrt(spread / (n - 1).cast("double")) / 100)

@@ -26,10 +26,9 @@ from strata.functions import (
     share_of_total,
     trimmed_or,
 )
-from strata.functions.columns import WIDE_MONEY, money_sum
+from strata.functions.columns import WIDE_MONEY, money_stddev, money_sum
 from strata.operators.quality import QualitySplit, Rule, split
-from strata.operators.ranking import global_rank
-from strata.session import ensure_checkpoint_dir
+from strata.operators.ranking import Ranking, rank_measures
 
 AsOf = dt.datetime | str | None
 
@@ -191,8 +190,8 @@ def gold_country_analytics(silver: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Per-country measures, size mix and two whole-table ranks.
 
     ``country`` is free text, so the number of countries is not bounded: the
-    ranks are numbered by ranges (``global_rank``, which runs jobs when
-    called), never in one task.  Revenue is summed to the cent, exactly, so
+    ranks are numbered by ranges (``rank_measures``, both in one pass, which runs
+    jobs when called), never in one task.  Revenue is summed to the cent, exactly, so
     that ties do not depend on how rows are partitioned."""
     sizes = [(label, f"{label.lower()}_accounts") for label in SIZE_ORDER]
     revenue = money_sum("annual_revenue_abs", WIDE_MONEY)
@@ -207,10 +206,10 @@ def gold_country_analytics(silver: DataFrame, as_of: AsOf = None) -> DataFrame:
         F.max("annual_revenue_abs").alias("max_revenue"),
         *count_each("company_size", sizes),
     )
-    ensure_checkpoint_dir(silver.sparkSession)
-    per_country = per_country.checkpoint(eager=True)
-    ranked = global_rank(per_country, "total_revenue", output="revenue_rank", stored=True)
-    ranked = global_rank(ranked, "total_accounts", output="accounts_rank", stored=True)
+    ranked = rank_measures(
+        per_country,
+        [Ranking("total_revenue", "revenue_rank"), Ranking("total_accounts", "accounts_rank")],
+    )
     return ranked.withColumns(
         {
             "revenue_rank": F.col("revenue_rank").cast("int"),
@@ -241,9 +240,7 @@ def gold_size_analytics(silver: DataFrame, as_of: AsOf = None) -> DataFrame:
         (revenue / F.count("annual_revenue_abs")).alias("avg_revenue"),
         F.min("annual_revenue_abs").alias("min_revenue"),
         F.max("annual_revenue_abs").alias("max_revenue"),
-        # Sample stddev in USD to the cent: the unrounded last digits depend
-        # on the order partial results are merged in, i.e. on partitioning.
-        F.round(F.stddev("annual_revenue_abs"), 2).alias("revenue_stddev"),
+        money_stddev("annual_revenue_abs").alias("revenue_stddev"),
         *count_each("revenue_tier", tiers),
     )
     return per_size.withColumns(

@@ -98,7 +98,7 @@ SIZE_COLUMNS_DOC = {
     "avg_revenue": "Mean revenue of an account in USD",
     "min_revenue": "Least revenue of an account in USD",
     "max_revenue": "Most revenue of an account in USD",
-    "revenue_stddev": "Sample standard deviation of revenue, to the cent",
+    "revenue_stddev": "Sample standard deviation of revenue",
     **{f"tier{i}_accounts": f"Accounts in revenue tier {i}" for i in (1, 2, 3, 4)},
     "size_order": "1 = Enterprise .. 5 = Micro",
     "pct_of_total_accounts": "Share of all accounts in percent",

@@ -6,13 +6,18 @@ the same transforms a production run uses.  Audit timestamps are pinned to
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from strata import schemas
 from strata.plans import accounts as acc
 from strata.plans import sales
+from strata.session import ensure_checkpoint_dir
 from strata.sources import feeds
+from strata.sources.intake import RESCUE_COLUMN, read_landing
 
 AS_OF = "2024-01-01 00:00:00"
 
@@ -37,8 +42,6 @@ def bronze_orders(spark: SparkSession, base: str) -> DataFrame:
 def orders_quarantine_detail(spark: SparkSession, base: str) -> DataFrame:
     """Every order line failing a rule, with the failed rules as a
     comma-separated list."""
-    from pyspark.sql import functions as F
-
     detail = sales.split_orders(bronze_orders(spark, base)).quarantine_with_reasons()
     return detail.withColumn("failed_rules", F.array_join("failed_rules", ","))
 
@@ -103,8 +106,6 @@ def product_performance(spark: SparkSession, base: str) -> DataFrame:
 def product_performance_window(spark: SparkSession, base: str) -> DataFrame:
     """``product_performance`` with the rank in the window function's type
     (int); computed by ranges as well, no window sees all products."""
-    from pyspark.sql import functions as F
-
     ranked = product_performance(spark, base)
     return ranked.withColumn("revenue_rank", F.col("revenue_rank").cast("int"))
 
@@ -122,6 +123,50 @@ def product_rank_global(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+# --- landing files ---------------------------------------------------------------
+
+
+def _landing(spark: SparkSession, name: str) -> str:
+    """A new folder for a landing copy in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/landing/{name}-{uuid.uuid4().hex}"
+
+
+def customers_landing_rescue(spark: SparkSession, base: str) -> DataFrame:
+    """All customers landed as JSON lines, some with a field that the feed does
+    not declare, some with an id that is no number, some cut off; read by field."""
+    path, k = _landing(spark, "customers"), F.col("customer_id")
+    text = '{"customer_id":%s,"first_name":"%s","last_name":"%s","city":"%s"'
+    named = (k.cast("string"), "first_name", "last_name", F.coalesce("city", F.lit("?")))
+    head = F.format_string(text, *named)
+    line = (
+        F.when(k % 31 == 0, head)
+        .when(k % 7 == 0, F.concat(head, F.lit(',"loyalty":"gold","points":'), (k % 5).cast("string"), F.lit("}")))
+        .when(k % 9 == 0, F.concat(F.regexp_replace(head, "^(.{15})([0-9]+)", '$1"n$2"'), F.lit("}")))
+        .otherwise(F.concat(head, F.lit("}")))
+    )
+    feeds.customers_from_star(spark, base).select(line.alias("value")).write.text(path)
+    read = read_landing(spark, path, schemas.CUSTOMERS, "json", level="field")
+    return read.select("customer_id", "first_name", "last_name", "city", "status", RESCUE_COLUMN)
+
+
+def products_landing_rescue(spark: SparkSession, base: str) -> DataFrame:
+    """All products landed as CSV files of two layouts: the declared order with
+    some prices that are no number, and a reordered one with a column more and
+    others missing; read by each file's header."""
+    path, k = _landing(spark, "products"), F.col("product_id")
+    products = feeds.products_from_star(spark, base)
+    price = F.when(k % 10 == 0, F.lit("on request")).otherwise(F.col("price").cast("string"))
+    products.where(k % 2 == 0).select(
+        "product_id", "product_name", "category", price.alias("price"), "stock_quantity"
+    ).write.csv(f"{path}/a", header=True)
+    products.where(k % 2 == 1).select(
+        "price", F.when(k % 3 == 0, F.concat(F.lit("promo, "), k.cast("string"))).alias("promo"),
+        "product_name", "product_id",
+    ).write.csv(f"{path}/b", header=True)
+    read = read_landing(spark, f"{path}/*", schemas.PRODUCTS, "csv", level="field")
+    return read.select("product_id", "product_name", "category", "price", "stock_quantity", RESCUE_COLUMN)
+
+
 # --- accounts -------------------------------------------------------------------
 
 
@@ -144,8 +189,6 @@ def accounts_quarantine(spark: SparkSession, base: str) -> DataFrame:
 def accounts_quarantine_detail(spark: SparkSession, base: str) -> DataFrame:
     """Every failing bronze row (duplicates kept) with its failed rules as a
     comma-separated list (the quarantine table itself keeps the array)."""
-    from pyspark.sql import functions as F
-
     detail = acc.split_accounts(bronze_accounts(spark, base)).quarantine_with_reasons()
     return detail.withColumn("failed_rules", F.array_join("failed_rules", ","))
 
@@ -264,4 +307,6 @@ QUERIES: dict[str, Query] = {
     "product_performance": product_performance,
     "product_performance_window": product_performance_window,
     "product_rank_global": product_rank_global,
+    "customers_landing_rescue": customers_landing_rescue,
+    "products_landing_rescue": products_landing_rescue,
 }

@@ -101,3 +101,39 @@ def test_both_ranks_in_one_pass(spark):
     j = got.join(want, "id")
     assert j.count() == 1500
     assert j.filter((F.col("r") != F.col("r2")) | (F.col("d") != F.col("d2"))).count() == 0
+
+
+def test_measures_of_different_types_in_one_pass(spark):
+    from strata.operators.ranking import Ranking, rank_measures
+
+    rnd = random.Random(12)
+    rows = [
+        (i, rnd.choice([None, 2.0, float(rnd.randint(0, 30))]), rnd.choice([None, "a", "b", str(i % 50)]), 2**60 + i % 7)
+        for i in range(1200)
+    ]
+    df = spark.createDataFrame(rows, "id long, v double, s string, n long")
+    got = rank_measures(
+        df,
+        [Ranking("v", "rv"), Ranking("s", None, "ds", ascending=True), Ranking("n", "rn", "dn")],
+        num_ranges=6,
+    )
+    v, s, n = F.col("v").desc_nulls_last(), F.col("s").asc_nulls_first(), F.col("n").desc_nulls_last()
+    want = df.select(
+        "*",
+        F.rank().over(Window.orderBy(v)).alias("rv"),
+        F.dense_rank().over(Window.orderBy(s)).alias("ds"),
+        F.rank().over(Window.orderBy(n)).alias("rn"),
+        F.dense_rank().over(Window.orderBy(n)).alias("dn"),
+    )
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(got.columns).collect()))
+    assert rank_measures(df.limit(0), [Ranking("v"), Ranking("n", "q")]).count() == 0
+
+
+def test_hot_value_is_one_row_a_range(spark):
+    from strata.operators.ranking import Ranking, rank_measures
+
+    df = spark.range(30_000).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("v"))
+    got = rank_measures(df, [Ranking("v", "r", "d")], num_ranges=8)
+    w = Window.orderBy(F.col("v").desc_nulls_last())
+    want = df.select("id", F.rank().over(w).alias("r2"), F.dense_rank().over(w).alias("d2"))
+    assert got.join(want, "id").where("r <> r2 or d <> d2").count() == 0
