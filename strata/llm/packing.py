@@ -3,11 +3,13 @@
 Documents are tokenized and cut into pieces of at most ``capacity`` tokens.  A
 configuration is a multiset of piece lengths that fits one sequence; the linear
 program covers the length histogram with as few configurations as it can.
-Multiplicative weights solve it: a length's weight falls as it gets covered,
-and the next configuration is the best one for the weighted lengths, priced by
-the knapsack dynamic program over the capacity.  Fractional multiplicities are
-rounded to whole sequences; the pieces left over go best-fit-decreasing into
-the gaps of those and into new sequences.
+Multiplicative weights solve it: a round prices the lengths by the knapsack dynamic
+program over the capacity and takes configurations close to the best price, each
+length gaining a small share of its pieces; a length's weight falls as it gets
+covered, so those that lag lead the next round.  Rounds go on until all but ``REST``
+of the pieces are covered.  Multiplicities are rounded down to whole sequences as
+they are taken; the pieces left over, and those of the few configurations that are
+not well filled, go best-fit-decreasing into gaps and into new sequences.
 
 Scale: tokens never leave the map task that makes them; only (document, piece,
 start, length, checksum) rows are stored, in a checkpoint.  The driver sees the
@@ -38,6 +40,8 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 from .common import checkpointed, map_batches, table
 
 CAPACITY = 2048
+REST = 0.002  # share of the pieces that the program leaves to best fit
+LEAST_FILL = 0.99  # of a configuration that is kept as it is
 END = b"\0\0\0\0"  # the id that ends each document
 TOKENIZER = "byte_bpe_50k.json"
 LONG_RUN = 400  # longer words go to the reference tokenizer, whose merges use a queue
@@ -138,55 +142,119 @@ def pieces_of(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENI
     return map_batches(docs.select("doc_id", "text"), make, schema)
 
 
+class Pricing:
+    """Knapsack by dynamic programming: for every room up to ``capacity`` the
+    multiset of ``lengths`` of the highest total price that fits."""
+
+    def __init__(self, lengths: np.ndarray, price: np.ndarray, capacity: int):
+        self.lengths, self.price, self.capacity = lengths, price, capacity
+        self.best = best = np.zeros(capacity + 1)
+        self.taken = np.full(capacity + 1, -1)  # index of a length of the best multiset
+        self.start = np.zeros(capacity + 1, dtype=np.int64)  # the room it really takes
+        upto = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
+        for c in range(int(lengths[0]), capacity + 1):
+            value = best[c - lengths[: upto[c]]] + price[: upto[c]]
+            k = int(value.argmax())
+            if value[k] > best[c - 1]:
+                best[c], self.taken[c], self.start[c] = value[k], k, c
+            else:
+                best[c], self.start[c] = best[c - 1], self.start[c - 1]
+
+    def values(self) -> np.ndarray:
+        """The best price of a configuration that holds a given length, for each."""
+        return self.price + self.best[self.capacity - self.lengths]
+
+    def configuration(self, k: int) -> Counter:
+        """A best configuration among those that hold length number ``k``."""
+        out = self.filling(self.capacity - int(self.lengths[k]))
+        out[k] += 1
+        return out
+
+    def filling(self, room: int) -> Counter:
+        """The best multiset for ``room``, by the numbers of its lengths."""
+        out: Counter = Counter()
+        c = int(self.start[room])
+        while c > 0:
+            j = int(self.taken[c])
+            out[j] += 1
+            c = int(self.start[c - self.lengths[j]])
+        return out
+
+
 def best_configuration(lengths: np.ndarray, price: np.ndarray, capacity: int) -> Counter:
-    """Knapsack by dynamic programming: the multiset of ``lengths`` of the
-    highest total price that fits ``capacity``."""
-    best = np.zeros(capacity + 1)
-    taken = np.full(capacity + 1, -1)
-    upto = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
-    for c in range(int(lengths[0]), capacity + 1):
-        value = best[c - lengths[: upto[c]]] + price[: upto[c]]
-        k = int(value.argmax())
-        if value[k] > best[c - 1]:
-            best[c], taken[c] = value[k], k
-        else:
-            best[c] = best[c - 1]
-    out: Counter = Counter()
-    c = capacity
-    while c > 0:
-        if taken[c] < 0:
-            c -= 1
-        else:
-            length = int(lengths[taken[c]])
-            out[length] += 1
-            c -= length
+    """The multiset of ``lengths`` of the highest total price that fits."""
+    pricing = Pricing(lengths, price, capacity)
+    return Counter({int(lengths[k]): n for k, n in pricing.filling(capacity).items()})
+
+
+def _completed(config: dict[int, int], here: int, lengths, left, capacity: int) -> dict[int, int]:
+    """``config`` cut down to the pieces that are left (one of ``here`` at least)
+    and filled up with the longest that fit."""
+    out = {here: 1}
+    room = capacity - int(lengths[here])
+    for i, n in sorted(config.items(), reverse=True):
+        n = min(n - (i == here), int(left[i]) - out.get(i, 0), room // int(lengths[i]))
+        if n > 0:
+            out[i] = out.get(i, 0) + n
+            room -= n * int(lengths[i])
+    free = left.copy()
+    free[list(out)] -= list(out.values())
+    while len(fits := np.flatnonzero(free[: np.searchsorted(lengths, room, side="right")])):
+        i = int(fits[-1])
+        n = min(int(free[i]), room // int(lengths[i]))
+        out[i] = out.get(i, 0) + n
+        free[i] -= n
+        room -= n * int(lengths[i])
     return out
 
 
 def solve_covering(
-    histogram: dict[int, int], capacity: int, rate: float = 1.0, step: float = 1.0, rounds: int = 600
-) -> dict[tuple, float]:
-    """Fractional multiplicities of configurations that cover the histogram."""
+    histogram: dict[int, int],
+    capacity: int,
+    rate: float = 1.0,
+    step: float = 0.1,
+    tolerance: float = 0.5,
+    rest: float = REST,
+) -> dict[tuple, int]:
+    """How often to take each configuration so that the histogram is covered, by
+    multiplicative weights.
+
+    A round prices the lengths and takes every configuration within ``tolerance``
+    of the best price, one for each length that is still open, in turn; in a round
+    a length gains at most the share ``step`` of its pieces (a whole sequence at
+    least).  Then the price of each length falls by its gain, so that those that
+    lag behind lead the next round.  Each round covers some pieces more; it goes on until
+    all but the share ``rest`` are, however many rounds that takes (a few hundred at
+    the most seen, for 2,000 lengths and any number of pieces).  Multiplicities are
+    rounded down to whole sequences as they are taken, so what is covered is
+    packed, not only planned."""
     lengths = np.array(sorted(histogram))
-    counts = np.array([histogram[x] for x in lengths.tolist()], dtype=float)
-    covered = np.zeros(len(lengths))
+    counts = np.array([histogram[x] for x in lengths.tolist()], dtype=np.int64)
+    left = counts.copy()
     # long pieces first among equal fills: short ones fit into gaps later
     weight = (lengths / capacity) ** 1.05
-    index = {x: i for i, x in enumerate(lengths.tolist())}
-    out: dict[tuple, float] = {}
-    for _ in range(rounds):
-        open_ = covered < 1 - 1e-9
-        if not open_.any():
-            break
-        config = best_configuration(lengths[open_], weight[open_], capacity)
-        where = np.array([index[x] for x in config])
-        of = np.array(list(config.values())) / counts[where]
-        amount = min(step / of.max(), ((1 - covered[where]) / of).min())
-        amount = max(amount, min(0.5, ((1 - covered[where]) / of).min()))
-        covered[where] += amount * of
-        weight[where] *= np.exp(-rate * amount * of)
-        key = tuple(sorted(config.items()))
-        out[key] = out.get(key, 0.0) + amount
+    out: dict[tuple, int] = {}
+    while left.sum() > rest * counts.sum():
+        open_ = np.flatnonzero(left)
+        pricing = Pricing(lengths[open_], weight[open_], capacity)
+        value, before = pricing.values(), left.copy()
+        quota = np.maximum(1, np.ceil(step * counts)).astype(np.int64)
+        ranked = np.argsort(-value, kind="stable")
+        for k in ranked[: int((value >= (1 - tolerance) * value.max()).sum())].tolist():
+            here = int(open_[k])
+            if not left[here] or before[here] - left[here] >= quota[here]:
+                continue
+            config = {int(open_[j]): n for j, n in pricing.configuration(k).items()}
+            times = min(int(min(left[i], quota[i] - (before[i] - left[i]))) // n for i, n in config.items())
+            if times < 1:  # too few pieces are left of some length for it
+                config = _completed(config, here, lengths, left, capacity)
+                times = 1
+            for i, n in config.items():
+                left[i] -= n * times
+            key = tuple(sorted((int(lengths[i]), n) for i, n in config.items()))
+            out[key] = out.get(key, 0) + times
+        gained = (before - left) / counts
+        weight *= np.exp(-rate * gained)
     return out
 
 
@@ -229,14 +297,19 @@ def _with(contents: tuple, length: int, copies: int) -> tuple:
     return tuple(sorted(c.items()))
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple, int]]:
-    """Whole sequences as (contents, times) that hold the histogram exactly."""
+def plan(
+    histogram: dict[int, int], capacity: int = CAPACITY, least_fill: float = LEAST_FILL
+) -> list[tuple[tuple, int]]:
+    """Whole sequences as (contents, times) that hold the histogram exactly.
+
+    Configurations of the covering that leave more than ``1 - least_fill`` of a
+    sequence empty (the last ones, when few lengths are open) are taken apart; best
+    fit puts their pieces into what room there is, then into new sequences."""
     left = Counter({k: n for k, n in histogram.items() if n})
     bins = Bins(capacity)
     solved = solve_covering(left, capacity) if left else {}
-    for config, amount in sorted(solved.items(), key=lambda x: (-x[1], x[0])):
-        times = min([int(amount + 0.5), *(left[x] // n for x, n in config)])
-        if times:
+    for config, times in sorted(solved.items(), key=lambda x: (-x[1], x[0])):
+        if sum(x * n for x, n in config) >= least_fill * capacity:
             bins.add(config, times)
             for x, n in config:
                 left[x] -= n * times
@@ -247,6 +320,16 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tupl
     )
 
 
+def covered_share(histogram: dict[int, int], capacity: int = CAPACITY) -> float:
+    """Share of the pieces that configurations of the program hold in the plan."""
+    held = sum(
+        times * sum(n for _, n in config)
+        for config, times in solve_covering(histogram, capacity).items()
+        if sum(x * n for x, n in config) >= LEAST_FILL * capacity
+    )
+    return held / max(1, sum(histogram.values()))
+
+
 def slots(planned: list[tuple[tuple, int]]) -> dict[str, np.ndarray]:
     """For ranks of a length from ``first`` on: sequence ``base + rank // per``
     at ``offset + rank % per * length``; sorted by (length, first)."""

@@ -6,6 +6,8 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+import pytest
+
 from strata.llm import packing as p
 
 CODEC = p.IdCodec()
@@ -77,6 +79,28 @@ def test_large_histograms_reach_the_bound():
     assert sum(n for _, n in p.plan(halves, 512)) == 1500
 
 
+@pytest.mark.parametrize("n", [20_000, 300_000])
+def test_the_program_covers_the_histogram(n):
+    rng = random.Random(n)
+    h = dict(Counter(min(2047, int(rng.lognormvariate(5.5, 1.2)) + 1) for _ in range(n)))
+    assert len(h) > 1500
+    assert p.covered_share(h) >= 0.99
+    solved = p.solve_covering(h, 2048)
+    held = Counter()
+    for config, times in solved.items():
+        assert times > 0 and sum(a * b for a, b in config) <= 2048
+        for a, b in config:
+            held[a] += b * times
+    assert all(held[x] <= m for x, m in h.items())
+    alone = p.Bins(2048)
+    for x in sorted(h, reverse=True):
+        alone.best_fit(x, h[x])
+    best_fit = sum(m for group in alone.by_free.values() for _, m in group)
+    bound = -(-sum(a * b for a, b in h.items()) // 2048)
+    used = sum(m for _, m in p.plan(h))
+    assert bound <= used <= min(1.001 * bound, 1.001 * best_fit)
+
+
 def test_knapsack_equals_exhaustive():
     lengths, price = np.array([3, 5, 7]), np.array([2.0, 4.0, 6.5])
     got = p.best_configuration(lengths, price, 19)
