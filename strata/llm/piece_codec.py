@@ -43,7 +43,8 @@ from .common import map_batches, table
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 NEVER = 1 << 60
-MAX_UNITS, MAX_PAIRS, UNIT_CHARS = 200_000, 200_000, 48
+MAX_UNITS, MAX_PAIRS, UNIT_CHARS = 100_000, 200_000, 48
+SLICE = 500  # rows that are turned at once
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
 
@@ -287,14 +288,15 @@ def encode(
         codec = load(path)
         tail = [codec.end_id] if end_id else []
 
-        def step(batch):
-            ids, ends = [], [0]
-            for text in batch.column("text").to_pylist():
-                ids.append(np.array(codec.encode(text) + tail, dtype=np.int32))
-                ends.append(ends[-1] + len(ids[-1]))
-            flat = np.concatenate(ids) if ids else np.empty(0, dtype=np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-            yield {c: batch.column(c) for c in keep} | {"ids": lists}
+        def step(whole):
+            for at in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(at, SLICE)
+                ids, ends = [], [0]
+                for text in batch.column("text"):
+                    ids.append(np.array(codec.encode(text.as_py()) + tail, dtype=np.int32))
+                    ends.append(ends[-1] + len(ids[-1]))
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))
+                yield {c: batch.column(c) for c in keep} | {"ids": lists}
 
         return step
 
@@ -309,15 +311,17 @@ def decode(df: DataFrame, *, model: str | None = None) -> DataFrame:
     def make():
         codec = load(path)
 
-        def step(batch):
-            column = batch.column("ids")
-            flat = column.values.to_numpy(zero_copy_only=False)
-            ends, gone = column.offsets.to_pylist(), column.is_null().to_pylist()
-            texts = [
-                "" if none else codec.decode(flat[a:b].tolist())
-                for (a, b), none in zip(pairwise(ends), gone, strict=True)
-            ]
-            yield dict(zip(batch.schema.names, batch.columns, strict=True)) | {"decoded": texts}
+        def step(whole):
+            for at in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(at, SLICE)
+                column = batch.column("ids")
+                flat = column.values.to_numpy(zero_copy_only=False)
+                ends, gone = column.offsets.to_pylist(), column.is_null().to_pylist()
+                texts = [
+                    "" if none else codec.decode(flat[a:b].tolist())
+                    for (a, b), none in zip(pairwise(ends), gone, strict=True)
+                ]
+                yield dict(zip(batch.schema.names, batch.columns, strict=True)) | {"decoded": texts}
 
         return step
 
