@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -30,15 +30,18 @@ def _all_present(keys: Sequence[str]):
     return present
 
 
-def source_rows(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The source's rows; evaluating them raises if a non-NULL key repeats."""
-    keys = list(keys)
+def _per_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Source rows with a key, one row a key: the keys, ``_n`` rows and ``_row``."""
     rest = [c for c in source.columns if c not in keys]
-    counted = (
+    return (
         source.filter(_all_present(keys))
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(F.lit(0).alias("_any"), *rest)).alias("_row"))
     )
+
+
+def _unfolded(counted: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``_per_key`` as source rows; evaluating them raises if a key repeats."""
     guard = F.when(
         F.col("_n") > 1,
         F.raise_error(
@@ -48,9 +51,51 @@ def source_rows(source: DataFrame, keys: Sequence[str]) -> DataFrame:
             )
         ),
     ).otherwise(F.lit(True))
-    rows = counted.filter(guard).select(
+    return counted.filter(guard).select(
         *(F.col(c) if c in keys else F.col(f"_row.`{c}`").alias(c) for c in source.columns)
     )
+
+
+def source_rows(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The source's rows; evaluating them raises if a non-NULL key repeats."""
+    keys = list(keys)
+    rows = _unfolded(_per_key(source, keys), source, keys)
+    return rows.unionByName(source.filter(~_all_present(keys)))
+
+
+def row_hash(values: Sequence[Column]) -> list[Column]:
+    """Two 64-bit hashes of the values.  Hash functions skip NULLs, so which values
+    are NULL is hashed, too: (NULL, 1) and (1, NULL) differ."""
+    parts = [*values, *(v.isNull() for v in values)]
+    return [F.xxhash64(F.lit(seed), *parts) for seed in (1, 2)]
+
+
+def changed_rows(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], ignore: Sequence[str] = ()
+) -> DataFrame:
+    """The source's rows that are new to ``target`` or differ from its row of the same
+    key in a column outside ``ignore``; evaluating them raises if a non-NULL key
+    repeats, whether its rows changed or not.
+
+    Only the target's keys and two hashes a row are shuffled.  A change passes
+    unseen if both 64-bit hashes collide; -0.0 and 0.0 count as equal.  Rows
+    with a NULL key match nothing, so all of them are new."""
+    keys = list(keys)
+    seen = [c for c in target.columns if c not in keys and c not in ignore]
+    counted = _per_key(source, keys)
+    types = dict(target.dtypes)
+    now = row_hash([F.col(f"_row.`{c}`").cast(types[c]) for c in seen])
+    old = target.filter(_all_present(keys)).select(
+        *(F.col(k).alias(f"_old_{i}") for i, k in enumerate(keys)),
+        *(h.alias(f"_was_{i}") for i, h in enumerate(row_hash([F.col(c) for c in seen]))),
+    )
+    same = F.col("_n") == 1  # repeated keys stay, for the guard to see
+    for i, k in enumerate(keys):
+        same = same & (F.col(k) == F.col(f"_old_{i}"))
+    for i in range(len(now)):
+        same = same & (F.col(f"_now_{i}") == F.col(f"_was_{i}"))
+    hashed = counted.withColumns({f"_now_{i}": h for i, h in enumerate(now)})
+    rows = _unfolded(hashed.join(old, same, "left_anti"), source, keys)
     return rows.unionByName(source.filter(~_all_present(keys)))
 
 

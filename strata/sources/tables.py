@@ -5,34 +5,34 @@ previous layer's table), which also cuts lineage: a lost executor never
 forces a recomputation further back than the last written table.
 
 Tables are parquet by default.  Without a transactional table format there
-is no ``MERGE``; ``save_upsert`` instead
-
-* for tables it created (external, in versioned folders under the schema's
-  folder): writes the upserted result as a new version folder and repoints
-  the table with ``ALTER TABLE ... SET LOCATION`` - a single catalog update,
-  so readers see the old or the new version and no data is moved.  Earlier
-  version folders are kept as snapshots, at most ``keep_versions`` of them
-  when that is given;
-* with ``key_buckets``: rewrites only the key buckets a batch touches.  The
-  touched partitions are replaced in place (dynamic partition overwrite), so a
-  reader may meet some new and some old buckets while a batch is written;
-  the bucket count and the key columns are kept as table properties and
-  checked, and source columns are cast to the table's types before hashing;
-* for managed tables created elsewhere: writes a sibling table and swaps it
-  in (drop + rename), which is **not atomic**.
+is no ``MERGE``; ``save_upsert`` writes what is to be stored into a sibling table
+first and then replaces the table's contents in place with that copy:
+
+* with ``key_buckets`` the table is partitioned by key bucket and only the
+  buckets that the source touches are read, merged and replaced (dynamic
+  partition overwrite); bucket count and key columns are kept as table
+  properties and checked, and source columns are cast to the table's types
+  before hashing;
+* without, the whole contents are replaced.
+
+A reader may meet a table whose contents are being replaced.  A sibling table is
+registered only when it is complete, so after a crash during the replacement
+the next upsert first finishes it.  One writer a table is assumed.
 
 With a format that supports ``MERGE``, use ``DataFrame.mergeInto`` instead.
 """
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.upsert import upsert
+from strata.operators.upsert import changed_rows, source_rows, upsert
 
 
 @dataclass(frozen=True)
@@ -54,44 +54,6 @@ def ensure_schema(spark: SparkSession, schema: str) -> None:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_ident(schema)}")
 
 
-def table_location(spark: SparkSession, table: str) -> tuple[str | None, str | None]:
-    """The table's storage folder and kind (``MANAGED`` / ``EXTERNAL``)."""
-    info = {
-        r.col_name: r.data_type
-        for r in spark.sql(f"DESCRIBE TABLE EXTENDED {_ident(table)}").collect()
-    }
-    return info.get("Location"), info.get("Type")
-
-
-def schema_location(spark: SparkSession, table: str) -> str:
-    """Storage folder of the schema holding ``table``."""
-    schema = table.rsplit(".", 1)[0] if "." in table else spark.catalog.currentDatabase()
-    info = {
-        r.info_name: r.info_value
-        for r in spark.sql(f"DESCRIBE SCHEMA {_ident(schema)}").collect()
-    }
-    return info["Location"].rstrip("/")
-
-
-def _versioned(location: str) -> str:
-    """A new sibling folder name for the next version of a table."""
-    import datetime as dt
-    import re
-    import uuid
-
-    base = re.sub(r"__v[0-9a-zA-Z]+$", "", location.rstrip("/"))
-    stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
-    return f"{base}__v{stamp}{uuid.uuid4().hex[:8]}"
-
-
-def _write_files(df: DataFrame, path: str, fmt: str) -> int:
-    obs = Observation(f"rows:{path}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").format(
-        fmt
-    ).save(path)
-    return int(obs.get["rows"])
-
-
 def use_schema(spark: SparkSession, schema: str, catalog: str | None = None) -> None:
     """Make ``[catalog.]schema`` current for unqualified names."""
     if catalog:
@@ -156,7 +118,31 @@ def save_overwrite(
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(table)
     document_table(spark, table, doc)
-    return int(obs.get["rows"])
+    try:
+        return int(obs.get["rows"])
+    except (Py4JJavaError, KeyError):
+        # Re-planning at run time removes the observed node when its input turns
+        # out to be empty; the stored table tells the count from its footers.
+        return read_fresh(spark, table).count()
+
+
+_OVERWRITE = threading.Lock()  # the overwrite mode is a setting of the whole session
+
+
+def replace_partitions(rows: DataFrame, table: str) -> None:
+    """Replace those partitions of ``table`` that ``rows`` has rows for.  (The
+    writer's option of that name does not reach ``insertInto``, so the session's
+    setting is used.)"""
+    spark = rows.sparkSession
+    key = "spark.sql.sources.partitionOverwriteMode"
+    rows = rows.select(*spark.table(table).columns)
+    with _OVERWRITE:
+        previous = spark.conf.get(key)
+        spark.conf.set(key, "dynamic")
+        try:
+            rows.write.insertInto(table, overwrite=True)
+        finally:
+            spark.conf.set(key, previous)
 
 
 def save_upsert(
@@ -167,18 +153,21 @@ def save_upsert(
     fmt: str = "parquet",
     reject_null_keys: bool = False,
     key_buckets: int | None = None,
-    keep_versions: int | None = None,
+    changes_only: bool = False,
+    ignore: Sequence[str] = (),
 ) -> int:
     """Upsert ``source`` into ``table`` on ``keys`` (created when absent).
 
-    By default the whole result is written as a new version folder of the
-    (external) table and the table is repointed to it with ``ALTER TABLE ...
-    SET LOCATION``; managed tables created elsewhere are replaced through a
-    sibling table (drop + rename, not atomic).  With ``key_buckets`` the
-    table is stored partitioned by ``KEY_BUCKET = pmod(xxhash64(keys),
-    key_buckets)`` and only the buckets the source touches are read, merged
-    and replaced (dynamic partition overwrite), so a small batch into a huge
-    table rewrites a small part of it.  Returns the number of rows written."""
+    With ``key_buckets`` the table is stored partitioned by ``KEY_BUCKET =
+    pmod(xxhash64(keys), key_buckets)`` and only the buckets the source touches
+    are read, merged and replaced, so a small batch into a huge table rewrites
+    a small part of it; the source is evaluated once.  Without, the whole table is
+    replaced.
+
+    With ``changes_only`` only rows that are new or differ from the stored row in
+    a column outside ``ignore`` are applied (``changed_rows``): an unchanged source
+    writes no file of the table, and an unchanged row keeps its stored values
+    of the ignored columns.  Returns the number of rows written."""
     spark = source.sparkSession
     stored = stored_buckets(spark, table)
     if stored is not None and key_buckets not in (None, stored[0]):
@@ -187,56 +176,33 @@ def save_upsert(
         raise ValueError(f"save_upsert: {table} is bucketed by {stored[1]}, not {list(keys)}")
     key_buckets = stored[0] if stored else key_buckets
     if key_buckets:
-        return _upsert_buckets(source, table, keys, doc, fmt, reject_null_keys, key_buckets)
+        return _upsert_buckets(
+            source, table, keys, doc, fmt, reject_null_keys, key_buckets, changes_only, ignore
+        )
     staging = f"{table}__upsert_next"
-    if not table_exists(spark, table) and table_exists(spark, staging):
-        # A previous run stopped between dropping the table and renaming the
-        # staging copy; the staging table is only registered once its write
-        # committed, so it is complete: finish the swap first.
-        spark.sql(f"ALTER TABLE {_ident(staging)} RENAME TO {_ident(table)}")
+    if table_exists(spark, staging):  # complete: an earlier run stopped before it was put in
+        if table_exists(spark, table):
+            _put_in(spark, staging, table)
+        else:
+            spark.sql(f"ALTER TABLE {_ident(staging)} RENAME TO {_ident(table)}")
     if not table_exists(spark, table):
-        checked = upsert(source.limit(0), source, keys, reject_null_keys)
-        first = _versioned(f"{schema_location(spark, table)}/{table.rsplit('.', 1)[-1]}")
-        return save_overwrite(checked, table, doc, fmt, path=first)
-    spark.catalog.refreshTable(table)
-    target = spark.table(table)
-    merged = upsert(target, source, keys, reject_null_keys)
-    location, kind = table_location(spark, table)
-    if kind == "EXTERNAL" and location:
-        # Write the next version beside the current one, then repoint the
-        # table: one catalog update, no data moved.  Readers see the old or
-        # the new version, never neither; a failure before the switch leaves
-        # the table on its previous version (the new folder is an orphan).
-        nxt = _versioned(location)
-        rows = _write_files(merged, nxt, fmt)
-        spark.sql(f"ALTER TABLE {_ident(table)} SET LOCATION {_quote(nxt)}")
-        spark.catalog.refreshTable(table)
-        document_table(spark, table, doc)
-        if keep_versions is not None:
-            drop_old_versions(spark, nxt, keep_versions)
-        return rows
-    spark.sql(f"DROP TABLE IF EXISTS {_ident(staging)}")
-    rows = save_overwrite(merged, staging, None, fmt)
-    spark.sql(f"DROP TABLE {_ident(table)}")
-    spark.sql(f"ALTER TABLE {_ident(staging)} RENAME TO {_ident(table)}")
-    spark.catalog.refreshTable(table)
+        return save_overwrite(upsert(source.limit(0), source, keys, reject_null_keys), table, doc, fmt)
+    target = read_fresh(spark, table)
+    if changes_only:
+        source = changed_rows(target, source, keys, ignore)
+        if source.isEmpty():
+            return 0
+    rows = save_overwrite(upsert(target, source, keys, reject_null_keys), staging, None, fmt)
+    _put_in(spark, staging, table)
     document_table(spark, table, doc)
     return rows
 
 
-def drop_old_versions(spark: SparkSession, current: str, keep: int) -> None:
-    """Delete all but the newest ``keep`` version folders beside ``current``,
-    which itself always stays (names sort by time)."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(current)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    prefix = path.getName().rpartition("__v")[0] + "__v"
-    beside = [s.getPath() for s in fs.listStatus(path.getParent())]
-    old = sorted(
-        (p for p in beside if p.getName().startswith(prefix) and p.getName() != path.getName()),
-        key=lambda p: p.getName(),
-    )
-    for p in old[: max(0, len(old) - keep)]:
-        fs.delete(p, True)
+def _put_in(spark: SparkSession, staging: str, table: str) -> None:
+    """Replace what the staged rows stand for (touched buckets, or all) and drop them."""
+    replace_partitions(read_fresh(spark, staging), table)
+    spark.sql(f"DROP TABLE {_ident(staging)}")
+    spark.catalog.refreshTable(table)
 
 
 KEY_BUCKET = "_key_bucket"
@@ -276,6 +242,8 @@ def _upsert_buckets(
     fmt: str,
     reject_null_keys: bool,
     buckets: int,
+    changes_only: bool,
+    ignore: Sequence[str],
 ) -> int:
     spark = source.sparkSession
     src = source.drop(KEY_BUCKET)
@@ -289,30 +257,27 @@ def _upsert_buckets(
             TableDoc(properties={BUCKETS_PROPERTY: str(buckets), KEYS_PROPERTY: ",".join(keys)}),
         )
         return rows
-    spark.catalog.refreshTable(table)
-    target = spark.table(table)
+    staging, delta = f"{table}__upsert_buckets", f"{table}__upsert_rows"
+    if table_exists(spark, staging):  # complete: an earlier run stopped before it was put in
+        _put_in(spark, staging, table)
+    target = read_fresh(spark, table)
     if KEY_BUCKET not in target.columns:
         raise ValueError(f"save_upsert: {table} is not stored by key bucket")
     types = dict(target.dtypes)
     src = src.select(*(F.col(c).cast(types[c]) if c in types else F.col(c) for c in src.columns))
     src = src.withColumn(KEY_BUCKET, key_bucket(keys, buckets))
+    # The only pass over the source; everything after reads the stored rows.
+    new = changed_rows(target, src, keys, ignore) if changes_only else source_rows(src, keys)
+    save_overwrite(new, delta, None, fmt, partition_by=[KEY_BUCKET])
+    new = spark.table(delta)
     # At most ``buckets`` small ints reach the driver: a proven bound.
-    touched = sorted(r[0] for r in src.select(KEY_BUCKET).distinct().collect())
-    if not touched:
-        return 0
-    staging = f"{table}__upsert_buckets"
-    spark.sql(f"DROP TABLE IF EXISTS {_ident(staging)}")
-    affected = target.filter(F.col(KEY_BUCKET).isin(touched))  # partition pruning
-    merged = upsert(affected, src.select(*target.columns), keys, reject_null_keys)
-    rows = save_overwrite(merged, staging, None, fmt, partition_by=[KEY_BUCKET])
-    mode_key = "spark.sql.sources.partitionOverwriteMode"
-    previous = spark.conf.get(mode_key)
-    spark.conf.set(mode_key, "dynamic")  # replace only the partitions written
-    try:
-        spark.table(staging).select(*target.columns).write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(mode_key, previous)
-    spark.sql(f"DROP TABLE {_ident(staging)}")
-    spark.catalog.refreshTable(table)
-    document_table(spark, table, doc)
+    touched = sorted(r[0] for r in new.select(KEY_BUCKET).distinct().collect())
+    rows = 0
+    if touched:
+        affected = target.filter(F.col(KEY_BUCKET).isin(touched))  # partition pruning
+        merged = upsert(affected, new, keys, reject_null_keys)
+        rows = save_overwrite(merged, staging, None, fmt, partition_by=[KEY_BUCKET])
+        _put_in(spark, staging, table)
+        document_table(spark, table, doc)
+    spark.sql(f"DROP TABLE {_ident(delta)}")
     return rows

@@ -47,6 +47,7 @@ from strata.sources.tables import (
     TableDoc,
     buckets_for,
     read_fresh,
+    replace_partitions,
     save_overwrite,
     save_upsert,
     table_exists,
@@ -60,7 +61,7 @@ def save_batch(rows: DataFrame, table: str, epoch: int) -> None:
     what an earlier attempt stored; nothing is created for no rows."""
     rows = rows.withColumn(BATCH, F.lit(epoch).cast("long"))
     if table_exists(rows.sparkSession, table):
-        rows.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+        replace_partitions(rows, table)
     elif not rows.isEmpty():
         save_overwrite(rows, table, partition_by=[BATCH])
 
@@ -81,7 +82,7 @@ def note_applied(spark: SparkSession, ledger: str, stream: str, epoch: int) -> N
     """Replace the stream's row of the ledger."""
     row = spark.range(1).select(F.lit(epoch).cast("long").alias("epoch"), F.lit(stream).alias("stream"))
     if table_exists(spark, ledger):
-        row.write.option("partitionOverwriteMode", "dynamic").insertInto(ledger, overwrite=True)
+        replace_partitions(row, ledger)
     else:
         save_overwrite(row, ledger, partition_by=["stream"])
 

@@ -141,3 +141,21 @@ def test_a_new_session_goes_on_where_the_last_one_stopped(spark, fresh_schema):
     _drop(spark, landing, "b2", [("b", 1, 1)])
     assert _run(spark, landing, table) == 1  # b1 was not read again
     assert {(r.k, r.v) for r in read_fresh(spark, table).collect()} == {("a", 2), ("b", 1)}
+
+
+def test_rejected_rows_of_earlier_batches_stay(spark, fresh_schema):
+    landing, ckpt = tempfile.mkdtemp(prefix="landing-"), tempfile.mkdtemp(prefix="ckpt-")
+    table = f"{fresh_schema}.t"
+    for n in (1, 2):
+        _drop(spark, landing, f"b{n}", [("a", n, n), (None, n, n)])
+        _run(spark, landing, table, checkpoint=ckpt)
+    assert sorted(r.v for r in read_fresh(spark, f"{table}__rejected").collect()) == [1, 2]
+
+
+def test_the_ledger_keeps_a_row_a_stream(spark, fresh_schema):
+    table = f"{fresh_schema}.t"
+    for n in (1, 2):
+        landing, ckpt = tempfile.mkdtemp(prefix="landing-"), tempfile.mkdtemp(prefix="ckpt-")
+        _drop(spark, landing, "b", [("a", n, n)])
+        _run(spark, landing, table, checkpoint=ckpt)
+    assert read_fresh(spark, f"{table}__applied").count() == 2

@@ -99,23 +99,6 @@ def test_bucketed_upsert_rewrites_only_touched_buckets(spark, fresh_schema):
     assert props["quality_tier"] == "gold"
 
 
-def test_upsert_switches_versions_atomically(spark, fresh_schema):
-    from strata.sources.tables import table_location
-
-    t = f"{fresh_schema}.ver"
-    save_upsert(spark.createDataFrame([("a", 1)], "k string, v int"), t, ["k"], DOC)
-    loc1, kind = table_location(spark, t)
-    assert kind == "EXTERNAL" and "__v" in loc1
-    save_upsert(spark.createDataFrame([("a", 2), ("b", 2)], "k string, v int"), t, ["k"], DOC)
-    loc2, _ = table_location(spark, t)
-    assert loc2 != loc1
-    assert sorted(tuple(r) for r in spark.table(t).collect()) == [("a", 2), ("b", 2)]
-    # the previous version is still a complete snapshot
-    assert [tuple(r) for r in spark.read.parquet(loc1).collect()] == [("a", 1)]
-    props, cols, comment = _meta(spark, t)
-    assert props["quality_tier"] == "gold" and cols["k"] == "the key"
-
-
 def test_bucket_layout_is_kept_and_checked(spark, fresh_schema):
     t = f"{fresh_schema}.b"
     rows = spark.range(1000).selectExpr("id as k", "1 as v")
@@ -138,17 +121,69 @@ def test_first_load_with_duplicates_fails(spark, fresh_schema):
             save_upsert(two, f"{fresh_schema}.d{buckets}", ["k"], key_buckets=buckets)
 
 
-def test_old_versions_are_dropped(spark, fresh_schema):
-    import os
-    import time
+def _files(spark, t):
+    from pyspark.sql import functions as F
+
+    spark.catalog.refreshTable(t)
+    return {r[0] for r in spark.table(t).select(F.input_file_name()).distinct().collect()}
 
-    from strata.sources.tables import table_location
 
-    t = f"{fresh_schema}.v"
-    for i in range(4):
-        save_upsert(spark.createDataFrame([("a", i)], "k string, v int"), t, ["k"], keep_versions=1)
-        time.sleep(1.1)  # folder names sort by second
-    here = table_location(spark, t)[0].removeprefix("file:")
-    beside = [d for d in os.listdir(os.path.dirname(here)) if d.startswith("v__v")]
-    assert len(beside) == 2 and os.path.basename(here) in beside
-    assert spark.table(t).first().v == 3
+def test_only_changes_are_written(spark, fresh_schema):
+    from strata.sources.tables import KEY_BUCKET
+
+    t = f"{fresh_schema}.c"
+    schema = "k long, v double, s string, stamp int"
+    rows = [(i, i / 2, None if i % 3 else "x", 1) for i in range(200)]
+    save_upsert(spark.createDataFrame(rows, schema), t, ["k"], key_buckets=16)
+    before = _files(spark, t)
+    again = spark.createDataFrame([(k, v, s, 2) for k, v, s, _ in rows], schema)
+    assert save_upsert(again, t, ["k"], changes_only=True, ignore=["stamp"]) == 0
+    assert _files(spark, t) == before  # no file written
+    # NULL to text, text to NULL and a swap of values are changes; a new key is one
+    edits = [(4, 2.0, "y", 2), (3, 1.5, None, 2), (5, 2.5, None, 2), (999, 1.0, None, 2)]
+    assert save_upsert(spark.createDataFrame(edits, schema), t, ["k"], changes_only=True, ignore=["stamp"]) > 0
+    touched = {r[0] for r in spark.table(t).where("k in (4, 3, 999)").select(KEY_BUCKET).collect()}
+    kept = {f for f in before if int(f.split(f"{KEY_BUCKET}=")[1].split("/")[0]) not in touched}
+    assert kept and kept <= _files(spark, t) and len(_files(spark, t) - before) == len(touched)
+    got = {r.k: (r.v, r.s, r.stamp) for r in spark.table(t).collect()}
+    assert len(got) == 201 and got[4] == (2.0, "y", 2) and got[3] == (1.5, None, 2)
+    assert got[5] == (2.5, None, 1) and got[6] == (3.0, "x", 1) and got[999] == (1.0, None, 2)
+
+
+def test_changes_equal_a_plain_upsert(spark, fresh_schema):
+    schema = "k int, a int, b int"
+    old = [(i, i % 5, None) for i in range(60)] + [(None, 1, 1)]
+    new = [(i, i % 4, i % 3 or None) for i in range(30, 90)] + [(None, 2, 2)]
+    for buckets in (None, 8):
+        want, got = f"{fresh_schema}.w{buckets}", f"{fresh_schema}.g{buckets}"
+        for t, only in ((want, False), (got, True)):
+            save_upsert(spark.createDataFrame(old, schema), t, ["k"], key_buckets=buckets)
+            save_upsert(spark.createDataFrame(new, schema), t, ["k"], changes_only=only)
+        assert spark.table(want).exceptAll(spark.table(got)).isEmpty()
+        assert spark.table(want).count() == spark.table(got).count() == 92
+        # repeated keys fail although one of their rows is stored already
+        two = spark.createDataFrame([(31, 3, 1), (31, 3, 1)], schema)
+        with pytest.raises(Exception, match="duplicate source key"):
+            save_upsert(two, got, ["k"], changes_only=True)
+
+
+def test_upsert_finishes_an_interrupted_replacement(spark, fresh_schema):
+    from strata.sources.tables import KEY_BUCKET
+
+    t = f"{fresh_schema}.acc"
+    save_upsert(spark.range(100).selectExpr("id as k", "1 as v"), t, ["k"], key_buckets=4)
+    # a run stopped after it had staged buckets 0 and 1 with new values
+    staged = spark.table(t).where(f"{KEY_BUCKET} < 2").selectExpr("k", "2 as v", KEY_BUCKET)
+    n = save_overwrite(staged, f"{t}__upsert_buckets", partition_by=[KEY_BUCKET])
+    save_upsert(spark.createDataFrame([(1000, 3)], "k long, v int"), t, ["k"])
+    assert spark.table(t).where("v = 2").count() == n and spark.table(t).count() == 101
+    assert not spark.catalog.tableExists(f"{t}__upsert_buckets")
+
+
+def test_other_partitions_stay(spark, fresh_schema):
+    from strata.sources.tables import replace_partitions
+
+    t = f"{fresh_schema}.p"
+    save_overwrite(spark.createDataFrame([(1, "a"), (2, "b")], "v int, p string"), t, partition_by=["p"])
+    replace_partitions(spark.createDataFrame([("a", 9)], "p string, v int"), t)
+    assert sorted(tuple(r) for r in spark.table(t).collect()) == [(2, "b"), (9, "a")]
