@@ -73,13 +73,17 @@ def main(argv: list[str] | None = None) -> None:
     st.add_argument("--schema", required=True)
     st.add_argument("--star-dir", required=True)
     st.add_argument("--key-buckets", type=int, default=None)
+    for job in (a, s, st):
+        job.add_argument("--run", help="name of the run: a rerun goes on where it stopped")
+    for job in (a, st):
+        job.add_argument("--changes-only", action="store_true", help="rewrite changed accounts only")
 
     args = ap.parse_args(argv)
     spark = session(args.master)
     reports = {}
     if args.job == "accounts":
         raw = read_input(spark, args.input, schemas.ACCOUNTS, args.format)
-        reports["accounts"] = run_accounts_job(spark, raw, args.schema, args.as_of, args.key_buckets)
+        reports["accounts"] = run_accounts_job(spark, raw, args.schema, args.as_of, args.key_buckets, args.changes_only, args.run)
     elif args.job == "sales":
         reports["sales"] = run_sales_job(
             spark,
@@ -91,11 +95,13 @@ def main(argv: list[str] | None = None) -> None:
             args.partition_facts_by_month,
             args.unique_dims,
             args.spread_null_keys,
+            args.run,
         )
     else:
         base = args.star_dir
         reports["accounts"] = run_accounts_job(
-            spark, feeds.accounts_from_star(spark, base), args.schema, args.as_of, args.key_buckets
+            spark, feeds.accounts_from_star(spark, base), args.schema, args.as_of, args.key_buckets,
+            args.changes_only, args.run,
         )
         reports["sales"] = run_sales_job(
             spark,
@@ -104,6 +110,7 @@ def main(argv: list[str] | None = None) -> None:
             feeds.orders_from_star(spark, base),
             args.schema,
             args.as_of,
+            run=args.run,
         )
     for job, report in reports.items():
         print(json.dumps({"job": job, "rows": report.rows, "summary": report.summary}, default=str))

@@ -3,7 +3,9 @@
 Each step writes a table and the next step reads it back by name, so a
 step can be rerun on its own and a failure never recomputes earlier steps.
 Row counts are observed during the writes (no extra passes).  Steps that
-only depend on the same table (the gold tables) are independent.
+do not depend on each other (the feeds, the dimensions, the gold tables) run side
+by side (``plans.branches``).  A run may have a name: a rerun under that
+name goes on at the steps that had not finished.
 """
 
 from __future__ import annotations
@@ -12,9 +14,11 @@ import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.plans import accounts as acc
 from strata.plans import sales
+from strata.plans.branches import MAX_PARALLEL, Step, StepLog
 from strata.operators.quality import rate_pct
 from strata.sources.tables import (
     DEFAULT_KEY_BUCKETS,
@@ -27,6 +31,8 @@ from strata.sources.tables import (
 )
 
 AsOf = dt.datetime | str | None
+# differ from run to run without a change of the row's content
+AUDIT_COLUMNS = ("ingestion_timestamp", "processed_timestamp")
 
 
 def _doc(tier: str, domain: str, job: str, comment: str, columns=None, **extra) -> TableDoc:
@@ -164,73 +170,95 @@ class RunReport:
     summary: dict[str, object] = field(default_factory=dict)
 
 
+def _report(log: StepLog) -> RunReport:
+    report = RunReport()
+    for step, (rows, more) in log.done.items():
+        report.rows[step] = rows
+        report.summary.update(more)
+    return report
+
+
 def run_accounts_job(
     spark: SparkSession,
     raw_accounts: DataFrame,
     schema: str,
     as_of: AsOf = None,
     key_buckets: int | None = DEFAULT_KEY_BUCKETS,
+    changes_only: bool = False,
+    run: str | None = None,
+    parallel: int = MAX_PARALLEL,
 ) -> RunReport:
-    """bronze (upsert) -> quarantine (overwrite) + silver (upsert) ->
+    """bronze (upsert) -> quarantine (overwrite), silver (upsert) ->
     gold accounts (upsert), country and size analytics (overwrite).
 
     New upserted tables are stored by ``key_buckets`` key buckets, so each run
     rewrites only the buckets its accounts fall in (see ``save_upsert``);
-    existing ones keep their layout.  ``None`` writes whole new versions.
-    """
+    existing ones keep their layout.  ``None`` rewrites whole tables.
+
+    With ``changes_only`` silver and gold accounts rewrite only the buckets of
+    accounts that are new or changed in a column other than the audit times; an
+    unchanged account keeps the times of its last change.
+
+    ``run`` names the run, for a rerun to go on where it stopped (with the same
+    arguments); ``parallel`` bounds the steps at work at once."""
     ensure_schema(spark, schema)
     t = lambda name: f"{schema}.{name}"
-    report = RunReport()
+    log = StepLog(spark, schema, "accounts", run)
 
-    bronze_in = acc.bronze_accounts(raw_accounts, as_of)
-    report.rows["bronze_accounts"] = save_upsert(
-        bronze_in,
-        t("bronze_accounts"),
-        ["AccountId"],
-        ACCOUNT_DOCS["bronze_accounts"],
-        key_buckets=buckets_for(spark, t("bronze_accounts"), key_buckets),
-    )
+    def upserted(name: str, rows, key: str, **options) -> Step:
+        return lambda: (
+            save_upsert(
+                rows(),
+                t(name),
+                [key],
+                ACCOUNT_DOCS[name],
+                key_buckets=buckets_for(spark, t(name), key_buckets),
+                **options,
+            ),
+            {},
+        )
 
-    bronze = spark.table(t("bronze_accounts")).drop(KEY_BUCKET)
-    # The quarantine write is the pass that also counts input/valid/bad rows.
-    observed, quality = acc.split_accounts(bronze).observed("accounts_quality")
-    report.rows["accounts_quarantine"] = save_overwrite(
-        observed.quarantine_with_reasons(), t("accounts_quarantine"), ACCOUNT_DOCS["accounts_quarantine"]
-    )
-    report.summary = dict(quality.get)
-    report.summary["processing_rate_pct"] = rate_pct(
-        report.summary["valid_records"], report.summary["bronze_records"]
-    )
-    checked = acc.split_accounts(bronze)
-    report.rows["silver_accounts"] = save_upsert(
-        acc.silver_accounts(checked.valid, as_of),
-        t("silver_accounts"),
-        ["account_id"],
-        ACCOUNT_DOCS["silver_accounts"],
-        reject_null_keys=True,
-        key_buckets=buckets_for(spark, t("silver_accounts"), key_buckets),
-    )
+    def replaced(name: str, rows) -> Step:
+        return lambda: (save_overwrite(rows(), t(name), ACCOUNT_DOCS[name]), {})
 
-    silver = spark.table(t("silver_accounts")).drop(KEY_BUCKET)
-    report.rows["gold_accounts"] = save_upsert(
-        acc.gold_accounts(silver),
-        t("gold_accounts"),
-        ["account_id"],
-        ACCOUNT_DOCS["gold_accounts"],
-        reject_null_keys=True,
-        key_buckets=buckets_for(spark, t("gold_accounts"), key_buckets),
-    )
-    report.rows["gold_country_analytics"] = save_overwrite(
-        acc.gold_country_analytics(silver, as_of),
-        t("gold_country_analytics"),
-        ACCOUNT_DOCS["gold_country_analytics"],
-    )
-    report.rows["gold_size_analytics"] = save_overwrite(
-        acc.gold_size_analytics(silver, as_of),
-        t("gold_size_analytics"),
-        ACCOUNT_DOCS["gold_size_analytics"],
-    )
-    return report
+    def stored(name: str) -> DataFrame:
+        return spark.table(t(name)).drop(KEY_BUCKET)
+
+    def quarantine() -> tuple[int, dict[str, object]]:
+        # The quarantine write is the pass that also counts input/valid/bad rows.
+        observed, quality = acc.split_accounts(stored("bronze_accounts")).observed("accounts_quality")
+        rows = save_overwrite(
+            observed.quarantine_with_reasons(), t("accounts_quarantine"), ACCOUNT_DOCS["accounts_quarantine"]
+        )
+        counts = dict(quality.get)
+        rate = rate_pct(counts["valid_records"], counts["bronze_records"])
+        return rows, counts | {"processing_rate_pct": rate}
+
+    changes = {"reject_null_keys": True, "changes_only": changes_only}
+    changes["ignore"] = AUDIT_COLUMNS if changes_only else ()
+    valid = lambda: acc.split_accounts(stored("bronze_accounts")).valid
+    silver = lambda: stored("silver_accounts")
+    stages: list[dict[str, Step]] = [
+        {"bronze_accounts": upserted("bronze_accounts", lambda: acc.bronze_accounts(raw_accounts, as_of), "AccountId")},
+        {
+            "accounts_quarantine": quarantine,
+            "silver_accounts": upserted(
+                "silver_accounts", lambda: acc.silver_accounts(valid(), as_of), "account_id", **changes
+            ),
+        },
+        {
+            "gold_accounts": upserted("gold_accounts", lambda: acc.gold_accounts(silver()), "account_id", **changes),
+            "gold_country_analytics": replaced(
+                "gold_country_analytics", lambda: acc.gold_country_analytics(silver(), as_of)
+            ),
+            "gold_size_analytics": replaced(
+                "gold_size_analytics", lambda: acc.gold_size_analytics(silver(), as_of)
+            ),
+        },
+    ]
+    for steps in stages:
+        log.run_missing(steps, parallel)
+    return _report(log)
 
 
 def run_sales_job(
@@ -243,48 +271,48 @@ def run_sales_job(
     partition_facts_by_month: bool = False,
     unique_dims: bool = False,
     spread_null_keys: bool = False,
+    run: str | None = None,
+    parallel: int = MAX_PARALLEL,
 ) -> RunReport:
     """Three bronze feeds -> two dimensions -> facts -> three gold tables,
     every table a full refresh.  Optionally the fact table is stored
     partitioned by order month, so date-bounded reads prune files, and the
-    fact build fails on a repeated dimension key (``unique_dims``)."""
+    fact build fails on a repeated dimension key (``unique_dims``).  ``run`` and
+    ``parallel`` as for the accounts."""
     ensure_schema(spark, schema)
-    t = lambda name: f"{schema}.{name}"
-    report = RunReport()
-    for feed, raw in (("customers", raw_customers), ("products", raw_products), ("orders", raw_orders)):
-        report.rows[f"raw_{feed}"] = save_overwrite(
-            sales.bronze_sales(raw, feed, as_of), t(f"raw_{feed}")
-        )
-    report.rows["dim_customers"] = save_overwrite(
-        sales.dim_customers(spark.table(t("raw_customers")), as_of), t("dim_customers")
-    )
-    report.rows["dim_products"] = save_overwrite(
-        sales.dim_products(spark.table(t("raw_products")), as_of), t("dim_products")
-    )
-    fact = sales.fact_orders(
-        spark.table(t("raw_orders")),
-        spark.table(t("dim_customers")),
-        spark.table(t("dim_products")),
-        as_of,
-        unique_dims=unique_dims,
-        spread_null_keys=spread_null_keys,
-    )
-    partition_by: tuple[str, ...] = ()
-    if partition_facts_by_month:
-        from pyspark.sql import functions as F
+    log = StepLog(spark, schema, "sales", run)
+    stored = lambda name: spark.table(f"{schema}.{name}")
 
-        fact = fact.withColumn("order_month", F.date_trunc("month", "order_date_only").cast("date"))
-        partition_by = ("order_month",)
-    report.rows["fact_orders"] = save_overwrite(fact, t("fact_orders"), partition_by=partition_by)
+    def replaced(name: str, rows, partition_by: tuple[str, ...] = ()) -> Step:
+        return lambda: (save_overwrite(rows(), f"{schema}.{name}", partition_by=partition_by), {})
 
-    facts = spark.table(t("fact_orders"))
-    report.rows["daily_sales_summary"] = save_overwrite(
-        sales.daily_sales_summary(facts, as_of), t("daily_sales_summary")
-    )
-    report.rows["customer_metrics"] = save_overwrite(
-        sales.customer_metrics(facts, as_of), t("customer_metrics")
-    )
-    report.rows["product_performance"] = save_overwrite(
-        sales.product_performance(facts, as_of), t("product_performance")
-    )
-    return report
+    def facts() -> DataFrame:
+        fact = sales.fact_orders(
+            stored("raw_orders"),
+            stored("dim_customers"),
+            stored("dim_products"),
+            as_of,
+            unique_dims=unique_dims,
+            spread_null_keys=spread_null_keys,
+        )
+        if partition_facts_by_month:
+            fact = fact.withColumn("order_month", F.date_trunc("month", "order_date_only").cast("date"))
+        return fact
+
+    feeds = {"customers": raw_customers, "products": raw_products, "orders": raw_orders}
+    gold = ("daily_sales_summary", "customer_metrics", "product_performance")
+    stages: list[dict[str, Step]] = [
+        {
+            f"raw_{feed}": replaced(f"raw_{feed}", lambda feed=feed, raw=raw: sales.bronze_sales(raw, feed, as_of))
+            for feed, raw in feeds.items()
+        },
+        {
+            "dim_customers": replaced("dim_customers", lambda: sales.dim_customers(stored("raw_customers"), as_of)),
+            "dim_products": replaced("dim_products", lambda: sales.dim_products(stored("raw_products"), as_of)),
+        },
+        {"fact_orders": replaced("fact_orders", facts, ("order_month",) if partition_facts_by_month else ())},
+        {name: replaced(name, lambda name=name: getattr(sales, name)(stored("fact_orders"), as_of)) for name in gold},
+    ]
+    for steps in stages:
+        log.run_missing(steps, parallel)
+    return _report(log)

@@ -30,6 +30,8 @@ SCALE_SETTINGS: dict[str, str] = {
     # joined by shuffle instead.
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    # Steps that run side by side share the executors evenly.
+    "spark.scheduler.mode": "FAIR",
     # Timestamps are stamped and parsed in UTC.
     "spark.sql.session.timeZone": "UTC",
     # Scan splits sized for executor memory.

@@ -1,0 +1,104 @@
+import threading
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.plans import accounts as acc
+from strata.plans.branches import BranchError, StepLog, run_branches
+from strata.plans.jobs import run_accounts_job
+from tests.fixtures import AS_OF, accounts_df
+
+
+def _files(spark, t):
+    spark.catalog.refreshTable(t)
+    return {r[0] for r in spark.table(t).select(F.input_file_name()).distinct().collect()}
+
+
+def test_branches_run_side_by_side_in_their_own_pools(spark):
+    met = threading.Barrier(3, timeout=30)
+    pools = {}
+
+    def step(name):
+        def work():
+            met.wait()  # passes only when all three are at work
+            pools[name] = spark.sparkContext.getLocalProperty("spark.scheduler.pool")
+            return spark.range(100).count(), {}
+
+        return work
+
+    done = {}
+    run_branches(spark, {n: step(n) for n in "abc"}, lambda n, r: done.update({n: r[0]}), parallel=3)
+    assert done == {"a": 100, "b": 100, "c": 100}
+    assert pools == {"a": "a", "b": "b", "c": "c"}
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+
+
+def test_a_failed_branch_ends_its_own_jobs_only(spark):
+    from pyspark import inheritable_thread_target
+
+    slow = F.udf(lambda x: time.sleep(0.05) or x, "long")
+    left = []
+
+    def bad():
+        def background():
+            try:
+                spark.range(4000).repartition(4).select(slow("id").alias("x")).agg(F.sum("x")).collect()
+                left.append("finished")
+            except Exception as e:  # noqa: BLE001
+                left.append("cancelled" if "cancel" in str(e).lower() else str(e))
+
+        helper = threading.Thread(target=inheritable_thread_target(spark)(background))
+        helper.start()
+        bad.helper = helper
+        time.sleep(3)
+        raise ValueError("broken step")
+
+    def good():
+        return spark.range(80).repartition(2).select(slow("id").alias("x")).agg(F.sum("x")).first()[0], {}
+
+    done = {}
+    with pytest.raises(BranchError, match="bad: broken step"):
+        run_branches(spark, {"bad": bad, "good": good}, lambda n, r: done.update({n: r[0]}))
+    bad.helper.join(60)
+    assert left == ["cancelled"] and done == {"good": 80 * 79 // 2}
+
+
+def test_a_rerun_starts_at_the_failed_step(spark, fresh_schema, monkeypatch):
+    t = lambda name: f"{fresh_schema}.{name}"
+    whole = acc.gold_country_analytics
+
+    def broken(silver, as_of=None):
+        return silver.select(F.raise_error(F.lit("no countries today")).alias("country"))
+
+    monkeypatch.setattr(acc, "gold_country_analytics", broken)
+    with pytest.raises(BranchError, match="gold_country_analytics"):
+        run_accounts_job(spark, accounts_df(spark), fresh_schema, AS_OF, run="day 1/a")
+    # the other gold tables are there
+    assert spark.table(t("gold_accounts")).count() == 11 and spark.table(t("gold_size_analytics")).count() == 5
+    assert not spark.catalog.tableExists(t("gold_country_analytics"))
+    before = {n: _files(spark, t(n)) for n in ("bronze_accounts", "silver_accounts", "gold_accounts", "gold_size_analytics")}
+    monkeypatch.setattr(acc, "gold_country_analytics", whole)
+    rep = run_accounts_job(spark, accounts_df(spark), fresh_schema, AS_OF, run="day 1/a")
+    assert {n: _files(spark, t(n)) for n in before} == before  # not written again
+    assert rep.rows["gold_country_analytics"] == 7 and rep.rows["bronze_accounts"] == 12
+    assert rep.summary["processing_rate_pct"] == 91.7  # of the step that was not repeated
+    assert len(StepLog(spark, fresh_schema, "accounts", "day 1/a").done) == 6
+    assert not StepLog(spark, fresh_schema, "accounts", "day 2").done
+
+
+def test_only_changed_accounts_reach_gold(spark, fresh_schema):
+    t = lambda name: f"{fresh_schema}.{name}"
+    run_accounts_job(spark, accounts_df(spark), fresh_schema, AS_OF, changes_only=True)
+    before = {n: _files(spark, t(n)) for n in ("silver_accounts", "gold_accounts")}
+    rep = run_accounts_job(spark, accounts_df(spark), fresh_schema, "2025-05-05 00:00:00", changes_only=True)
+    assert rep.rows["silver_accounts"] == rep.rows["gold_accounts"] == 0
+    assert {n: _files(spark, t(n)) for n in before} == before
+    one = [("ACC001", "Other name", "Technology", "Enterprise", "USA", "USA", 5000, 1.0)]
+    run_accounts_job(spark, accounts_df(spark, one), fresh_schema, "2025-06-06 00:00:00", changes_only=True)
+    for n in before:
+        new = _files(spark, t(n)) - before[n]
+        assert len({f.split("_key_bucket=")[1].split("/")[0] for f in new}) == 1, n
+    stamps = {r[0]: str(r[1]) for r in spark.table(t("gold_accounts")).select("account_id", "processed_timestamp").collect()}
+    assert stamps["ACC001"].startswith("2025-06-06") and len(stamps) == 11
+    assert stamps["ACC002"] == str(spark.sql(f"select timestamp'{AS_OF}'").first()[0])
