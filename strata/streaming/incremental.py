@@ -22,6 +22,10 @@ the table keys inside ``foreachBatch``.
   table state.
 * With ``rescue="field"`` CSV and JSON lines are matched by field name and only
   what does not fit is rescued (see ``sources.rescue``).
+* Every batch leaves a row in ``<table>__runs`` (stream, epoch, input, valid and
+  quarantined records, valid share), counted while the rejected rows are written,
+  without a pass of its own.  ``rules`` says what is valid; a row without a key never
+  is.  A replayed batch replaces its row.
 * Each batch rewrites only the key buckets it touches; new tables are stored
   by ``key_buckets`` buckets, existing ones keep their own layout.
 
@@ -33,11 +37,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from strata.operators.quality import Rule, all_pass, rate_pct
 from strata.operators.upsert import keep_last
 from strata.session import state_location
 from strata.sources.intake import RESCUE_COLUMN, with_rescue
@@ -58,12 +63,29 @@ BATCH = "_batch"
 
 def save_batch(rows: DataFrame, table: str, epoch: int) -> None:
     """Store a batch's rows as the table's partition of that batch, replacing
-    what an earlier attempt stored; nothing is created for no rows."""
+    what an earlier attempt stored."""
     rows = rows.withColumn(BATCH, F.lit(epoch).cast("long"))
     if table_exists(rows.sparkSession, table):
         replace_partitions(rows, table)
-    elif not rows.isEmpty():
-        save_overwrite(rows, table, partition_by=[BATCH])
+    else:  # one partition: nothing to rebalance, so the rows are not shuffled
+        rows.write.partitionBy(BATCH).saveAsTable(table)
+
+
+def note_run(spark: SparkSession, runs: str, stream: str, epoch: int, counts: dict[str, int]) -> None:
+    """The batch's row of the run table."""
+    total, valid = counts["input_records"], counts["valid_records"]
+    row = spark.range(1).select(
+        F.lit(total).cast("long").alias("input_records"),
+        F.lit(valid).cast("long").alias("valid_records"),
+        F.lit(total - valid).cast("long").alias("quarantined_records"),
+        F.lit(rate_pct(valid, total)).cast("double").alias("processing_rate_pct"),
+        F.lit(stream).alias("stream"),
+        F.lit(epoch).cast("long").alias("epoch"),
+    )
+    if table_exists(spark, runs):
+        replace_partitions(row, runs)
+    else:
+        save_overwrite(row, runs, partition_by=["stream", "epoch"])
 
 
 def stream_id(spark: SparkSession) -> str:
@@ -108,8 +130,10 @@ def start_incremental_upsert(
     key_buckets: int | None = DEFAULT_KEY_BUCKETS,
     order_by: str | None = None,
     rescue: str = "record",
+    rules: Sequence[Rule] = (),
 ) -> StreamingQuery:
-    """Start the intake query.  With ``available_now`` it processes every
+    """Start the intake query.  ``rules`` (over the transformed rows) only count;
+    rows that fail them are upserted like others.  With ``available_now`` it processes every
     file present at start (in bounded batches) and stops."""
     by_field = rescue == "field" and fmt in FORMATS
     if by_field:
@@ -149,7 +173,14 @@ def start_incremental_upsert(
         present = F.lit(True)
         for key in keys:
             present = present & F.col(key).isNotNull()
-        save_batch(rows.filter(~present), f"{table}__rejected", epoch)
+        counts = Observation(f"batch {epoch} of {table}")
+        counted = rows.observe(
+            counts,
+            F.count(F.lit(1)).alias("input_records"),
+            F.count_if(present & all_pass(rules)).alias("valid_records"),
+        )
+        save_batch(counted.filter(~present), f"{table}__rejected", epoch)
+        note_run(own, f"{table}__runs", stream_key, epoch, counts.get)
         rows = rows.filter(present)
         if order_by is not None:
             rows = keep_last(rows, keys, order_by)

@@ -159,3 +159,37 @@ def test_the_ledger_keeps_a_row_a_stream(spark, fresh_schema):
         _drop(spark, landing, "b", [("a", n, n)])
         _run(spark, landing, table, checkpoint=ckpt)
     assert read_fresh(spark, f"{table}__applied").count() == 2
+
+
+def test_counts_of_every_batch(spark, fresh_schema):
+    from pyspark.sql import functions as F
+
+    from strata.operators.quality import Rule
+
+    landing, ckpt = tempfile.mkdtemp(prefix="landing-"), tempfile.mkdtemp(prefix="ckpt-")
+    table, rules = f"{fresh_schema}.t", [Rule("v_not_negative", F.col("v") >= 0)]
+    _drop(spark, landing, "b1", [("a", 1, 1), ("b", -1, 1), ("c", None, 1), (None, 5, 1)])
+    assert _run(spark, landing, table, checkpoint=ckpt, rules=rules) == 4  # each row read once
+    _drop(spark, landing, "b2", [("d", 1, 1), ("e", 2, 1)])
+    assert _run(spark, landing, table, checkpoint=ckpt, rules=rules) == 2
+    runs = read_fresh(spark, f"{table}__runs").orderBy("epoch").collect()
+    assert [(r.epoch, r.input_records, r.valid_records, r.quarantined_records, r.processing_rate_pct) for r in runs] == [
+        (0, 4, 1, 3, 25.0), (1, 2, 2, 0, 100.0)]
+    assert len({r.stream for r in runs}) == 1
+    assert read_fresh(spark, table).count() == 5
+
+
+def test_counts_of_malformed_records(spark, fresh_schema):
+    landing = tempfile.mkdtemp(prefix="landing-")
+    table = f"{fresh_schema}.bronze_accounts"
+    with open(os.path.join(landing, "a.json"), "w") as f:
+        f.write('{"AccountId": "A1", "AccountName": "x", "NumberOfEmployees": 3, "AnnualRevenue": 1.0}\n{broken\n')
+    for rescue, name in (("record", "r"), ("field", "f")):
+        q = start_incremental_upsert(
+            spark, landing, schemas.ACCOUNTS, table + name, ["AccountId"], fmt="json", rescue=rescue,
+            checkpoint=tempfile.mkdtemp(prefix="ckpt-"), rules=acc.account_rules(),
+        )
+        q.awaitTermination(120)
+        assert q.exception() is None
+        run = read_fresh(spark, f"{table}{name}__runs").first()
+        assert (run.input_records, run.valid_records, run.quarantined_records) == (2, 1, 1)
