@@ -7,7 +7,9 @@ documents: a path is shrunk toward its host and a host toward the whole corpus,
 the more the fewer documents it has.  How strongly is learned from the data:
 the prior's weight comes from the variance between sites (method of moments).
 The document's odds are then moved by its path's posterior odds against the
-corpus's.
+corpus's.  A document takes no part in the posteriors that judge it, so its own
+evidence counts once: a path of one document has its host's posterior, a host of
+one document the corpus's mean.
 
 Scale: sites are summarised by grouped aggregates with map-side combination; a
 site's documents never meet in one task, and the summaries come back by a join
@@ -18,7 +20,10 @@ Defined cases: null text counts as empty; a null host or path is a site of its
 own; documents without labels are judged like others; labels for a repeated
 doc_id count once per row; without both classes among the labels the
 classifier gives every document the share of good labels (one half without
-any); repeated rows are each reported; extra columns are ignored.
+any); repeated rows are each reported, and each is evidence for the others; very long
+texts are measured whole; documents of equal evidence in equal sites get equal
+quality; an empty table gives no rows; extra columns are ignored, those named like
+the operator's own included.
 """
 
 from __future__ import annotations
@@ -108,8 +113,8 @@ def prior_weight(sites: DataFrame, mean: Column) -> float:
 
 
 def with_sites(scored: DataFrame) -> DataFrame:
-    """``p_host``, ``p_path`` (posterior means) and ``quality`` added to ``doc_id``,
-    ``host``, ``path``, ``p_doc``."""
+    """``p_host``, ``p_path`` (posterior means given the site's other documents) and
+    ``quality`` added to ``doc_id``, ``host``, ``path``, ``p_doc``."""
     paths = checkpointed(
         scored.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("p_doc").alias("good"))
     )
@@ -118,23 +123,34 @@ def with_sites(scored: DataFrame) -> DataFrame:
     corpus = whole["g"] / whole["n"] if whole["n"] else 0.5
     corpus = min(1 - 1e-4, max(1e-4, corpus))
     weight = prior_weight(hosts, F.lit(corpus))
+    host_weight = prior_weight(hosts, F.lit(corpus))
     hosts = hosts.select(
-        F.col("host").alias("of"),
-        ((F.col("good") + weight * corpus) / (F.col("n") + weight)).alias("p_host"),
+        F.col("host").alias("of"), F.col("n").alias("host_n"), F.col("good").alias("host_good")
     )
     paths = paths.join(hosts, F.col("host").eqNullSafe(F.col("of"))).drop("of")
-    weight = prior_weight(paths, F.col("p_host"))
-    sites = paths.select(
-        F.col("host").alias("h"),
-        F.col("path").alias("w"),
-        "p_host",
-        ((F.col("good") + weight * F.col("p_host")) / (F.col("n") + weight)).alias("p_path"),
-    )
+
+    def shrunk(good, n, weight, toward):
+        return (F.col(good) + weight * toward) / (F.col(n) + weight)
+
+    of_host = shrunk("host_good", "host_n", host_weight, corpus)
+    path_weight = prior_weight(paths.withColumn("p_host", of_host), F.col("p_host"))
+    sites = paths.withColumnsRenamed({"host": "h", "path": "w", "n": "path_n", "good": "path_good"})
     joined = scored.join(
         sites, F.col("host").eqNullSafe(F.col("h")) & F.col("path").eqNullSafe(F.col("w"))
     )
+    # the document's own probability is evidence once: its site is judged by the others
+    for site in ("host", "path"):
+        joined = joined.withColumns(
+            {
+                f"{site}_good": F.greatest(F.col(f"{site}_good") - F.col("p_doc"), F.lit(0.0)),
+                f"{site}_n": F.col(f"{site}_n") - 1,
+            }
+        )
+    joined = joined.withColumn("p_host", shrunk("host_good", "host_n", host_weight, corpus))
+    joined = joined.withColumn("p_path", shrunk("path_good", "path_n", path_weight, F.col("p_host")))
     total = _odds(F.col("p_doc")) + _odds(F.col("p_path")) - math.log(corpus / (1 - corpus))
-    return joined.drop("h", "w").withColumn("quality", 1 / (1 + F.exp(-total)))
+    joined = joined.drop("h", "w", "path_n", "path_good", "host_n", "host_good")
+    return joined.withColumn("quality", 1 / (1 + F.exp(-total)))
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:

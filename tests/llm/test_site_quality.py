@@ -25,11 +25,16 @@ def brute_sites(rows):
 
     k = weight([(g, corpus) for g in hosts.values()])
     p_host = {h: (sum(g) + k * corpus) / (len(g) + k) for h, g in hosts.items()}
-    k = weight([(g, p_host[h]) for (h, _), g in paths.items()])
-    p_path = {x: (sum(g) + k * p_host[x[0]]) / (len(g) + k) for x, g in paths.items()}
+    m = weight([(g, p_host[h]) for (h, _), g in paths.items()])
+
+    def of_others(h, w, p):
+        """Posterior of the document's path without the document itself."""
+        host = (sum(hosts[h]) - p + k * corpus) / (len(hosts[h]) - 1 + k)
+        return (sum(paths[h, w]) - p + m * host) / (len(paths[h, w]) - 1 + m)
+
     odds = lambda p: math.log(min(max(p, 1e-4), 1 - 1e-4) / (1 - min(max(p, 1e-4), 1 - 1e-4)))
     return {
-        i: 1 / (1 + math.exp(-(odds(p) + odds(p_path[h, w]) - odds(corpus)))) for i, h, w, p in rows
+        i: 1 / (1 + math.exp(-(odds(p) + odds(of_others(h, w, p)) - odds(corpus)))) for i, h, w, p in rows
     }
 
 
@@ -75,3 +80,24 @@ def test_query_against_labels(spark):
     right = sum(r.kept == (label[r.doc_id] == 1) for r in held)
     assert right >= 0.97 * len(held)
     assert all(r.kept for r in held if label[r.doc_id] == 1 and r.p_doc > 0.9)
+
+
+def test_own_evidence_counts_once(spark):
+    rows = [(i, f"h{i % 5}", f"p{i % 3}", 0.8 if i % 4 else 0.3) for i in range(600)]
+    rows += [(9001, "h1", "only", 0.9), (9002, "h1", "only2", 0.1), (9003, "alone", "x", 0.99)]
+    df = spark.createDataFrame(rows, "doc_id long, host string, path string, p_doc double")
+    by = {r.doc_id: r for r in sq.with_sites(df).collect()}
+    corpus = sum(r[3] for r in rows) / len(rows)
+    # a path of one document says what its host says; a host of one what the corpus says
+    assert all(abs(by[i].p_path - by[i].p_host) < 1e-12 for i in (9001, 9002, 9003))
+    assert abs(by[9003].p_host - corpus) < 1e-12 and abs(by[9003].quality - 0.99) < 1e-9
+    assert by[9001].quality > 0.8 and by[9002].quality < 0.2
+
+
+def test_clashing_columns_and_long_texts(spark):
+    names = "doc_id long, text string, host string, path string, n long, good double, h int, w int, p_host int, of int"
+    docs = spark.createDataFrame(
+        [(1, "word " * 200_000, "h", "p", 1, 1.0, 1, 1, 1, 1), (2, "some text here", "h", "p", 2, 2.0, 2, 2, 2, 2)], names
+    )
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, quality int")
+    assert sorted(r.doc_id for r in sq.with_sites(sq.document_evidence(docs, labels)).collect()) == [1, 2]
