@@ -121,3 +121,42 @@ def test_only_the_placeholder_of_a_run_is_suppressed(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     for r in s.find_secrets(df, keep=("doc_id", "text")).collect():
         assert [r.text[x.start : x.end] for x in r.spans if x.kind == "entropy"] == texts[r.text], r
+
+
+def test_slugs_paths_and_identifiers_are_no_secrets(spark):
+    texts = [
+        "html5-video-player-for-firefox",
+        "/docs/python3/library/functools",
+        "covid19-vaccine-trial-results",
+        "org/wiki/Boeing_747-8F_freighter",
+        "utf8_general_ci_collation_name",
+        "com/blog/2019/07/how-to-use-ipv6-networks",
+        "img/IMG_20190704_123456x2048",
+        "article_id123456_page2b_section",
+        "a1-" * 30_000 + "word-" * 40_000,  # very long, no recursion
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in s.find_secrets(df, keep=("doc_id", "text")).collect():
+        assert not r.spans, (r.text[:60], r.spans)
+
+
+def test_random_keys_with_separators_are_still_found(spark):
+    """Keys whose alphabet holds separators, and product keys in groups."""
+    rng = random.Random(12)
+    b64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    make = {
+        "url": lambda n: "".join(rng.choices(b64 + "-_", k=n)),
+        "std": lambda n: "".join(rng.choices(b64 + "+/", k=n)),
+        "groups": lambda n: "-".join("".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", k=5)) for _ in range(n // 5)),
+    }
+    keys = [(kind, n, f(n)) for kind, f in make.items() for n in (25, 32, 40) for _ in range(200)]
+    # such keys are mixed by contract: at least a digit and a letter
+    keys = [k for k in keys if any(c.isdigit() for c in k[2]) and any(c.isalpha() for c in k[2])]
+    df = spark.createDataFrame([(i, f"see {k} end") for i, (_, _, k) in enumerate(keys)], "doc_id long, text string")
+    found, total = Counter(), Counter()
+    for r in s.find_secrets(df).collect():
+        kind, n, key = keys[r.doc_id]
+        total[kind, n] += 1
+        found[kind, n] += any(x.kind == "entropy" for x in r.spans)
+    print({k: (found[k], total[k]) for k in total})
+    assert all(found[k] >= 0.98 * total[k] for k in total), {k: (found[k], total[k]) for k in total}
