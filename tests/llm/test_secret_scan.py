@@ -158,5 +158,11 @@ def test_random_keys_with_separators_are_still_found(spark):
         kind, n, key = keys[r.doc_id]
         total[kind, n] += 1
         found[kind, n] += any(x.kind == "entropy" for x in r.spans)
-    print({k: (found[k], total[k]) for k in total})
-    assert all(found[k] >= 0.98 * total[k] for k in total), {k: (found[k], total[k]) for k in total}
+    shares = {k: (found[k], total[k]) for k in total}
+    assert all(found[k] >= 0.98 * total[k] for k in total if k[0] != "groups"), shares
+    # hyphens lower the entropy of groups: all that reach the bound are found, so the
+    # allow-list explains none of them
+    alphabet, bits = s.CLASSES["base64"]
+    reach = Counter((kind, n) for kind, n, key in keys if brute_peak(key, alphabet) >= bits)
+    assert all(found[k] == reach[k] for k in total if k[0] == "groups"), (shares, reach)
+    assert all(found[k] >= 0.97 * total[k] for k in total), shares
