@@ -12,17 +12,28 @@ menu links does not.
 Blocks outside an article lose only if the page's largest article holds at
 least as much text as the blocks outside that look like content by themselves;
 otherwise (a teaser card beside the text) nothing is taken from them.  Blocks
-below a content class gain.  Short blocks between two content blocks and short
-items of lists and tables without links lose nothing for being short, so a run
-of them stays with the text around it, however long.
+below a content class gain.  Short blocks between two content blocks, those that
+follow one in the same element and short items of lists and tables without links
+lose nothing for being short, so a run of them stays with the text around it,
+however long.
+
+Class and id names are judged one by one.  A name that consists of boilerplate
+words, content words and frame words only (``post-comments``, ``sidebar-content``,
+``ad``) or holds a word with no other use (``newsletter``) marks its element as
+boilerplate, inside articles too, whatever content words stand beside it.  A name
+that joins an ambiguous word with any other (``share-price``, ``related-work``) is
+weak evidence, which takes no block of an article by itself.  Names that only tell
+of a state or a category (``has-sidebar``, ``tag-social``) say nothing.
 
 Pages are only mapped; a page's graph has as many nodes as blocks and at most
 two edges a block.  Scripts, styles, comments, forms' controls and hidden parts
 never become blocks.
 
-Defined cases: null or empty html gives empty text; unclosed and stray tags,
-unfinished comments and bare ``<`` follow HTML's rules; repeated rows are each
-reported; extra columns are ignored.
+Defined cases: null or empty html gives empty text; an empty table gives no row;
+unclosed and stray tags, unfinished comments and bare ``<`` follow HTML's rules; a
+block whose cut ties (cost 0 on either side) goes with the content it is joined to,
+else it goes; very long pages are one graph, cut whole; repeated rows are each
+reported; extra columns are ignored, also those named like an output column.
 """
 
 from __future__ import annotations
@@ -44,6 +55,7 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _WORDS = re.compile(r"[a-z]+")
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 RAW = frozenset(("script", "style", "textarea", "title", "noscript", "iframe", "template", "xmp"))
 VOID = frozenset(
@@ -69,78 +81,110 @@ HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
 BOILER_TAGS = frozenset(("nav", "footer", "aside", "form", "menu", "dialog"))
 CONTENT_TAGS = frozenset(("article", "main"))
-BOILER_WORDS = frozenset(
+# of these, any name with one is boilerplate
+PLAIN_WORDS = frozenset(
     (
-        "ad", "ads", "advert", "advertisement", "aside", "banner", "breadcrumb", "breadcrumbs", "comment",
-        "comments", "consent", "cookie", "cookies", "copyright", "disclaimer", "footer", "masthead", "menu",
-        "modal", "nav", "navbar", "navigation", "newsletter", "notice", "pagination", "popup", "promo", "related",
-        "replies", "respond", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe",
-        "toolbar", "widget",
+        "advert", "advertisement", "breadcrumb", "breadcrumbs", "complementary", "contentinfo", "cookie", "cookies",
+        "disqus", "masthead", "navbar", "navigation", "newsletter", "pagination", "popup", "sidebar", "signup",
+        "sponsor", "sponsored", "subscribe", "toolbar",
     )
 )
+BOILER_WORDS = PLAIN_WORDS | frozenset(
+    (
+        "ad", "ads", "aside", "banner", "comment", "comments", "consent", "copyright", "disclaimer", "footer", "menu",
+        "modal", "nav", "notice", "promo", "promotion", "related", "replies", "reply", "respond", "share", "sharing",
+        "social", "widget",
+    )
+)
+FRAME_WORDS = frozenset(
+    (
+        "area", "bar", "block", "bottom", "box", "btn", "button", "buttons", "container", "group", "icons", "inner",
+        "item", "items", "left", "link", "links", "list", "outer", "page", "panel", "posts", "primary", "right",
+        "row", "secondary", "section", "site", "slot", "stories", "thread", "top", "unit", "user", "wrap", "wrapper",
+    )
+)
+# a name that begins with one tells of a state or a category
+STATE_WORDS = frozenset(("category", "format", "has", "is", "no", "status", "tag", "type", "with", "without"))
 CONTENT_WORDS = frozenset(("article", "body", "content", "entry", "main", "post", "story", "text"))
 _NOTICE = re.compile(r"©|\(c\) \d{4}|all rights reserved|cookies?\b|subscribe\b", re.I)
 
 # weights of the classifier: positive for content
 CUE, IN_ARTICLE, OUTSIDE, LINKS, LONG, SHORT, SENTENCE, HEADING, NOTICE = 8.0, 4.0, 3.0, 3.0, 1.5, 0.5, 0.5, 0.3, 1.5
-CONTAINER = 1.0
+WEAK_INSIDE, WEAK_OUTSIDE, CONTAINER = 3.0, 1.5, 1.0
 ADJACENT, SAME_PARENT, INTO_LIST = 0.6, 0.6, 1.2
 
 
 class _Element:
     """``number``: of the nearest block element; ``parent``: of the one above;
     ``article``: number of the outermost article around, or 0; ``content``: a
-    content class is around; ``item``: a list item or table cell is."""
+    content class is around; ``item``: a list item or table cell is; ``weak``: a
+    name with an ambiguous word is."""
 
-    __slots__ = ("tag", "block", "boiler", "article", "content", "item", "hidden", "number", "parent")
+    __slots__ = ("tag", "block", "boiler", "weak", "article", "content", "item", "hidden", "number", "parent")
 
-    def __init__(self, tag, block, boiler, article, content, item, hidden, number, parent):
+    def __init__(self, tag, block, boiler, weak, article, content, item, hidden, number, parent):
         self.tag, self.block, self.boiler, self.content, self.item = tag, block, boiler, content, item
-        self.article, self.hidden, self.number, self.parent = article, hidden, number, parent
+        self.weak, self.article, self.hidden, self.number, self.parent = weak, article, hidden, number, parent
 
 
 class Block:
-    __slots__ = ("parts", "linked", "size", "tag", "boiler", "article", "content", "item", "parent", "text")
+    __slots__ = ("parts", "linked", "size", "tag", "boiler", "weak", "article", "content", "item", "parent", "text")
 
     def __init__(self, at: _Element, tag: str):
         self.parts, self.linked, self.size = [], 0, 0
         self.tag, self.boiler, self.article, self.parent = tag, at.boiler, at.article, at.parent
-        self.content, self.item = at.content, at.item
+        self.weak, self.content, self.item = at.weak, at.content, at.item
         self.text = ""
 
 
+def name_cue(words: list[str]) -> int:
+    """Of the words of one class or id name: 2 boilerplate, 1 weak evidence, 0 none."""
+    if BOILER_WORDS.isdisjoint(words) or words[0] in STATE_WORDS:
+        return 0
+    if words[0] in CONTENT_WORDS and words[-1] in ("wrap", "wrapper", "layout", "container"):
+        return 0  # around the text and what stands beside it
+    if not PLAIN_WORDS.isdisjoint(words):
+        return 2
+    return 2 if BOILER_WORDS | CONTENT_WORDS | FRAME_WORDS >= set(words) else 1
+
+
 def _open(tag: str, attributes: str, up: _Element, number: int) -> _Element:
     """The element below ``up``; cues of its tag and class words added."""
     boiler, article, hidden = up.boiler, up.article, up.hidden or tag in DROPPED
-    content, item = up.content, up.item or tag in ITEMS
+    content, item, weak = up.content, up.item or tag in ITEMS, up.weak
     words: set[str] = set()
+    cue = 0
     if attributes and not attributes.isspace():
         for name, value in _ATTRIBUTE.findall(attributes):
-            name, value = name.lower(), value.strip("\"'").lower()
+            name, value = name.lower(), value.strip("\"'")
             if name in ("class", "id", "role"):
-                words.update(_WORDS.findall(value))
-            elif name == "hidden" or name == "aria-hidden" and value == "true":
+                for single in value.split():
+                    of = _WORDS.findall(_CAMEL.sub("-", single).lower())
+                    words.update(of)
+                    cue = max(cue, name_cue(of) if of else 0)
+            elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
                 hidden = True
-            elif name == "style" and re.search(r"display\s*:\s*none", value):
+            elif name == "style" and re.search(r"display\s*:\s*none", value.lower()):
                 hidden = True
     if tag not in ("html", "body"):
         good = not CONTENT_WORDS.isdisjoint(words)
-        if tag in BOILER_TAGS or not good and not BOILER_WORDS.isdisjoint(words):
+        weak = weak or cue == 1 and tag not in CONTENT_TAGS
+        if tag in BOILER_TAGS or cue == 2:
             boiler = True
         elif tag == "header" or "header" in words and not good:
             boiler = boiler or not article  # an article's own header stays
         elif (tag in CONTENT_TAGS or {"articlebody", "main", "article"} & words) and not boiler:
             article = article or number
-        elif good and BOILER_WORDS.isdisjoint(words) and tag not in INLINE:
+        elif good and not cue and tag not in INLINE:
             content = True
     if tag in INLINE:
-        return _Element(tag, False, boiler, article, content, item, hidden, up.number, up.parent)
-    return _Element(tag, True, boiler, article, content, item, hidden, number, up.number)
+        return _Element(tag, False, boiler, weak, article, content, item, hidden, up.number, up.parent)
+    return _Element(tag, True, boiler, weak, article, content, item, hidden, number, up.number)
 
 
 def blocks_of(html: str) -> list[Block]:
     """Text blocks in page order, white space collapsed, none empty."""
-    stack = [_Element("", True, False, 0, False, False, False, 0, 0)]
+    stack = [_Element("", True, False, False, 0, False, False, False, 0, 0)]
     open_: dict[str, int] = {}
     out: list[Block] = []
     block: Block | None = None
@@ -221,6 +265,8 @@ def content_score(b: Block) -> float:
     if b.boiler:
         return -CUE
     score = CONTAINER if b.content and not b.article else 0.0
+    if b.weak:
+        score -= WEAK_INSIDE if b.article else WEAK_OUTSIDE
     words = b.text.count(" ") + 1
     linked = b.linked > 0.5 * b.size
     if linked:
@@ -233,7 +279,7 @@ def content_score(b: Block) -> float:
         score -= SHORT
     if b.text[-1] in ".!?…\"”":
         score += SENTENCE
-    if not b.article and _NOTICE.search(b.text):
+    if (b.weak or not b.article) and _NOTICE.search(b.text):
         score -= NOTICE
     return score
 
@@ -251,17 +297,23 @@ def scores_of(blocks: list[Block]) -> list[float]:
     for i, b in enumerate(blocks):
         if not b.boiler:
             scores[i] += IN_ARTICLE if b.article else -OUTSIDE if lead else 0.0
-    # short blocks between content blocks
+    # short blocks between content blocks, or after one in the same element
     run: list[int] = []
-    after = False
+    last = -1  # content block before the run
+
+    def release(all_of_them: bool) -> None:
+        for k in run:
+            if last >= 0 and (all_of_them or blocks[k].parent == blocks[last].parent):
+                scores[k] = 0.0
+        run.clear()
+
     for i, s in enumerate(scores):
         if -SHORT <= s <= 0:
             run.append(i)
             continue
-        if after and s > 0:
-            for k in run:
-                scores[k] = 0.0
-        run, after = [], s > 0
+        release(s > 0)
+        last = i if s > 0 else -1
+    release(False)
     return scores
 
 

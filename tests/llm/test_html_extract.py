@@ -124,6 +124,54 @@ def test_formulas_and_objects_stay():
     assert h.main_text(page) == "so x=2 holds\n\nsee the table as text"
 
 
+OTHER = "Readers of this page said that they were quite happy with everything that they found there."
+
+
+@pytest.mark.parametrize(
+    "cue",
+    ["id='post-comments'", "class='comment-body'", "class='user-comment comment-text'", "id='disqus_thread'",
+     "id=postComments", "class='sidebar-content'", "class='ad'", "class='newsletter-cta'"],
+)
+@pytest.mark.parametrize("tag", ["article", "div class=entry-content", "div"])
+def test_boilerplate_names_inside_the_text(tag, cue):
+    page = f"<body>{NAV}<{tag}><p>{LONG}</p><p>{LONG}</p><div {cue}><p>{OTHER}</p></div></{tag.split()[0]}>"
+    assert h.main_text(page) == f"{LONG}\n\n{LONG}"
+
+
+@pytest.mark.parametrize("cue", ["sidebar-content", "footer-text", "widget post-list", "promotion"])
+def test_boilerplate_names_beside_the_text(cue):
+    page = f"<body>{NAV}<div><p>{LONG}</p><p>{LONG}</p></div><div class='{cue}'><p>{OTHER}</p></div>"
+    assert h.main_text(page) == f"{LONG}\n\n{LONG}"
+
+
+def test_a_menu_of_plain_items():
+    menu = "<ul class='main-menu'><li>Home<li>About<li>News</ul>"
+    assert h.main_text(f"<body>{menu}<div><p>{LONG}</p></div>") == LONG
+
+
+@pytest.mark.parametrize("cue", ["share-price", "related-work", "informed-consent", "has-sidebar", "tag-social"])
+@pytest.mark.parametrize("tag", ["article", "div class=entry-content", "div"])
+def test_ambiguous_names_take_no_text(tag, cue):
+    inner = f"<p>{LONG}</p><div class='{cue}'><p>{OTHER}</p><p>{LONG}</p></div><p>{LONG}</p>"
+    page = f"<body>{NAV}<{tag}>{inner}</{tag.split()[0]}>"
+    assert h.main_text(page).split("\n\n") == [LONG, OTHER, LONG, LONG]
+
+
+def test_ambiguous_names_with_links_go():
+    share = "<div class='share-story'><a href=f>Facebook</a> <a href=t>Twitter</a></div>"
+    assert h.main_text(f"<article><p>{LONG}</p>{share}</article>") == LONG
+
+
+def test_names_of_layout_around_the_text():
+    page = f"<body>{NAV}<div class='content-sidebar-wrap with-sidebar'><div class=content><p>{LONG}</p></div><div class=sidebar><p>{OTHER}</p></div></div>"
+    assert h.main_text(page) == LONG
+
+
+def test_closing_run_of_short_paragraphs():
+    page = f"<body>{NAV}<div><p>{LONG}</p><p>One</p><p>Two words</p><p>Three</p></div><footer>© 2020 Site</footer>"
+    assert h.main_text(page).split("\n\n") == [LONG, "One", "Two words", "Three"]
+
+
 def test_very_long_pages():
     page = "<article>" + "<p><b>some words <br>" * 20_000 + "</article>"
     assert h.main_text(page).count("\n\n") == 19_999
