@@ -5,14 +5,21 @@ text is one shingle).  Documents with equal sets are one *text*; the join runs
 between texts.
 
 1. Every text gets ``TREES`` labels of ``DEPTH`` min-hashes: its places in the
-   tries of the forest.  Texts whose labels share a prefix are candidates.  The
-   prefix starts at full depth and is shortened until the expected recall at
-   the threshold reaches ``RECALL``; ``prefix_depth`` gives that depth.
-2. In each shared prefix the full signatures of the texts are compared.  Pairs
-   that look similar tie the texts together; only a spanning forest of the ties
-   leaves the task, never all pairs.  Connected ties are a candidate group.
+   tries of the forest.  Texts whose labels share a prefix (a node of a trie) are
+   candidates.  Matching starts with whole labels; the prefix is then shortened
+   to the depth at which the expected recall at the threshold reaches ``RECALL``
+   (``prefix_depths``), but only in nodes that hold texts not yet tied together.  So
+   a node of many near copies, which whole labels tie already, is never compared
+   as a whole at a shorter prefix.
+2. In each node the full signatures of texts that are not tied yet are compared.
+   Pairs that look similar tie the texts together; only a spanning forest of the
+   ties leaves the task, never all pairs.  Connected ties are a candidate group.
 3. In each group the shingle sets themselves are compared and links (Jaccard
-   at least ``THRESHOLD``) counted; again only a spanning forest leaves.
+   at least ``THRESHOLD``) counted; again only a spanning forest leaves.  The
+   sets come from a second pass over the texts; a broadcast bit set of
+   ``FILTER_BITS`` bits, whatever the input, keeps texts without a group from the
+   shuffle (beyond some 30 million texts in groups it lets more of them through,
+   which the join then removes).
 
 Prefixes and groups with many texts are cut into blocks of at most
 ``BLOCK_TEXTS`` texts (and, for sets, about ``BLOCK_SHINGLES`` shingles); each
@@ -26,7 +33,9 @@ documents at or above the threshold, copies included).
 Defined cases: null text and text without words link to nothing, and each such
 row is a class by itself; repeated rows are copies; rows that share a doc_id
 share what is reported under it only if their texts are linked; a null doc_id
-does not name a class; extra columns are ignored; an empty table gives no rows.
+does not name a class; extra columns are ignored; an empty table gives no rows;
+very long texts are shingled whole; ties have no say (which tree finds a pair does
+not change the groups, and a class is named by its least doc_id).
 """
 
 from __future__ import annotations
@@ -50,6 +59,7 @@ RECALL = 0.999
 SLACK = 0.12  # a signature estimate may be so far under the threshold
 BLOCK_TEXTS = 512
 BLOCK_SHINGLES = 200_000
+FILTER_BITS = 1 << 26
 
 _WORD = re.compile(r"\w+")
 _K = np.uint64(0x9E3779B97F4A7C15)
@@ -64,6 +74,12 @@ def prefix_depth(threshold: float = THRESHOLD, trees: int = TREES, recall: float
     return depth
 
 
+def prefix_depths(threshold: float = THRESHOLD) -> list[int]:
+    """Prefix lengths in the order of matching: whole labels, then the longest that
+    reaches the recall.  (Steps between them would shuffle all labels again.)"""
+    return sorted({DEPTH, prefix_depth(threshold)}, reverse=True)
+
+
 @lru_cache(maxsize=200_000)
 def _word_hash(word: str) -> int:
     return int.from_bytes(blake2b(word.encode("utf-8", "replace"), digest_size=8).digest(), "little")
@@ -244,10 +260,12 @@ def _tie(threshold: float):
             b"".join(unit.column("signature").take(first).to_pylist()), dtype="<u2"
         ).reshape(len(ids), -1)
         need = (threshold - SLACK) * sig.shape[1]
+        root = unit.column("root").to_numpy()[first]
+        may &= root[:, None] != root[None]  # those tied already stay so
         near = np.zeros((len(ids),) * 2, dtype=bool)
         for i in range(len(ids)):
-            near[i, i + 1 :] = (sig[i] == sig[i + 1 :]).sum(axis=1) >= need
-        near &= may
+            later = np.flatnonzero(may[i, i + 1 :]) + i + 1
+            near[i, later] = (sig[i] == sig[later]).sum(axis=1) >= need
         root = _forest(near | near.T)
         tied = np.flatnonzero(root != np.arange(len(ids)))
         return {"a": ids[tied], "b": ids[root[tied]]}
@@ -285,6 +303,40 @@ def _link(threshold: float):
     return work
 
 
+def matched(texts: DataFrame, groups: DataFrame, depth: int) -> DataFrame:
+    """``id``, ``root``, ``group`` (a node at ``depth`` of some trie) and ``n`` (texts
+    in it) of the texts in nodes that hold texts of different ``groups`` (columns
+    ``node`` and ``root``; a text not in it is a group by itself)."""
+    label = lambda t: F.xxhash64(
+        F.lit(t), F.substring("signature", 2 * DEPTH * t + 1, 2 * depth)
+    )
+    places = (
+        texts.join(groups.withColumnRenamed("node", "id"), "id", "left")
+        .withColumn("root", F.coalesce("root", "id"))
+        .select("id", "root", F.explode(F.array(*map(label, range(TREES)))).alias("group"))
+    )
+    shared = (
+        places.groupBy("group")
+        .agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most"))
+        .where("least < most")
+    )
+    return places.join(shared.select("group", "n"), "group")
+
+
+def candidate_groups(texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``node`` and ``root`` of the texts (``id``, ``signature``) that some tie holds."""
+    groups = texts.sparkSession.createDataFrame([], "node long, root long")
+    for depth in prefix_depths(threshold):
+        members = matched(texts, groups, depth).join(texts.select("id", "signature"), "id")
+        units = _units(members, F.ceil(F.col("n") / BLOCK_TEXTS))
+        ties = _in_units(
+            units.select("group", "one", "two", "own", "id", "root", "signature"), _tie(threshold), _TIES
+        )
+        tied_before = groups.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        groups = checkpointed(components(ties.unionByName(tied_before)))
+    return groups
+
+
 def joined(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id``, ``fp``, ``class_id`` (least doc_id of the class), ``n_links`` and
     ``first`` (the struct of doc_id and fp that stands for the class; null
@@ -302,20 +354,8 @@ def joined(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
         )
     ).withColumn("id", F.monotonically_increasing_id())
 
-    # 1. shared prefixes
-    depth = prefix_depth(threshold)
-    label = lambda t: F.xxhash64(
-        F.lit(t), F.substring("signature", 2 * DEPTH * t + 1, 2 * depth)
-    )
-    places = texts.select("id", F.explode(F.array(*map(label, range(TREES)))).alias("group"))
-    shared = places.groupBy("group").agg(F.count("*").alias("n")).where("n > 1")
-    members = places.join(shared, "group").join(texts.select("id", "signature"), "id")
-    # 2. ties by signature
-    units = _units(members, F.ceil(F.col("n") / BLOCK_TEXTS))
-    ties = _in_units(
-        units.select("group", "one", "two", "own", "id", "signature"), _tie(threshold), _TIES
-    )
-    groups = checkpointed(components(ties))
+    # 1., 2. ties by signature in shared prefixes
+    groups = candidate_groups(texts, threshold)
     # 3. exact comparison within groups
     chosen = checkpointed(
         texts.join(groups.withColumnRenamed("node", "id"), "id").select("id", "root", "copies", "size", "one")
@@ -360,25 +400,67 @@ def joined(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     )
 
 
+def _place(doc_id: str, fp: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), fp)
+
+
+def bit_set(places: DataFrame) -> np.ndarray:
+    """Bit set of the 64-bit ``place`` values, two bits each, as 64-bit words: at
+    most ``FILTER_BITS / 64`` words reach the driver."""
+    two = F.array("place", F.shiftrightunsigned("place", 32))
+    bits = places.select(F.explode(F.transform(two, lambda h: h.bitwiseAND(FILTER_BITS - 1))).alias("bit"))
+    words = bits.groupBy(F.shiftright("bit", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("held")
+    )
+    got = words.toArrow()
+    out = np.zeros(FILTER_BITS // 64, dtype=np.int64)
+    out[got.column("word").to_numpy()] = got.column("held").to_numpy()
+    return out.view(np.uint64)
+
+
+def may_hold(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """False for places that are surely not in the bit set."""
+    out = np.ones(len(places), dtype=bool)
+    places = places.astype(np.int64).view(np.uint64)
+    for h in (places, places >> np.uint64(32)):
+        b = h & np.uint64(FILTER_BITS - 1)
+        out &= (bits[b >> np.uint64(6)] >> (b & np.uint64(63)) & np.uint64(1)).astype(bool)
+    return out
+
+
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``id`` and ``shingles`` (packed hashes) of the wanted texts, read again."""
-    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("fp"))
-    found = texts.join(
-        wanted.select("id", F.col("one.doc_id").alias("d"), F.col("one.fp").alias("f")),
-        F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("fp") == F.col("f")),
-    ).select("id", "text")
-    schema = StructType([StructField("id", LongType()), StructField("shingles", BinaryType())])
+    """``id`` and ``shingles`` (packed hashes) of the wanted texts, read again; a task
+    gives a (doc_id, text) that it meets several times once."""
+    wanted = wanted.select("id", F.col("one.doc_id").alias("d"), F.col("one.fp").alias("f"))
+    shared = docs.sparkSession.sparkContext.broadcast(
+        bit_set(wanted.select(_place("d", "f").alias("place")))
+    )
+    schema = StructType(
+        [docs.schema["doc_id"], StructField("fp", LongType()), StructField("shingles", BinaryType())]
+    )
 
     def make():
+        bits, seen = shared.value, set()
+
         def step(batch):
-            yield {
-                "id": batch.column("id"),
-                "shingles": [shingles(t.as_py()).astype("<u8").tobytes() for t in batch.column("text")],
-            }
+            some = np.flatnonzero(may_hold(bits, batch.column("place").to_numpy()))
+            some = batch.take(some)
+            ids, fps, texts = (some.column(c).to_pylist() for c in ("doc_id", "fp", "text"))
+            out: dict[str, list] = {"doc_id": [], "fp": [], "shingles": []}
+            for d, f, t in zip(ids, fps, texts, strict=True):
+                if (d, f) not in seen:
+                    seen.add((d, f))
+                    out["doc_id"].append(d)
+                    out["fp"].append(f)
+                    out["shingles"].append(shingles(t).astype("<u8").tobytes())
+            yield out
 
         return step
 
-    return map_batches(found, make, schema)
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("fp"))
+    read = map_batches(texts.withColumn("place", _place("doc_id", "fp")), make, schema)
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("fp") == F.col("f"))
+    return read.join(wanted, same).select("id", "shingles")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
@@ -390,15 +472,14 @@ def one_of_each(docs: DataFrame) -> DataFrame:
         .select("doc_id", "fp", F.col("first").isNull().alias("alone"))
         .distinct()
     )
-    place = lambda: F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "fp")
     heads = heads.select(
-        place().alias("place"), F.col("doc_id").alias("d"), F.col("fp").alias("f"), "alone"
+        _place("doc_id", "fp").alias("place"), F.col("doc_id").alias("d"), F.col("fp").alias("f"), "alone"
     )
     rows = boxed(docs).select(
         "row", "text", F.col("row.doc_id").alias("doc_id"), F.xxhash64("text").alias("fp")
     )
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("fp") == F.col("f"))
-    found = rows.withColumn("place", place()).join(
+    found = rows.withColumn("place", _place("doc_id", "fp")).join(
         heads.withColumnRenamed("place", "at"), (F.col("place") == F.col("at")) & same
     )
     nth = F.row_number().over(Window.partitionBy("place", "doc_id", "fp").orderBy(F.lit(1)))

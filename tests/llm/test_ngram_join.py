@@ -116,6 +116,60 @@ def test_recall_at_the_threshold():
     assert 1 - (1 - 0.8**depth) ** j.TREES >= j.RECALL > 1 - (1 - 0.8 ** (depth + 1)) ** j.TREES
 
 
+def signatures(spark, sets):
+    rows = [(i, bytearray(j.signature(x).tobytes())) for i, x in enumerate(sets)]
+    return spark.createDataFrame(rows, "id long, signature binary")
+
+
+def near_pair(rng, low, high):
+    """Two shingle sets of 500 hashes together with a similarity in [low, high)."""
+    n = 500
+    both = rng.randint(-(-int(low * n * 1000) // 1000), int(high * n) - 1)
+    import numpy as np
+
+    whole = np.array([rng.getrandbits(64) for _ in range(n)], dtype=np.uint64)
+    half = both + (n - both) // 2
+    return np.sort(whole[:half]), np.sort(np.concatenate([whole[:both], whole[half:]]))
+
+
+def test_recall_of_pairs_near_the_threshold(spark):
+    """Pairs at 0.80 to 0.85, the hardest that count, end in one group."""
+    rng = random.Random(12)
+    pairs = [near_pair(rng, 0.80, 0.85) for _ in range(1500)]
+    texts = signatures(spark, [x for p in pairs for x in p])
+    root = {r.node: r.root for r in j.candidate_groups(texts).collect()}
+    found = sum(root.get(2 * i, -1) == root.get(2 * i + 1, -2) for i in range(len(pairs)))
+    assert found >= 0.998 * len(pairs)
+
+
+def test_nodes_tied_by_whole_labels_are_not_matched_again(spark):
+    rng = random.Random(13)
+    base = [rng.getrandbits(64) for _ in range(400)]
+    import numpy as np
+
+    sets = [np.sort(np.array(base[:398] + [rng.getrandbits(64)], dtype=np.uint64)) for _ in range(300)]
+    texts = signatures(spark, sets).cache()
+    none = spark.createDataFrame([], "node long, root long")
+    depths = j.prefix_depths()
+    assert depths == [j.DEPTH, j.prefix_depth()]
+    assert j.matched(texts, none, depths[0]).count() > 300
+    groups = j.candidate_groups(texts)
+    assert {r.root for r in groups.collect()} == {0} and groups.count() == 300
+    assert j.matched(texts, groups, depths[1]).count() == 0
+
+
+def test_bit_set_holds_what_it_was_given(spark):
+    import numpy as np
+
+    rng = random.Random(14)
+    values = [rng.getrandbits(64) - 2**63 for _ in range(2000)] + [-1, 0, -(2**63), 2**63 - 1]
+    bits = j.bit_set(spark.createDataFrame([(v,) for v in values], "place long"))
+    assert j.may_hold(bits, np.array(values, dtype=np.int64)).all()
+    others = np.array([rng.getrandbits(64) - 2**63 for _ in range(2000)], dtype=np.int64)
+    assert j.may_hold(bits, others).sum() <= 2
+    assert not j.bit_set(spark.createDataFrame([], "place long")).any()
+
+
 def test_components(spark):
     rng = random.Random(7)
     links = [(i, i + 1) for i in range(0, 60)] + [(100, x) for x in range(101, 160)] + [(7, 7), (None, 3)]
