@@ -20,6 +20,7 @@ from strata.plans import accounts as acc
 from strata.plans import sales
 from strata.plans.branches import MAX_PARALLEL, Step, StepLog
 from strata.operators.quality import rate_pct
+from strata.sources.colocated import check_colocated, save_spread_dimension, save_spread_facts
 from strata.sources.tables import (
     DEFAULT_KEY_BUCKETS,
     KEY_BUCKET,
@@ -273,12 +274,19 @@ def run_sales_job(
     spread_null_keys: bool = False,
     run: str | None = None,
     parallel: int = MAX_PARALLEL,
+    customer_buckets: int | None = None,
+    spread: int = 16,
 ) -> RunReport:
     """Three bronze feeds -> two dimensions -> facts -> three gold tables,
     every table a full refresh.  Optionally the fact table is stored
     partitioned by order month, so date-bounded reads prune files, and the
     fact build fails on a repeated dimension key (``unique_dims``).  ``run`` and
-    ``parallel`` as for the accounts."""
+    ``parallel`` as for the accounts.
+
+    With ``customer_buckets`` the raw orders are stored in that many buckets by
+    customer, a hot customer in up to ``spread`` of them, and the customers beside
+    them (``dim_customers_spread``), so the fact build does not shuffle orders for
+    its customer join (``sources/colocated.py``)."""
     ensure_schema(spark, schema)
     log = StepLog(spark, schema, "sales", run)
     stored = lambda name: spark.table(f"{schema}.{name}")
@@ -287,9 +295,11 @@ def run_sales_job(
         return lambda: (save_overwrite(rows(), f"{schema}.{name}", partition_by=partition_by), {})
 
     def facts() -> DataFrame:
+        if customer_buckets:
+            check_colocated(spark, f"{schema}.raw_orders", f"{schema}.dim_customers_spread", "customer_id")
         fact = sales.fact_orders(
             stored("raw_orders"),
-            stored("dim_customers"),
+            stored("dim_customers_spread" if customer_buckets else "dim_customers"),
             stored("dim_products"),
             as_of,
             unique_dims=unique_dims,
@@ -299,6 +309,14 @@ def run_sales_job(
             fact = fact.withColumn("order_month", F.date_trunc("month", "order_date_only").cast("date"))
         return fact
 
+    def spread_orders() -> tuple[int, dict[str, object]]:
+        rows = sales.bronze_sales(raw_orders, "orders", as_of)
+        return save_spread_facts(rows, f"{schema}.raw_orders", "customer_id", customer_buckets, spread), {}
+
+    def spread_customers() -> tuple[int, dict[str, object]]:
+        dim, name = stored("dim_customers"), f"{schema}.dim_customers_spread"
+        return save_spread_dimension(dim, name, "customer_id", customer_buckets, spread), {}
+
     feeds = {"customers": raw_customers, "products": raw_products, "orders": raw_orders}
     gold = ("daily_sales_summary", "customer_metrics", "product_performance")
     stages: list[dict[str, Step]] = [
@@ -310,9 +328,12 @@ def run_sales_job(
             "dim_customers": replaced("dim_customers", lambda: sales.dim_customers(stored("raw_customers"), as_of)),
             "dim_products": replaced("dim_products", lambda: sales.dim_products(stored("raw_products"), as_of)),
         },
+        {"dim_customers_spread": spread_customers} if customer_buckets else {},
         {"fact_orders": replaced("fact_orders", facts, ("order_month",) if partition_facts_by_month else ())},
         {name: replaced(name, lambda name=name: getattr(sales, name)(stored("fact_orders"), as_of)) for name in gold},
     ]
-    for steps in stages:
+    if customer_buckets:
+        stages[0]["raw_orders"] = spread_orders
+    for steps in filter(None, stages):
         log.run_missing(steps, parallel)
     return _report(log)

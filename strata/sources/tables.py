@@ -97,9 +97,11 @@ def save_overwrite(
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
     path: str | None = None,
+    bucket_by: tuple[int, Sequence[str]] | None = None,
 ) -> int:
     """Full refresh: replace the table (schema included) with ``df``; with
-    ``path`` the table is external and stored there.
+    ``path`` the table is external and stored there; with ``bucket_by`` (number,
+    columns) it is bucketed, one file a bucket.
 
     The row count is observed during the write itself (no second pass) and
     returned.  A partitioned write is rebalanced on the partition columns
@@ -111,7 +113,11 @@ def save_overwrite(
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if partition_by:
         observed = observed.hint("rebalance", *partition_by)
+    if bucket_by:
+        observed = observed.repartition(bucket_by[0], *bucket_by[1])
     writer = observed.write.mode("overwrite").format(fmt)
+    if bucket_by:
+        writer = writer.bucketBy(bucket_by[0], *bucket_by[1])
     if path:
         writer = writer.option("path", path)
     if partition_by:

@@ -1,0 +1,94 @@
+"""Facts and customers stored alike are joined without moving either; a hot key
+(a third of the lines) and the NULL keys are spread over buckets."""
+
+import contextlib
+import io
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.plans import sales
+from strata.plans.jobs import run_sales_job
+from strata.sources.colocated import SPREAD, check_colocated, save_spread_dimension, save_spread_facts
+from tests.fixtures import AS_OF, customers_df, orders_df, products_df
+
+NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+
+
+@contextlib.contextmanager
+def settings(spark, values):
+    old = {k: spark.conf.get(k) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def _inputs(spark):
+    orders = []
+    for i in range(3000):  # a third: customer 1; a third: none; unknown ones among the rest
+        customer = 1 if i % 3 == 0 else None if i % 3 == 1 else 2 + i % 500
+        orders.append((i, customer, 101 + i % 5, 1 + i % 4, 10.0, "2024-01-05 10:30:00", "delivered", "x"))
+    customers = [(i, f"F{i}", f"L{i}", "e", None, "c", "s", "active") for i in range(1, 402)]
+    c = sales.dim_customers(sales.bronze_sales(customers_df(spark, customers), "customers", AS_OF), AS_OF)
+    c = c.withColumn("customer_id", F.expr("nullif(customer_id, 401)"))
+    p = sales.dim_products(sales.bronze_sales(products_df(spark), "products", AS_OF), AS_OF)
+    return sales.bronze_sales(orders_df(spark, orders), "orders", AS_OF), c, p
+
+
+def test_join_moves_neither_side(spark, fresh_schema):
+    orders, c, p = _inputs(spark)
+    facts, dim = f"{fresh_schema}.o", f"{fresh_schema}.c"
+    assert save_spread_facts(orders, facts, "customer_id", 8, 4) == 3000
+    assert save_spread_dimension(c, dim, "customer_id", 8, 4) == 400 * 4
+    check_colocated(spark, facts, dim, "customer_id")
+    stored = spark.table(facts)
+    want = Counter(map(tuple, sales.fact_orders(orders, c, p, AS_OF).collect()))
+    with settings(spark, NO_BROADCAST):
+        lines, looked = sales.order_lines(stored), sales.customer_lookup(spark.table(dim))
+        joined = lines.join(looked, ["customer_id", SPREAD], "left")
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            joined.select("order_id", "customer_name").explain()
+        assert "SortMergeJoin" in buf.getvalue() and "Exchange" not in buf.getvalue()
+        for unique in (False, True):
+            got = sales.fact_orders(stored, spark.table(dim), p, AS_OF, unique_dims=unique)
+            assert Counter(map(tuple, got.collect())) == want
+        # the hot customer and the lines without one lie in several buckets each
+        at = joined.select("customer_id", "customer_name", F.spark_partition_id().alias("part"))
+        for key in ("customer_id = 1", "customer_id is null"):
+            parts = at.where(key).groupBy("part").count().collect()
+            assert sum(r["count"] for r in parts) == 1000 and len(parts) >= 2
+    # only one side stored alike: an ordinary join
+    assert Counter(map(tuple, sales.fact_orders(stored, c, p, AS_OF).collect())) == want
+    with pytest.raises(ValueError):
+        sales.fact_orders(stored, spark.table(dim), p, AS_OF, spread_null_keys=True)
+
+
+def test_layouts_that_differ_are_refused(spark, fresh_schema):
+    orders, c, _ = _inputs(spark)
+    facts, dim = f"{fresh_schema}.o", f"{fresh_schema}.c"
+    save_spread_facts(orders, facts, "customer_id", 8, 4)
+    save_spread_dimension(c, dim, "customer_id", 8, 2)
+    with pytest.raises(ValueError):
+        check_colocated(spark, facts, dim, "customer_id")
+    other = c.withColumn("customer_id", F.col("customer_id").cast("string"))
+    save_spread_dimension(other, dim, "customer_id", 8, 4)
+    with pytest.raises(ValueError):
+        check_colocated(spark, facts, dim, "customer_id")
+    assert save_spread_dimension(c.limit(0), dim, "customer_id", 8, 4) == 0
+    check_colocated(spark, facts, dim, "customer_id")
+
+
+def test_sales_job_stored_alike(spark, fresh_schema):
+    feeds = customers_df(spark), products_df(spark), orders_df(spark)
+    plain = run_sales_job(spark, *feeds, fresh_schema, AS_OF)
+    want = Counter(map(tuple, spark.table(f"{fresh_schema}.fact_orders").collect()))
+    report = run_sales_job(spark, *feeds, fresh_schema, AS_OF, unique_dims=True, customer_buckets=4, spread=3)
+    assert Counter(map(tuple, spark.table(f"{fresh_schema}.fact_orders").collect())) == want
+    assert report.rows.pop("dim_customers_spread") == 3 * plain.rows["dim_customers"]
+    assert report.rows == plain.rows
