@@ -2,10 +2,11 @@
 Spark's own (JVM) logistic regression only.
 
 A document's units are its sentences, line by line.  A multinomial logistic
-regression over hashed word unigrams and bigrams, made sparse by an L1 penalty,
-tells licence families from ordinary text.  Its "unknown" answer is calibrated:
-the least probability for naming a family is a high quantile of what the model
-gives to ordinary units that it was not trained on.  A named family is then
+regression, made sparse by an L1 penalty, over the templates' bigrams and those
+of their words that only one family has, tells licence families from ordinary
+text.  Its "unknown" answer is calibrated: a family is named above a high
+quantile of what the model, and models that were not trained on them, give to
+the ordinary units, within 0.5 to 0.95.  A named family is then
 compared with the family's templates: the share of the unit's bigrams that they
 hold, or the share of a template's bigrams (whole or a sentence) that a window
 of the unit holds, must reach ``MIN_SHARE`` to confirm it.  A unit that reaches
@@ -17,10 +18,13 @@ bigrams to reach ``MIN_SHARE`` either way.  No unit that could be confirmed is
 lost by it; units that the model alone would name, unconfirmed, are.
 
 The templates below, whole, by sentence and by clause, are
-the labelled examples; ordinary
-units are drawn from the corpus by hash, about ``SAMPLE`` of them, without those
-that speak of licences at all.  Scoring is one map over the units; no document
-is shuffled.
+the labelled examples; the ordinary units are all units of the corpus, each
+occurrence counted, without those that speak of licences at all.  Units of the
+same features are one weighted row of the training, so its rounds read
+different feature sets, not units; the model and its bound come from every
+unit.  One map reads the texts: it keeps the features of units that have any
+(the others are alike and only counted) and the text of those that the screen
+lets pass; training and scoring read what it kept.
 
 Defined cases: null or empty text has no units; repeated rows are each
 reported; extra columns are ignored; an empty corpus trains on the built-in
@@ -32,15 +36,13 @@ from __future__ import annotations
 import re
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import checkpointed, table
 
-SAMPLE = 4_000
-FEATURES = 1 << 13
 CLEAN_QUANTILE = 0.999
 MIN_SHARE = 0.6
 CLAUSE = 4  # words of a template's clause that is an example by itself
@@ -160,25 +162,54 @@ def _template_bigrams() -> list[tuple[int, list[str]]]:
     return out
 
 
+def _one_family() -> list[str]:
+    """Template words that only one family has."""
+    owners: dict[str, set[int]] = {}
+    for k, t in _template_bigrams():
+        for w in (w for b in t for w in b.split(" ")):
+            owners.setdefault(w, set()).add(k)
+    return sorted(w for w, ks in owners.items() if len(ks) == 1)
+
+
+def _fence() -> Column:
+    """Adds 0, but keeps filters and later columns from repeating what is below."""
+    return F.least(F.monotonically_increasing_id(), F.lit(0))
+
+
+def _read(units: DataFrame) -> DataFrame:
+    """``words``, ``bigrams``, ``held`` (the template bigrams among them), ``own``
+    (words of one family) and ``passes`` (the unit could be confirmed) added."""
+    given = _template_bigrams()
+    every = sorted({b for _, t in given for b in t})
+    df = units.withColumn("words", _words(F.col("unit"))).withColumn("bigrams", _bigrams(F.col("words")))
+    df = df.withColumn("held", F.filter("bigrams", lambda b: b.isin(*every)))
+    # any share of MIN_SHARE takes two bigrams, or one where all are one
+    single = [t[0] for _, t in given if len(t) == 1]
+    one = (F.size(F.array_distinct("bigrams")) == 1) | F.exists("bigrams", lambda b: b.isin(*single))
+    count = F.size("held") + _fence()
+    return df.withColumns(
+        {
+            "own": F.filter("words", lambda w: w.isin(*_one_family())),
+            "passes": (count >= 2) | (count >= 1) & one,
+        }
+    )
+
+
+def _terms() -> Column:
+    """The different features of a unit, of ``_read``'s columns."""
+    return F.array_sort(F.array_union("held", "own")).alias("terms")
+
+
 def _matched(units: DataFrame) -> DataFrame:
     """``shares`` (by family: the larger of the unit's and the best window's)
     and ``words`` to classify added; only units with a share of ``MIN_SHARE``."""
     given = _template_bigrams()
-    every = sorted({b for _, t in given for b in t})
     strings = lambda bs: F.array(*map(F.lit, bs))
     families = F.array(
         *(strings(sorted({b for f, t in given if f == k for b in t})) for k in range(len(TEMPLATES)))
     )
     templates = F.array(*(F.struct(F.lit(k).alias("k"), strings(t).alias("b")) for k, t in given))
-    df = units.withColumn("words", _words(F.col("unit"))).withColumn("bigrams", _bigrams(F.col("words")))
-    held = F.size(F.filter("bigrams", lambda b: b.isin(*every)))
-    # any share of MIN_SHARE takes two bigrams, or one where all are one
-    single = [t[0] for _, t in given if len(t) == 1]
-    one = (F.size(F.array_distinct("bigrams")) == 1) | F.exists("bigrams", lambda b: b.isin(*single))
-    # adds 0, but keeps filters and later columns from repeating what is below
-    fence = F.least(F.monotonically_increasing_id(), F.lit(0))
-    df = df.withColumn("_held", held + fence)
-    df = df.where((F.col("_held") >= 2) | (F.col("_held") >= 1) & one)
+    df = _read(units).where("passes")
 
     def window(t: Column) -> Column:
         size = F.size(t["b"])
@@ -221,7 +252,7 @@ def _matched(units: DataFrame) -> DataFrame:
             ),
         ),
     )
-    df = df.withColumn("_most", F.array_max("shares") + fence).where(F.col("_most") >= MIN_SHARE)
+    df = df.withColumn("_most", F.array_max("shares") + _fence()).where(F.col("_most") >= MIN_SHARE)
     best = F.array_max("_windows")
     words = F.when(
         F.array_max("_whole") < MIN_SHARE, F.slice("words", -best["at"], best["length"] + 1)
@@ -230,10 +261,13 @@ def _matched(units: DataFrame) -> DataFrame:
 
 
 def _featured(df: DataFrame) -> DataFrame:
-    if "words" not in df.columns:
-        df = df.withColumn("words", _words(F.col("unit")))
-    df = df.withColumn("terms", F.concat("words", _bigrams(F.col("words"))))
-    return HashingTF(numFeatures=FEATURES, binary=True, inputCol="terms", outputCol="features").transform(df)
+    """``features`` of ``terms``, or of ``words`` where there are no terms yet."""
+    if "terms" not in df.columns:
+        df = df.withColumn("terms", F.concat("words", _bigrams(F.col("words"))))
+    names = {b for _, t in _template_bigrams() for b in t} | set(_one_family())
+    return CountVectorizerModel.from_vocabulary(
+        sorted(names), inputCol="terms", outputCol="features", binary=True
+    ).transform(df)
 
 
 def _clauses() -> list[tuple[int, str]]:
@@ -268,13 +302,12 @@ class LicenceModel:
         scored = self.model.transform(_featured(_matched(units))).withColumn(
             "p", vector_to_array("probability")
         )
-        # Adds 0, but is not deterministic: no filter on the answer is pushed
-        # below, where it would repeat the model for every use.
-        best = F.array_max("p") + F.least(F.monotonically_increasing_id(), F.lit(0))
+        # no filter on the answer is pushed below, where it would repeat the model for every use
+        best = F.array_max("p") + _fence()
         names = F.array(*map(F.lit, (UNKNOWN, *TEMPLATES)))
         family = F.get(names, F.col("prediction").cast("int"))
         scored = scored.withColumn("best", best).withColumn(
-            "family", F.when(F.col("best") >= self.least, family).otherwise(UNKNOWN)
+            "family", F.when(F.round("best", 6) > self.least, family).otherwise(UNKNOWN)
         )
         share = F.coalesce(F.get("shares", F.col("prediction").cast("int") - 1), F.lit(0.0))
         return scored.select(
@@ -286,48 +319,92 @@ class LicenceModel:
         )
 
 
-def train(docs: DataFrame, sample: int = SAMPLE) -> LicenceModel:
-    """Fit and calibrate on the templates and about ``sample`` ordinary units."""
-    n = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    # about one unit in 40 characters, drawn from 50 times as many units' documents
-    units = min(1.0, 40 * sample / max(n, 1))
-    texts = min(1.0, 50 * units)
-    below = lambda c, seed, share: F.pmod(F.xxhash64(c, F.lit(seed)), F.lit(1 << 30)) < share * (1 << 30)
-    drawn = (
-        docs.where(below("text", 8, texts))
-        .select(F.explode(units_of(F.col("text"))).alias("unit"))
-        .where(below("unit", 3, units / texts) & ~F.col("unit").rlike(_ABOUT))
+def kept_units(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """The units that have a feature, and each document's first: ``keep``,
+    ``unit_no``, ``unit`` (null unless the screen lets it pass), ``terms``,
+    ``about`` (speaks of licences), ``fold`` (0 or 1) and ``n`` (the document's
+    units, with its first one only)."""
+    units = docs.select(F.struct(*keep).alias("keep"), units_of(F.col("text")).alias("units"))
+    units = units.withColumn("n", F.size("units") + _fence())
+    units = units.select("keep", "n", F.posexplode("units").alias("unit_no", "unit"))
+    read = _read(units).where((F.size("held") + F.size("own") > 0) | (F.col("unit_no") == 0))
+    return read.select(
+        "keep",
+        "unit_no",
+        F.when(F.col("passes"), F.col("unit")).alias("unit"),
+        _terms(),
+        F.col("unit").rlike(_ABOUT).alias("about"),
+        F.pmod(F.xxhash64("unit", F.lit(4)), F.lit(2)).alias("fold"),
+        F.when(F.col("unit_no") == 0, F.col("n")).alias("n"),
     )
-    drawn = checkpointed(
-        drawn.distinct().withColumn("held", F.pmod(F.xxhash64("unit", F.lit(4)), F.lit(2)) == 1).coalesce(4)
+
+
+def training_rows(kept: DataFrame) -> DataFrame:
+    """Weighted rows of all ordinary units and the examples: ``label``, ``terms``,
+    ``n`` (units), of them ``n0`` and ``n1`` of the corpus by fold."""
+    featured = F.size("terms") > 0
+    total = kept.agg(F.sum("n").alias("units"), F.count_if(featured).alias("featured")).first()
+    plain = (total["units"] or 0) - total["featured"]
+    spark = kept.sparkSession
+    alike = spark.range(0, 1, 1, 1).select(
+        F.array().cast("array<string>").alias("terms"),
+        F.lit(plain - plain // 2).cast("long").alias("n0"),
+        F.lit(plain // 2).cast("long").alias("n1"),
+    )
+    ordinary = (
+        kept.where(featured & ~F.col("about"))
+        .groupBy("terms")
+        .agg(F.sum(1 - F.col("fold")).alias("n0"), F.sum("fold").alias("n1"))
+        .unionByName(alike)
+        .select(F.lit(0).alias("label"), "terms", (F.col("n0") + F.col("n1")).alias("n"), "n0", "n1")
     )
-    spark = docs.sparkSession
-    fit_on = _examples(spark).unionByName(drawn.where("not held").select(F.lit(0).alias("label"), "unit"))
-    rows = checkpointed(_featured(fit_on).select("label", "features").coalesce(4))
+    zero = F.lit(0).cast("long")
+    examples = _read(_examples(spark)).select(
+        "label", _terms(), (zero + 1).alias("n"), zero.alias("n0"), zero.alias("n1")
+    )
+    return ordinary.unionByName(examples).where("n > 0")
+
+
+def _fit(rows: DataFrame, n: Column) -> LogisticRegressionModel:
+    """The classifier of ``rows``, each taken ``n`` times."""
+    rows = rows.withColumn("n", n).where("n > 0")
     # the few examples of each family weigh as much as the ordinary units
-    sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    total = sum(sizes.values())
-    weight = F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, total / (len(sizes) * n))))
-    model = LogisticRegression(
+    sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.sum("n").alias("n")).collect()}
+    weight = F.create_map(*(F.lit(x) for k, of in sizes.items() for x in (k, 1 / (len(sizes) * of))))
+    return LogisticRegression(
         featuresCol="features", labelCol="label", weightCol="w", family="multinomial", maxIter=60,
         elasticNetParam=0.5, regParam=0.002, standardization=False,
-    ).fit(rows.withColumn("w", weight[F.col("label")]))
-    clean = model.transform(_featured(drawn.where("held").select("unit"))).select(
-        F.array_max(F.slice(vector_to_array("probability"), 2, len(TEMPLATES))).alias("p")
+    ).fit(rows.withColumn("w", F.col("n") * weight[F.col("label")]))
+
+
+def train(kept: DataFrame) -> LicenceModel:
+    """Fit on the templates and every ordinary unit of ``kept_units``.  The bound
+    takes the larger of two answers to each ordinary unit: the model's, and that
+    of a model fitted without the unit's fold."""
+    rows = checkpointed(_featured(training_rows(kept)))
+    model = _fit(rows, F.col("n"))
+    clean = rows.where("n0 + n1 > 0").select("features", "n0", "n1")
+    fitted = {"p": model, "p0": _fit(rows, F.col("n") - F.col("n0")), "p1": _fit(rows, F.col("n") - F.col("n1"))}
+    for name, m in fitted.items():
+        answer = F.array_max(F.slice(vector_to_array("probability"), 2, len(TEMPLATES)))
+        clean = m.transform(clean).withColumn(name, answer).drop("rawPrediction", "probability", "prediction")
+    by_fold = F.array(
+        *(
+            F.struct(F.round(F.greatest("p", f"p{k}"), 6).alias("at"), F.col(f"n{k}").alias("units"))
+            for k in (0, 1)
+        )
     )
-    high = clean.agg(F.percentile_approx("p", CLEAN_QUANTILE, 10_000)).first()[0]
+    high = clean.select(F.inline(by_fold)).agg(F.percentile("at", CLEAN_QUANTILE, F.col("units"))).first()[0]
     return LicenceModel(model, min(0.95, max(0.5, high or 0.0)))
 
 
-def find_licences(docs: DataFrame, *, keep: tuple[str, ...] = ("doc_id",), sample: int = SAMPLE) -> DataFrame:
+def find_licences(docs: DataFrame, *, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per unit that some family claims and whose bigrams reach
     ``MIN_SHARE`` for a family (see the screen above): ``keep``, ``unit_no`` (from 0),
     ``unit``, ``family``, ``probability``, ``share``, ``confirmed``."""
-    model = train(docs.select("text"), sample)
-    units = docs.select(
-        F.struct(*keep).alias("keep"), F.posexplode(units_of(F.col("text"))).alias("unit_no", "unit")
-    )
-    found = model.classify(units).where(F.col("family") != UNKNOWN)
+    kept = checkpointed(kept_units(docs, keep))
+    units = kept.where("unit is not null").select("keep", "unit_no", "unit")
+    found = train(kept).classify(units).where(F.col("family") != UNKNOWN)
     return found.select("keep.*", *(c for c in found.columns if c != "keep"))
 
 

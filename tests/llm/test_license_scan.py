@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from strata.llm import license_scan as ls
@@ -67,3 +69,35 @@ def test_parts_of_notices(spark, docs):
     df = spark.createDataFrame(rows, "doc_id long, text string").unionByName(docs)
     got = ls.find_licences(df).where("confirmed and doc_id >= 1000").select("doc_id", "family").collect()
     assert sorted(map(tuple, got)) == [(i + 1000, f) for i, f in enumerate(lines.values())]
+
+
+def _ordinary(spark, n):
+    """Rows of 20 sentences each; every tenth ends with a licence line."""
+    rng = random.Random(5)
+    words = ["the", "of", "and", "to", "in", "this", "is", "with", "mit", "file", "free", *(f"w{i}" for i in range(40))]
+    rows = []
+    for i in range(n):
+        lines = [" ".join(rng.choices(words, k=rng.randint(1, 12))).capitalize() + "." for _ in range(20)]
+        rows.append((i, "\n".join(lines + ([list(LINES)[i // 10 % len(LINES)]] if i % 10 == 0 else []))))
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_a_larger_corpus_of_the_same_units_gives_the_same_answers(spark):
+    """Model and bound come from all units, so they do not change with the corpus's size."""
+    small = _ordinary(spark, 200)
+    large = small.crossJoin(spark.range(25).withColumnRenamed("id", "copy"))
+    answers = [
+        {(r.unit, r.family): (r["count"], r.probability) for r in ls.find_licences(df).groupBy("unit", "family", "probability").count().collect()}
+        for df in (small, large)
+    ]
+    assert answers[0] and answers[0].keys() == answers[1].keys()
+    for key, (n, p) in answers[0].items():
+        assert answers[1][key] == (25 * n, pytest.approx(p, abs=0.002))
+
+
+def test_every_ordinary_unit_trains(spark):
+    rows = [(1, "Of the\nalone.\n\nIn the Of the"), (2, None), (3, "Of the\nAll rights reserved."), (4, "Other words.")]
+    kept = ls.kept_units(spark.createDataFrame(rows, "doc_id long, text string"), ("doc_id",))
+    got = ls.training_rows(kept).where("n0 + n1 > 0").collect()
+    assert {tuple(r.terms): r.n0 + r.n1 for r in got} == {("of the",): 2, ("in the", "of the"): 1, (): 2}
+    assert all(r.n == r.n0 + r.n1 and r.label == 0 for r in got)
